@@ -18,7 +18,7 @@ from tierlake.operators.clean import clean_topic, explode_items
 from tierlake.operators.dedup import dedup_topic
 from tierlake.plans import jobs, serving
 from tierlake.schemas import METRICS, TOPICS
-from tierlake.session import materialise, scratch_path
+from tierlake.session import materialise, run_together, scratch_path
 from tierlake.sinks.keyed import by_month
 from tierlake.sinks.parquet import write_layer
 from tierlake.sources.messages import FileLog, parse_topic, quarantine, read_topic_batch
@@ -77,11 +77,14 @@ def _topic_files(spark: SparkSession, sf_dir: str, folders=tuple(TOPICS),
     """The topics as archived logs; ``files`` files each, so a stream takes several batches."""
     log = FileLog(scratch_path(spark, "topics"),
                   {"maxFilesPerTrigger": "1"} if files else {})
-    for folder in folders:
+
+    def write(folder: str) -> None:
         messages = _messages(spark, sf_dir, folder)
         if files:
             messages = messages.repartition(files, "offset")
         messages.write.parquet(log.path(TOPICS[folder]))
+
+    run_together(spark, write, folders)
     return log
 
 
@@ -455,7 +458,8 @@ def user_segments_30d(spark, sf_dir):
 # -- profiles --------------------------------------------------------------------------------
 
 def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {f: _stored_clean(spark, sf_dir, f) for f in TOPICS}
+    stored = run_together(spark, lambda f: _stored_clean(spark, sf_dir, f), TOPICS)
+    tables = dict(zip(TOPICS, stored))
     snapshot = segments.user_segments(tables["purchases"], tables["product_reviews"], AS_OF)
     return profiles.user_profiles(
         tables["purchases"], tables["product_reviews"], tables["clickstream"],

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 # Options the operators rely on. Everything sized to a cluster (shuffle width, memory, split
 # size) stays with the caller or with AQE.
 RUNTIME_OPTIONS = {
@@ -68,3 +75,15 @@ def materialise(df: DataFrame, label: str, spark: SparkSession | None = None) ->
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, action: Callable[[Item], Result],
+                 items: Iterable[Item]) -> list[Result]:
+    """Run an action that starts Spark jobs for several tables at the same time.
+
+    The jobs do not depend on each other, so tasks of one fill the executors that the last
+    tasks of another leave idle. Results come in the order of the items.
+    """
+    items = list(items)
+    with ThreadPoolExecutor(max(len(items), 1)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(action), items))
