@@ -1,0 +1,108 @@
+from datetime import datetime
+
+from tests.rows import at, click, order, post, raw, review, tuples
+from tierlake.operators import profiles, segments
+from tierlake.operators.clean import clean_topic
+from tierlake.operators.quality import split_profiles
+from tierlake.plans import serving
+from tierlake.schemas import PROFILE
+
+AS_OF = datetime(2024, 6, 1)
+
+
+def _tables(spark, orders=(), reviews=(), clicks=(), posts=()):
+    rows = {"purchases": orders, "product_reviews": reviews, "clickstream": clicks,
+            "social_buzz": posts}
+    return {f: clean_topic(raw(spark, f, *r), f) for f, r in rows.items()}
+
+
+def _profiles(spark, as_of=AS_OF, **rows):
+    t = _tables(spark, **rows)
+    snapshot = segments.user_segments(t["purchases"], t["product_reviews"], AS_OF)
+    return profiles.user_profiles(t["purchases"], t["product_reviews"], t["clickstream"],
+                                  t["social_buzz"], snapshot, as_of)
+
+
+def _by_user(df):
+    return {r["user_id"]: r.asDict(recursive=True) for r in df.collect()}
+
+
+def test_every_user_of_any_source_gets_one_profile(spark):
+    df = _profiles(spark, orders=[order("o", "buyer"), order("x", "failed",
+                                                             payment_status="failed")],
+                   reviews=[review("r", "critic")], clicks=[click("s", "visitor")],
+                   posts=[post("p", "poster"), post("q", None)])
+    rows = _by_user(df)
+    assert set(rows) == {"buyer", "failed", "critic", "visitor", "poster"}
+    assert rows["critic"]["purchases"] is None and rows["critic"]["browsing"] is None
+    assert rows["buyer"]["segment"]["label"] == "new"
+    assert rows["failed"]["segment"] == {
+        "label": "unknown", "churn_score": 0.0, "revenue_30d": 0.0, "order_count_30d": 0,
+        "last_purchase_date": None, "avg_review_score": 0.0}
+    assert df.schema.simpleString() == PROFILE.simpleString()
+
+
+def test_section_values(spark):
+    rows = _by_user(_profiles(
+        spark,
+        orders=[order("a", amount=400.0, payment_method="upi", is_return=True),
+                order("b", amount=600.0, payment_method="cod", event_ts=at(5)),
+                order("c", amount=3000.0, payment_method="cod")],
+        reviews=[review("r", rating=4, score=0.5, sentiment_label="positive"),
+                 review("q", rating=5, score=None, sentiment_label="neutral")],
+        clicks=[click("s", event="search", platform="b"), click("t", platform="a"),
+                click("v", event="add_to_cart", platform=None), click("bot", dwell_ms=1)],
+        posts=[post("p", likes=300, platform="x"), post("q", score=0.0, platform="a")]))
+    row = rows["u"]
+    assert row["purchases"] == {
+        "total_orders": 3, "total_spent": 4000.0, "total_returns": 1, "return_rate": 0.3333,
+        "last_purchase_at": "2024-03-09T10:05:00", "preferred_payment": "cod",
+        "spend_distribution": {"low": 1, "mid": 1, "high": 1}}
+    assert row["reviews"] == {
+        "avg_rating": 4.5, "total_reviews": 2, "avg_sentiment": 0.5,
+        "breakdown": {"positive": 1, "neutral": 1, "negative": 0}}
+    assert row["browsing"] == {
+        "total_sessions": 3, "total_views": 1, "total_searches": 1, "total_cart_adds": 1,
+        "last_active_at": "2024-03-09T10:00:00", "top_platform": "a"}
+    assert row["social"] == {
+        "post_count": 2, "avg_sentiment": 0.25, "avg_engagement": 150.5, "viral_posts": 1,
+        "platforms": ["a", "x"]}
+
+
+def test_missing_numbers_are_zero(spark):
+    rows = _by_user(_profiles(spark, reviews=[review(rating=None, score=None)],
+                              posts=[post(likes=None, score=None)],
+                              orders=[order(amount=None, total_amount=None)]))
+    assert rows["u"]["reviews"]["avg_rating"] == rows["u"]["reviews"]["avg_sentiment"] == 0.0
+    assert rows["u"]["social"]["avg_engagement"] == rows["u"]["social"]["avg_sentiment"] == 0.0
+    assert rows["u"]["purchases"]["total_spent"] == 0.0
+
+
+def test_preferred_value_breaks_ties_by_value(spark):
+    df = spark.createDataFrame([("u", "b"), ("u", "a"), ("u", None), ("v", "z"), ("v", "z"),
+                                ("v", "a"), ("w", None)], "user_id string, x string")
+    assert tuples(profiles.preferred_value(df, "x", "top")) == [("u", "a"), ("v", "z")]
+
+
+def test_latest_segment_snapshot_counts(spark):
+    t = _tables(spark, orders=[order()])
+    snapshots = [segments.user_segments(t["purchases"], t["product_reviews"], when).withColumn(
+        "segment", profiles.F.lit(label))
+        for when, label in ((datetime(2024, 1, 1), "old"), (datetime(2024, 2, 1), "new"))]
+    df = profiles.user_profiles(t["purchases"], t["product_reviews"], t["clickstream"],
+                                t["social_buzz"], snapshots[0].unionByName(snapshots[1]), AS_OF)
+    assert tuples(df, "segment.label") == ["new"]
+
+
+def test_keys_limit_lookup_and_validation(spark):
+    df = _profiles(spark, orders=[order("a", "u2"), order("b", "u1")], reviews=[review("r", "u3")])
+    t = _tables(spark, orders=[order("a", "u2"), order("b", "u1")], posts=[post(user=None)])
+    assert tuples(profiles.profile_keys(*t.values())) == ["u1", "u2"]
+    assert [r[0] for r in profiles.first_users(df, 2).select("user_id").collect()] == ["u1", "u2"]
+    assert tuples(serving.profile_lookup(df, "  u3 "), "churn_level") == ["green"]
+    assert serving.profile_lookup(df, "nobody").count() == 0
+    valid, invalid = split_profiles(df.withColumn("updated_at", profiles.F.when(
+        profiles.F.col("user_id") != "u1", profiles.F.col("updated_at"))))
+    assert tuples(invalid, "user_id") == ["u1"] and valid.count() == 2
+    assert tuples(serving.recent_profiles(df, 1), "user_id") == ["u1"]
+    assert tuples(serving.live_risk_count(df, 0.1)) == [(3, 2)]

@@ -5,8 +5,8 @@ it touches, into a new version folder, and then publishes a small table that say
 holds each part. Readers follow the latest published one, so they see all of an upsert or none
 of it, and a run that dies half way leaves the table as it was.
 
-    root/data/v=<version>/part=<part>/...      rows
-    root/published/v=<version>/...             part, data_version and writer, batch_id
+    root/data/table_version=<n>/table_part=<part>/...   rows
+    root/published/table_version=<n>/...                part, data_version; writer, batch_id
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tierlake.session import materialise
-from tierlake.sinks.parquet import counted
 from tierlake.sources.tables import scan_or_none
 
-_PART = "part"
-_PUBLISHED = "v long, part string, data_version long, writer string, batch_id long"
+# Named so that no column of a table is called the same.
+_PART, _VERSION = "table_part", "table_version"
+_PUBLISHED = f"{_VERSION} long, part string, data_version long, writer string, batch_id long"
 
 
 def by_date(ts: str) -> Column:
@@ -71,12 +71,12 @@ class KeyedTable:
         history = scan_or_none(self.spark, f"{self.root}/published", _PUBLISHED)
         if history is None:
             return Published()
-        last = history.agg(F.max("v").alias("v"))
-        rows = history.join(F.broadcast(last), "v", "left_semi").collect()
+        last = history.agg(F.max(_VERSION).alias(_VERSION))
+        rows = history.join(F.broadcast(last), _VERSION, "left_semi").collect()
         if not rows:
             return Published()
         return Published(
-            rows[0]["v"],
+            rows[0][_VERSION],
             {r["part"]: r["data_version"] for r in rows if r["part"] is not None},
             {r["writer"]: r["batch_id"] for r in rows if r["writer"] is not None})
 
@@ -84,7 +84,7 @@ class KeyedTable:
         if not parts:
             return self.spark.createDataFrame([], self.schema)
         data = f"{self.root}/data"
-        paths = [f"{data}/v={version}/{_PART}={part}" for part, version in sorted(parts.items())]
+        paths = [f"{data}/{_VERSION}={version}/{_PART}={part}" for part, version in sorted(parts.items())]
         return (self.spark.read.schema(self.schema).option("basePath", data).parquet(*paths)
                 .select(*self.schema.names))
 
@@ -112,11 +112,10 @@ class KeyedTable:
                    .collect()}
 
         old = self._rows({p: v for p, v in state.parts.items() if p in touched})
-        kept, kept_rows = counted(old.join(gone, gone.columns, "left_anti"), "kept")
-        added, new_rows = counted(new, "new")
+        kept = old.join(gone, gone.columns, "left_anti")
         version = state.version + 1
-        target = f"{self.root}/data/v={version}"
-        (kept.unionByName(added).withColumn(_PART, self.part).hint("rebalance", _PART)
+        target = f"{self.root}/data/{_VERSION}={version}"
+        (kept.unionByName(new).withColumn(_PART, self.part).hint("rebalance", _PART)
          .write.mode("overwrite").partitionBy(_PART).parquet(target))
 
         written = self._parts_below(target)
@@ -125,18 +124,21 @@ class KeyedTable:
         batches = state.batches | ({batch[0]: batch[1]} if batch else {})
         self._publish(version, parts, batches)
         # Counting stored rows reads file footers only.
-        replaced = old.count() - kept_rows.get["rows"]
-        return Upserted(rows_written=new_rows.get["rows"], rows_replaced=replaced)
+        added, total = new.count(), self._stored(target).count()
+        return Upserted(rows_written=added, rows_replaced=old.count() + added - total)
 
     def _part_of(self, rows: DataFrame) -> DataFrame:
         return rows.select(self.part.alias(_PART))
 
     def _parts_below(self, target: str) -> set[str]:
         """Parts that got files. An upsert may leave none, so the schema is given."""
-        files = self.spark.read.schema(self.schema).parquet(target).inputFiles()
+        files = self._stored(target).inputFiles()
         return {f.rsplit(f"/{_PART}=", 1)[1].split("/", 1)[0] for f in files
                 if f"/{_PART}=" in f}
 
+    def _stored(self, target: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(target)
+
     def _publish(self, version: int, parts: dict[str, int], batches: dict[str, int]) -> None:
         """Publish a version; fails if another writer has published the same one meanwhile."""
         rows = [(p, v, None, None) for p, v in parts.items()]
@@ -145,4 +147,4 @@ class KeyedTable:
         rows = rows or [(None, None, None, None)]
         schema = "part string, data_version long, writer string, batch_id long"
         (self.spark.createDataFrame(rows, schema).coalesce(1)
-         .write.mode("error").parquet(f"{self.root}/published/v={version}"))
+         .write.mode("error").parquet(f"{self.root}/published/{_VERSION}={version}"))
