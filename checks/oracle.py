@@ -490,8 +490,8 @@ def statements() -> dict[str, str]:
             FROM raw_clickstream GROUP BY ingestion_date""",
         "upsert_profiles": _PROFILE_LATER,
         "conform_metrics": f"""
-            SELECT * REPLACE (CASE WHEN total_cnt > 1 THEN mean_sentiment ELSE 0 END
-                              AS mean_sentiment), {AS_OF} AS created_at
+            SELECT * REPLACE (CASE WHEN total_cnt > 1 THEN mean_sentiment
+                              ELSE CAST(0 AS DECIMAL(7,4)) END AS mean_sentiment), {AS_OF} AS created_at
             FROM hourly_sentiment""",
         "contract_violations": """
             SELECT c || ' not null' AS rule,
@@ -547,6 +547,10 @@ def statements() -> dict[str, str]:
                 '^([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\.[0-9]{1,3}$', '\1.x') AS ip,
               sha256('salt:' || user_id) AS user_digest
             FROM raw_clickstream""",
+        "clean_reviews_masked": f"""
+            SELECT review_id, sha256('salt:' || user_id) AS user_id, {masked} AS review_text
+            FROM product_reviews LEFT JOIN documents
+              ON doc_id = o_orderkey % (SELECT count(*) FROM documents)""",
         "score_sentiment": scored,
         "sentiment_label": f"SELECT sentiment_label, count(*) AS n FROM ({scored}) GROUP BY 1",
         "order_amount_check": f"""

@@ -348,6 +348,14 @@ def mask_click_identity(spark, sf_dir):
         privacy.pseudonym(F.col("user_id"), "salt:").alias("user_digest"))
 
 
+@query
+def clean_reviews_masked(spark, sf_dir):
+    """Clean reviews, with whole documents as their texts, masked."""
+    raw = adapters.raw_product_reviews(spark, sf_dir, with_text=True)
+    return privacy.mask_table(clean_topic(raw, "product_reviews"), "salt:").select(
+        "review_id", "user_id", "review_text")
+
+
 @query
 def score_sentiment(spark, sf_dir):
     return sentiment.score_sentiment(adapters.table(spark, sf_dir, "documents"), "doc_id",

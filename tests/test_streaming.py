@@ -8,7 +8,7 @@ from tierlake.operators import metrics, profiles, segments
 from tierlake.operators.clean import clean_topic
 from tierlake.schemas import TOPICS
 from tierlake.sources.tables import table_stream
-from tierlake.streaming.clean_log import CleanLog, stream_clean
+from tierlake.streaming.clean_log import CleanLog, stream_clean, stream_clean_first
 from tierlake.streaming.metrics import metric_table, stream_hourly, stream_sentiment
 from tierlake.streaming.profiles import profile_table, stream_profiles
 from tierlake.streaming.run import DRAIN, start_batches, wait_for
@@ -179,3 +179,30 @@ def test_a_failing_stream_stops_the_others(spark, tmp_path):
     with pytest.raises(Exception, match="boom"):
         wait_for([bad, good])
     assert not good.isActive
+
+
+def test_first_copy_stream(spark, tmp_path):
+    source, path = str(tmp_path / "raw"), str(tmp_path / "clean")
+    _batches(spark, "social_buzz", source, [post("a", likes=1), post(None)],
+             [post("a", likes=2, kafka_ts=at(1)), post("b", likes=300, kafka_ts=at(1))])
+    stream = table_stream(spark, source, TOPICS["social_buzz"].raw, 1)
+    wait_for([stream_clean_first(stream, "social_buzz", path, str(tmp_path / "c"),
+                                 trigger=DRAIN)])
+    assert tuples(spark.read.parquet(path), "post_id", "likes", "is_viral") == [
+        ("a", 1, False), ("b", 300, True)]
+
+
+def test_streams_leave_no_scratch_files(spark, tmp_path):
+    from pathlib import Path
+
+    from tierlake.session import shared_folder
+
+    log = CleanLog(spark, str(tmp_path / "log"), "clickstream")
+    table = metric_table(spark, str(tmp_path / "t"), "hourly_site_traffic")
+    before = set(Path(shared_folder(spark)).iterdir())
+    log.land(raw(spark, "clickstream", click()), 0)
+    log.land(raw(spark, "clickstream"), 1)
+    wait_for([stream_hourly({"clickstream": log}, "hourly_site_traffic", table,
+                            str(tmp_path / "c"), DRAIN)])
+    assert table.read().count() == 1
+    assert set(Path(shared_folder(spark)).iterdir()) == before

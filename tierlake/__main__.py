@@ -30,6 +30,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--kafka", help="bootstrap servers of the topics")
     parser.add_argument("--files", help="root of topics archived as Parquet")
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="time of the snapshots")
+    parser.add_argument("--mask", action="store_true", help="mask personal data when cleaning")
+    parser.add_argument("--salt", help="with --mask, replace user ids by a salted digest")
     parser.add_argument("--limit", type=int, help="profiles of the first N users only")
     return parser.parse_args(argv)
 
@@ -47,7 +49,7 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.job == "raw":
         outcomes = jobs.raw_job(spark, _message_log(args), lake)
     elif args.job == "clean":
-        outcomes = jobs.clean_job(spark, lake)
+        outcomes = jobs.clean_job(spark, lake, masked=args.mask, salt=args.salt)
     elif args.job == "metrics":
         outcomes = jobs.metrics_job(spark, lake, args.as_of)
     elif args.job == "profiles":

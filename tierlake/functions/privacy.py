@@ -7,7 +7,7 @@ numbers and IP addresses inside free text are replaced by a tag.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 IPV4 = r"\b[0-9]{1,3}(\.[0-9]{1,3}){3}\b"
@@ -32,3 +32,11 @@ def mask_text(text: Column) -> Column:
 def pseudonym(user_id: Column, salt: str) -> Column:
     """Salted SHA-256 of an id: equal ids stay joinable, null stays null."""
     return F.sha2(F.concat(F.lit(salt), user_id), 256)
+
+
+def mask_table(df: DataFrame, salt: str | None = None) -> DataFrame:
+    """Mask the address and free-text columns a table has, and with a salt its user ids too."""
+    masks = {"ip": mask_ip, "review_text": mask_text, "content": mask_text}
+    if salt is not None:
+        masks["user_id"] = lambda user: pseudonym(user, salt)
+    return df.withColumns({c: mask(F.col(c)) for c, mask in masks.items() if c in df.columns})

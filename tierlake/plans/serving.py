@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tierlake.functions import bands
 from tierlake.functions.numeric import ratio
@@ -143,25 +143,27 @@ def churn_histogram(risk: DataFrame, bins: int = 10) -> DataFrame:
     Bins are closed on the right and the minimum belongs to bin 1; if all scores are equal, bin 1
     holds them all. Scores have four places, so bin numbers are worked out in whole numbers.
     """
-    units = risk.select((F.col("churn_score").cast("decimal(10,4)") * 10000).cast("long")
-                        .alias("u"))
-    span = units.agg(F.min("u").alias("lo"), F.max("u").alias("hi"))
-    width = F.greatest(F.col("hi") - F.col("lo"), F.lit(1))
-    steps = F.ceil((F.col("u") - F.col("lo")) * bins / width)
-    counted = units.crossJoin(F.broadcast(span)).select(
-        F.greatest(steps, F.lit(1)).cast("int").alias("bin")
-    ).groupBy("bin").agg(F.count("*").alias("n"))
-    edges = F.broadcast(span).crossJoin(risk.sparkSession.range(1, bins + 1).select(
-        F.col("id").cast("int").alias("bin")))
-
-    def edge(steps_from_low):
+    everything = Window.partitionBy()
+    # One row per distinct score, 10,001 at most: the windows below run over no more than that.
+    scores = risk.groupBy((F.col("churn_score").cast("decimal(10,4)") * 10000).cast("long")
+                          .alias("u")).agg(F.count("*").alias("n"))
+    spanned = scores.withColumns({"lo": F.min("u").over(everything),
+                                  "hi": F.max("u").over(everything)})
+    steps = F.ceil((F.col("u") - F.col("lo")) * bins
+                   / F.greatest(F.col("hi") - F.col("lo"), F.lit(1)))
+    counted = spanned.groupBy(F.greatest(steps, F.lit(1)).cast("int").alias("bin")).agg(
+        F.sum("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
+    numbers = risk.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    filled = numbers.join(counted, "bin", "left").withColumns({
+        "lo": F.max("lo").over(everything), "hi": F.max("hi").over(everything)})
+
+    def edge(steps_from_low: Column) -> Column:
         return F.round((F.col("lo") + (F.col("hi") - F.col("lo")) * steps_from_low / bins)
                        / 10000, 6)
 
-    return (edges.join(counted, "bin", "left")
-            .select("bin", edge(F.col("bin") - 1).alias("lower"), edge(F.col("bin"))
-                    .alias("upper"), F.coalesce("n", F.lit(0)).alias("n"))
-            .orderBy("bin"))
+    return filled.select(
+        "bin", edge(F.col("bin") - 1).alias("lower"), edge(F.col("bin")).alias("upper"),
+        F.coalesce("n", F.lit(0)).alias("n")).orderBy("bin")
 
 
 def churn_scatter(risk: DataFrame) -> DataFrame:

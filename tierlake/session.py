@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -49,13 +50,13 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a temporary folder; on a cluster a
     missing setting is an error, because a machine-local folder would lose data with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tierlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tierlake-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
@@ -69,14 +70,35 @@ def materialise(df: DataFrame, label: str, spark: SparkSession | None = None) ->
 
     Cuts the lineage in a way that survives lost executors, and unlike ``checkpoint()`` keeps
     column pruning and filter pushdown for whatever reads it next. A micro-batch belongs to a
-    session of its own with other options; ``spark`` names the session to read back in.
+    session of its own with other options; ``spark`` names the session to read back in. The
+    files stay, as the frame may be used at any later time; give the shared folder an expiry.
     """
     spark = df.sparkSession if spark is None else spark
-    path = scratch_path(spark, label)
+    return _write_and_read(df, scratch_path(spark, label), spark)
+
+
+def _write_and_read(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_for_now(df: DataFrame, label: str, spark: SparkSession) -> Iterator[DataFrame]:
+    """Like ``materialise``, for use inside the block only: then the files are removed, so that a
+    stream does not fill the shared folder."""
+    path = scratch_path(spark, label)
+    try:
+        yield _write_and_read(df, path, spark)
+    finally:
+        remove_tree(spark, path)
+
+
+def remove_tree(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def run_together(spark: SparkSession, action: Callable[[Item], Result],
                  items: Iterable[Item]) -> list[Result]:
     """Run an action that starts Spark jobs for several tables at the same time.

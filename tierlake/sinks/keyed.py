@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tierlake.session import materialise
+from tierlake.session import stored_for_now
 from tierlake.sources.tables import scan_or_none
 
 # Named so that no column of a table is called the same.
@@ -105,12 +105,17 @@ class KeyedTable:
         if batch is not None and state.batches.get(batch[0], -1) >= batch[1]:
             return Upserted(0, 0)
 
-        # Read three times below: for its parts, for its keys and to be written.
-        new = materialise(rows.select(*self.schema.names), "upsert", self.spark)
-        gone = new.select(*self.key) if replaces is None else replaces.distinct()
+        # Read three times: for its parts, for its keys and to be written.
+        with stored_for_now(rows.select(*self.schema.names), "upsert", self.spark) as new:
+            gone = new.select(*self.key) if replaces is None else replaces.distinct()
+            return self._replace(state, new, gone, batch)
+
+    def _replace(self, state: Published, new: DataFrame, gone: DataFrame,
+                 batch: tuple[str, int] | None) -> Upserted:
         touched = {r[0] for r in self._part_of(new).union(self._part_of(gone)).distinct()
                    .collect()}
-
+        if not touched:
+            return Upserted(0, 0)
         old = self._rows({p: v for p, v in state.parts.items() if p in touched})
         kept = old.join(gone, gone.columns, "left_anti")
         version = state.version + 1
@@ -118,9 +123,8 @@ class KeyedTable:
         (kept.unionByName(new).withColumn(_PART, self.part).hint("rebalance", _PART)
          .write.mode("overwrite").partitionBy(_PART).parquet(target))
 
-        written = self._parts_below(target)
         parts = {p: v for p, v in state.parts.items() if p not in touched}
-        parts |= {p: version for p in written}
+        parts |= {p: version for p in self._parts_below(target)}
         batches = state.batches | ({batch[0]: batch[1]} if batch else {})
         self._publish(version, parts, batches)
         # Counting stored rows reads file footers only.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from datetime import datetime
 from functools import reduce
 
@@ -10,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierlake.operators.profiles import user_profiles
 from tierlake.schemas import PROFILE
-from tierlake.session import materialise
+from tierlake.session import stored_for_now
 from tierlake.sinks.keyed import KeyedTable, by_bucket
 from tierlake.streaming.clean_log import CleanLog
 from tierlake.streaming.run import EVERY_60_S, Trigger, start_batches
@@ -32,12 +33,18 @@ def stream_profiles(logs: dict[str, CleanLog], segments: DataFrame, table: Keyed
     streams = [log.stream(max_files_per_trigger).select("user_id") for log in logs.values()]
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        users = materialise(batch.filter(F.col("user_id").isNotNull()).distinct(), "users", table.spark)
-        # Each clean table is read more than once by the profile plan.
-        tables = {f: materialise(log.clean(users=users), f) for f, log in logs.items()}
-        rows = user_profiles(
-            tables["purchases"], tables["product_reviews"], tables["clickstream"],
-            tables["social_buzz"], segments.join(users, "user_id", "left_semi"), as_of)
-        table.upsert(rows, replaces=users, batch=("profiles", batch_id))
+        with ExitStack() as stack:
+            def store(df: DataFrame, label: str) -> DataFrame:
+                return stack.enter_context(stored_for_now(df, label, table.spark))
+
+            users = store(batch.filter(F.col("user_id").isNotNull()).distinct(), "users")
+            if users.isEmpty():
+                return
+            # Each clean table is read more than once by the profile plan.
+            tables = {f: store(log.clean(users=users), f) for f, log in logs.items()}
+            rows = user_profiles(
+                tables["purchases"], tables["product_reviews"], tables["clickstream"],
+                tables["social_buzz"], segments.join(users, "user_id", "left_semi"), as_of)
+            table.upsert(rows, replaces=users, batch=("profiles", batch_id))
 
     return start_batches(reduce(DataFrame.unionByName, streams), refresh, checkpoint, trigger)

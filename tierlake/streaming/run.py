@@ -16,12 +16,12 @@ EVERY_60_S: Trigger = {"processingTime": "60 seconds"}
 
 def start_batches(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str,
                   trigger: Trigger = EVERY_60_S, mode: str = "append") -> StreamingQuery:
-    """Start a stream that hands every non-empty micro-batch to ``apply(rows, batch_id)``."""
-    def step(rows: DataFrame, batch_id: int) -> None:
-        if not rows.isEmpty():
-            apply(rows, batch_id)
+    """Start a stream that hands every micro-batch to ``apply(rows, batch_id)``.
 
-    return (stream.writeStream.foreachBatch(step).outputMode(mode)
+    ``apply`` should store the rows once and go on from there: each action on them runs the
+    stream's own plan again, state included.
+    """
+    return (stream.writeStream.foreachBatch(apply).outputMode(mode)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
