@@ -8,7 +8,8 @@ from pyspark.sql import Window, functions as F
 from tests.rows import at, item, order, raw, review, tuples
 from tierlake.operators import segments
 from tierlake.operators.clean import clean_topic
-from tierlake.operators.ranking import count_larger, percent_rank_desc, top_share_cutoff
+from tierlake.operators.ranking import (count_larger, percent_rank_desc, top_share_cutoff,
+                                          value_counts)
 from tierlake.plans import serving
 
 AS_OF = datetime(2024, 6, 1)
@@ -45,7 +46,8 @@ def test_cutoff_marks_the_same_rows_as_percent_rank(spark, kind, share):
 
 def test_count_larger_by_brute_force(spark):
     values = _values("spread", 60) + [(99, -5), (100, -5), (101, 0)]
-    got = count_larger(spark.createDataFrame(values, "i int, v long"), "v").collect()
+    got = count_larger(value_counts(spark.createDataFrame(values, "i int, v long"), "v"),
+                       "v").collect()
     plain = [v for _, v in values]
     assert {(r["v"], r["n"], r["n_larger"]) for r in got} == {
         (v, plain.count(v), sum(w > v for w in plain)) for v in plain}

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tierlake.session import materialise
+
 _BITS = 18
 # Values that hold more than this share of all rows are joined by broadcast; there can be at
 # most 1 / share of them.
@@ -24,32 +26,41 @@ def cents(amount: str | Column) -> Column:
     return (col * 100).cast("long")
 
 
-def _larger_in_group(df: DataFrame, group: list[str], order: str, count: str) -> Column:
+def _larger_in_group(group: list[str], order: str, count: str) -> Column:
     """Rows counted by larger values of the same group: a running sum that leaves out this row."""
     window = (Window.partitionBy(*group).orderBy(F.col(order).desc())
               .rowsBetween(Window.unboundedPreceding, -1))
     return F.coalesce(F.sum(count).over(window), F.lit(0).cast("long"))
 
 
-def count_larger(df: DataFrame, value: str) -> DataFrame:
+def value_counts(df: DataFrame, value: str) -> DataFrame:
+    """``value, n``: rows per distinct value, null included. Stored, as it is read repeatedly
+    where the rows themselves are read once."""
+    return materialise(df.groupBy(value).agg(F.count("*").alias("n")), "value-counts")
+
+
+def count_larger(counts: DataFrame, value: str) -> DataFrame:
     """``value, n, n_larger``: per distinct integer value, its rows and the rows above it.
 
-    Rows whose value is null are left out.
+    A null value counts as smaller than all others.
     """
-    lo = (df.filter(F.col(value).isNotNull())
-          .groupBy(value).agg(F.count("*").alias("n"))
+    lo = (counts.filter(F.col(value).isNotNull())
           .withColumn("_mid", F.shiftright(value, _BITS))
           .withColumn("_hi", F.shiftright(value, 2 * _BITS)))
     mid = lo.groupBy("_hi", "_mid").agg(F.sum("n").alias("_mid_n"))
     hi = mid.groupBy("_hi").agg(F.sum("_mid_n").alias("_hi_n"))
     # At most 2^19 rows (54-bit values cut by 36 bits, both signs), so one task may hold them.
-    hi = hi.select("_hi", _larger_in_group(hi, [], "_hi", "_hi_n").alias("_above_hi"))
-    mid = (mid.withColumn("_above_mid", _larger_in_group(mid, ["_hi"], "_mid", "_mid_n"))
+    hi = hi.select("_hi", _larger_in_group([], "_hi", "_hi_n").alias("_above_hi"))
+    mid = (mid.withColumn("_above_mid", _larger_in_group(["_hi"], "_mid", "_mid_n"))
            .join(hi, "_hi")
            .select("_mid", (F.col("_above_hi") + F.col("_above_mid")).alias("_above")))
-    return (lo.withColumn("_above_lo", _larger_in_group(lo, ["_mid"], value, "n"))
-            .join(mid, "_mid")
-            .select(value, "n", (F.col("_above") + F.col("_above_lo")).alias("n_larger")))
+    valued = (lo.withColumn("_above_lo", _larger_in_group(["_mid"], value, "n"))
+              .join(mid, "_mid")
+              .select(value, "n", (F.col("_above") + F.col("_above_lo")).alias("n_larger")))
+    all_valued = counts.filter(F.col(value).isNotNull()).agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("n_larger"))
+    unvalued = counts.filter(F.col(value).isNull()).crossJoin(F.broadcast(all_valued))
+    return valued.unionByName(unvalued)
 
 
 def _percent(n_larger: Column, total: Column) -> Column:
@@ -57,13 +68,18 @@ def _percent(n_larger: Column, total: Column) -> Column:
     return F.when(total > 1, n_larger / (total - 1)).otherwise(0.0)
 
 
+def _value_ranks(df: DataFrame, value: str, output: str) -> DataFrame:
+    """``value, n, _total, output``: the percent_rank of each distinct value."""
+    counts = value_counts(df, value)
+    total = F.broadcast(counts.agg(F.sum("n").alias("_total")))
+    return count_larger(counts, value).crossJoin(total).withColumn(
+        output, _percent(F.col("n_larger"), F.col("_total")))
+
+
 def top_share_cutoff(df: DataFrame, value: str, share: float) -> DataFrame:
     """One row, ``cutoff``: the smallest value whose descending percent_rank is within a share."""
-    counts = count_larger(df, value)
-    total = df.filter(F.col(value).isNotNull()).agg(F.count("*").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .filter(_percent(F.col("n_larger"), F.col("_total")) <= share)
-            .agg(F.min(value).alias("cutoff")))
+    ranks = _value_ranks(df, value, "_rank")
+    return ranks.filter(F.col("_rank") <= share).agg(F.min(value).alias("cutoff"))
 
 
 def percent_rank_desc(df: DataFrame, value: str, output: str) -> DataFrame:
@@ -72,27 +88,20 @@ def percent_rank_desc(df: DataFrame, value: str, output: str) -> DataFrame:
     Equal to the window function for rows with a value; a null value ranks after all others,
     as a window ordered ``desc`` (nulls last) has it.
 
-    Rows meet the ranks of their values in a join. Values shared by very many rows are joined
-    by broadcast (their number is bounded by ``1 / _HOT_SHARE``), so no task receives all the
-    rows of one value; the others are joined on the value.
+    Rows meet the ranks of their values in a join. Null, and values shared by very many rows,
+    are joined by broadcast (there are at most ``1 / _HOT_SHARE`` such values), so no task
+    receives all the rows of one value; the others are joined on the value.
     """
-    total = F.broadcast(df.agg(F.count("*").alias("_total"),
-                               F.count(value).alias("_valued")))
-    ranks = count_larger(df, value).crossJoin(total).select(
-        F.col(value).alias("_value"), "n",
-        _percent(F.col("n_larger"), F.col("_total")).alias(output),
-        (F.col("n") > F.col("_total") * _HOT_SHARE).alias("_hot"))
+    ranks = _value_ranks(df, value, output).select(
+        F.col(value).alias("_value"), output,
+        (F.col(value).isNull() | (F.col("n") > F.col("_total") * _HOT_SHARE)).alias("_hot"))
     hot = ranks.filter("_hot").select("_value", F.col(output).alias("_hot_rank"))
     cold = ranks.filter("not _hot").select("_value", output)
 
-    tagged = df.join(F.broadcast(hot), F.col(value) == F.col("_value"), "left").drop("_value")
+    tagged = df.join(F.broadcast(hot), F.col(value).eqNullSafe(F.col("_value")), "left").drop(
+        "_value")
     from_hot = tagged.filter(F.col("_hot_rank").isNotNull()).withColumnRenamed(
         "_hot_rank", output)
-    from_cold = (tagged.filter(F.col("_hot_rank").isNull() & F.col(value).isNotNull())
-                 .drop("_hot_rank")
+    from_cold = (tagged.filter(F.col("_hot_rank").isNull()).drop("_hot_rank")
                  .join(cold, F.col(value) == F.col("_value")).drop("_value"))
-    from_null = (tagged.filter(F.col(value).isNull()).drop("_hot_rank")
-                 .crossJoin(total)
-                 .withColumn(output, _percent(F.col("_valued"), F.col("_total")))
-                 .drop("_total", "_valued"))
-    return from_hot.unionByName(from_cold).unionByName(from_null)
+    return from_hot.unionByName(from_cold)
