@@ -93,8 +93,9 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, items``. An order is one message, so its items are bounded by the message
     size; they are sorted to make the array independent of row order."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    # Shuffled by order while still narrow; the grouping below then needs no shuffle of its own.
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice").repartition("l_orderkey")
     sort_first = F.struct(
         _padded("SKU-", F.col("p_partkey"), 5).alias("sku"),
         F.col("l_extendedprice").alias("subtotal"),
