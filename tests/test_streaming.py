@@ -206,3 +206,18 @@ def test_streams_leave_no_scratch_files(spark, tmp_path):
                             str(tmp_path / "c"), DRAIN)])
     assert table.read().count() == 1
     assert set(Path(shared_folder(spark)).iterdir()) == before
+
+
+def test_streams_start_before_there_is_data(spark, tmp_path):
+    source, log = str(tmp_path / "raw"), CleanLog(spark, str(tmp_path / "log"), "clickstream")
+    table = metric_table(spark, str(tmp_path / "t"), "hourly_site_traffic")
+
+    def drain():
+        _drain_clean(spark, source, log, str(tmp_path / "c1"))
+        wait_for([stream_hourly({"clickstream": log}, "hourly_site_traffic", table,
+                                str(tmp_path / "c2"), DRAIN)])
+        return table.read().count()
+
+    assert drain() == 0
+    _batches(spark, "clickstream", source, [click("a"), click("b", event_ts=at(60))])
+    assert drain() == 2

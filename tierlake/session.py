@@ -93,10 +93,22 @@ def stored_for_now(df: DataFrame, label: str, spark: SparkSession) -> Iterator[D
         remove_tree(spark, path)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's path object and the file system it is on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove_tree(spark: SparkSession, path: str) -> None:
     """Delete a folder on whatever file system it is on."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder unless it is there: a stream can then start before its first file."""
+    folder, files = _file_system(spark, path)
+    files.mkdirs(folder)
 
 
 def run_together(spark: SparkSession, action: Callable[[Item], Result],

@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tierlake.session import ensure_folder
+
 
 def scan_table(spark: SparkSession, path: str, schema: StructType | None = None,
                dates: tuple[date, date] | None = None,
@@ -23,7 +25,8 @@ def scan_table(spark: SparkSession, path: str, schema: StructType | None = None,
 
 def table_stream(spark: SparkSession, path: str, schema: StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the files of a Parquet table. The schema is declared, so the table may be empty."""
+    """Stream the files of a Parquet table, which may have none yet: its schema is declared."""
+    ensure_folder(spark, path)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
