@@ -28,3 +28,6 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_toxicity, op2_language_id, op5_quality_rules)}
+
+#: DuckDB SQL of the queries that SQL can express.
+ORACLES: dict[str, str] = {}
