@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierlake.llm import language_id, quality_hosts, toxicity
+from tierlake.llm import language_id, quality_hosts, sentencepiece_bpe, toxicity
 from tierlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: The vocabulary of the SentencePiece query.
+PIECES = "piece_bpe_32k.model"
+
+
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(PIECES)
+
+
+def sha256(text: Column) -> Column:
+    return F.sha2(text.cast("binary"), 256)
+
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -26,8 +39,16 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_hosts.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = sentencepiece_bpe.encode_and_decode(table(spark, sf_dir, "documents"), pieces_path())
+    return made.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_toxicity, op2_language_id, op5_quality_rules)}
+    op1_toxicity, op2_language_id, op5_quality_rules, op6_sentencepiece)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
