@@ -41,6 +41,7 @@ UNDETERMINED = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Values of the regressions lie around -1 and 1; the softmax is taken of this multiple.
 SHARPNESS = 4.0
+SALTS = 8
 
 
 def normal(text: str | None) -> str:
@@ -113,9 +114,14 @@ class Model:
 def fit(docs: DataFrame, per_language: int = 600, landmarks: int = 48, alphabet: int = 80,
         ridge: float = 0.1) -> Model:
     """Learn from bounded samples; see the module."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = F.xxhash64("doc_id"), "doc_id"
+    salt = F.pmod(F.hash("doc_id"), F.lit(SALTS))
+    # Each salt of a language brings its first ids, so that a frequent language is no one task's.
     ids = (docs.filter(may_learn() & F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
-           .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= per_language))
+           .withColumn("rank", F.row_number().over(Window.partitionBy("lang", salt).orderBy(*order)))
+           .filter(F.col("rank") <= per_language)
+           .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+           .filter(F.col("rank") <= per_language))
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
             .select("text", "lang", "rank").orderBy("lang", "rank", "text").toArrow())
     samples = [(normal(t), lang, rank) for t, lang, rank in zip(*(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierlake.llm import language_id, quality_hosts, sentencepiece_bpe, toxicity
+from tierlake.llm import decontamination, language_id, quality_hosts, sentencepiece_bpe, toxicity
 from tierlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,14 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_toxicity, op2_language_id, op5_quality_rules, op6_sentencepiece)}
+    op1_toxicity, op2_language_id, op5_quality_rules, op6_sentencepiece,
+    op7_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
