@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tierlake.llm import decontamination, language_id, quality_hosts, sentencepiece_bpe, toxicity
+from tierlake.llm import (
+    decontamination, language_id, line_dedup, quality_hosts, sentencepiece_bpe, toxicity)
 from tierlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, language_id.fit(docs))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = line_dedup.delete_copies(table(spark, sf_dir, "documents"), count_as="n_deleted_lines")
+    return made.select("doc_id", "n_deleted_lines", F.length("text").alias("n_chars_kept"),
+                       sha256(F.col("text")).alias("text_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_hosts.judge(table(spark, sf_dir, "documents"))
 
@@ -53,7 +60,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_toxicity, op2_language_id, op5_quality_rules, op6_sentencepiece,
+    op1_toxicity, op2_language_id, op4_line_dedup, op5_quality_rules, op6_sentencepiece,
     op7_decontamination)}
 
 #: DuckDB SQL of the queries that SQL can express.
