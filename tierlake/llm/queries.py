@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierlake.llm import (
-    decontamination, language_id, line_dedup, quality_hosts, sentencepiece_bpe, toxicity)
+    chat, decontamination, language_id, line_dedup, quality_hosts, secrets, sentencepiece_bpe,
+    toxicity)
 from tierlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,9 +60,37 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       table(spark, sf_dir, "benchmark"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    base = ("assign", "access", "hex")
+    return found.select(
+        "doc_id", *(F.size(k).cast("bigint").alias(f"n_{k}") for k in base),
+        sha256(secrets.listed(base)).alias("base_sha256"),
+        secrets.listed(secrets.KINDS).alias("spans"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+CHAT_SQL = """
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations
+               WHERE conv_id IS NOT NULL),
+chats AS (SELECT conv_id, count(*) AS n,
+                 string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10),
+                            '' ORDER BY turn, role, text) AS chat
+          FROM turns GROUP BY conv_id),
+firsts AS (SELECT min(conv_id) AS conv_id, any_value(n) AS n, chat FROM chats GROUP BY chat)
+SELECT conv_id, CAST(n AS INTEGER) AS n_turns, chat FROM firsts a
+WHERE NOT EXISTS (SELECT 1 FROM firsts b WHERE length(b.chat) > length(a.chat)
+                  AND starts_with(b.chat, a.chat))
+"""
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_toxicity, op2_language_id, op4_line_dedup, op5_quality_rules, op6_sentencepiece,
-    op7_decontamination)}
+    op7_decontamination, op8_secrets, op10_chat)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_chat": CHAT_SQL}
