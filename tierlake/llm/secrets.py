@@ -51,6 +51,9 @@ ORDINARY = ("getUserNameFromRequest set_default_configuration max_retry_attempts
             "internationalization ConcurrentHashMapIterator file_system_provider "
             "https-redirect-middleware calculateTotalAmount user_profile_picture_url").split()
 
+#: A row of the models is drawn to the single characters with the weight of so many pairs.
+DRAWN = 10.0
+
 KINDS = ("assign", "access", "hex", "markov")
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
@@ -98,11 +101,14 @@ def _codes(value: Column) -> Column:
 
 
 def _pairs(value: Column) -> Column:
-    """A number for each two characters that follow each other."""
+    """A number for each two characters that follow each other.
+
+    Both sides are arrays outside the lambda: what stands inside is evaluated for each element.
+    """
     codes = _codes(value)
-    return F.transform(
-        F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0))),
-        lambda code, i: code * (len(ALPHABET) + 1) + F.get(codes, i + 1))
+    last = F.greatest(F.size(codes) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, F.lit(1), last), F.slice(codes, F.lit(2), last),
+                      lambda code, after: code * (len(ALPHABET) + 1) + after)
 
 
 def _first(rows: DataFrame, sample: int) -> DataFrame:
@@ -122,22 +128,30 @@ def train(docs: DataFrame, sample: int = 1_000) -> list[float]:
     plain = docs.select("doc_id", "text").join(
         F.broadcast(without.distinct()), "doc_id", "left_semi").select(
         F.lit(0).alias("label"), F.explode(F.regexp_extract_all(
-            "text", F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("value"))
+            "text", F.lit("[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("value")).filter(
+        F.length("value") < CANDIDATE_LENGTH)
     names = docs.sparkSession.createDataFrame([(0, n) for n in ORDINARY for _ in range(20)],
                                               "label int, value string")
     counted = (random.unionByName(plain).unionByName(names)
                .select("label", F.explode(_pairs(F.col("value"))).alias("pair"))
                .groupBy("label", "pair").count().collect())
     size = len(ALPHABET) + 1
-    counts = [[1.0] * (size * size) for _ in range(2)]
+    counts = [[0] * (size * size) for _ in range(2)]
     for row in counted:
         counts[row["label"]][row["pair"]] += row["count"]
-    ratios = []
+    ordinary, random_ = (_log_probabilities(c, size) for c in counts)
+    return [r - o for r, o in zip(random_, ordinary)]
+
+
+def _log_probabilities(counts: list[int], size: int) -> list[float]:
+    """ln p(second | first) of all pairs, drawn to the frequency of the second alone."""
+    singles = [1 + sum(counts[second::size]) for second in range(size)]
+    total, out = sum(singles), []
     for first in range(size):
-        rows = [c[first * size:(first + 1) * size] for c in counts]
-        sums = [math.log(sum(r)) for r in rows]
-        ratios += [math.log(b) - sums[1] - math.log(a) + sums[0] for a, b in zip(*rows)]
-    return ratios
+        row = counts[first * size:(first + 1) * size]
+        out += [math.log((n + DRAWN * single / total) / (sum(row) + DRAWN))
+                for n, single in zip(row, singles)]
+    return out
 
 
 def ratio_of(value: Column, model: list[float]) -> Column:
