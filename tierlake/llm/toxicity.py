@@ -281,14 +281,16 @@ def learn_lexicon(rows: DataFrame, positives: int, total: int,
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression by Newton steps, drawn to the prior weights with precision 1/4."""
+    """Logistic regression, drawn to the prior weights with precision 1/4: Newton steps of a
+    length of one at most, which do not overshoot."""
     prior = np.array([BIAS, *SYMBOLS.values()])
     w = prior.copy()
-    for _ in range(30):
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (y - p) - 0.25 * (w - prior)
         hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.25 * np.eye(len(w))
         step = np.linalg.solve(hessian, gradient)
+        step /= max(1.0, np.abs(step).max())
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
