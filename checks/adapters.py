@@ -93,9 +93,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``o_orderkey, items``. An order is one message, so its items are bounded by the message
     size; they are sorted to make the array independent of row order."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    # Shuffled by order while still narrow; the grouping below then needs no shuffle of its own.
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice").repartition("l_orderkey")
+        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
     sort_first = F.struct(
         _padded("SKU-", F.col("p_partkey"), 5).alias("sku"),
         F.col("l_extendedprice").alias("subtotal"),
@@ -166,7 +165,7 @@ def raw_product_reviews(spark: SparkSession, sf_dir: str, with_text: bool = Fals
     key = F.col("o_orderkey")
     hundredths = (key * 37) % 201 - 100
     at = _shift_minutes("event_ts", F.col("copy") - 1)
-    rows = _copies(_orders(spark, sf_dir).filter(key % 2 == 0), key % 9 == 0)
+    rows = _copies(_orders(spark, sf_dir), key % 9 == 0)
     if with_text:
         rows = _with_text(rows, spark, sf_dir, "o_orderkey")
     return _as_raw(rows.select(
@@ -175,7 +174,9 @@ def raw_product_reviews(spark: SparkSession, sf_dir: str, with_text: bool = Fals
         (key * 2 + F.col("copy")).alias("offset"),
         at.alias("kafka_ts"),
         F.concat(F.lit("RVW-"), key.cast("string")).alias("review_id"),
-        F.when(key % 83 != 0, _user("o_custkey")).alias("user_id"),
+        # Some users never have a review of their own, so that profiles miss that section.
+        F.when((key % 83 != 0) & (F.col("o_custkey") % 7 != 0), _user("o_custkey"))
+        .alias("user_id"),
         _padded("SKU-", key % 250, 5).alias("sku"),
         F.when((F.col("copy") == 1) & (key % 9 == 0), 3)
         .otherwise(6 - F.substring("o_orderpriority", 1, 1).cast("int")).alias("rating"),
@@ -191,7 +192,7 @@ def raw_product_reviews(spark: SparkSession, sf_dir: str, with_text: bool = Fals
 def raw_social_buzz(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
     i = F.col("event_id")
     hundredths = (i * 53) % 201 - 100
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
+    e = table(spark, sf_dir, "events")
     rows = _copies(e.withColumn("event_ts", F.col("ts").cast("timestamp")), i % 11 == 0)
     if with_text:
         rows = _with_text(rows, spark, sf_dir, "event_id")
@@ -205,7 +206,7 @@ def raw_social_buzz(spark: SparkSession, sf_dir: str, with_text: bool = False) -
         at.alias("kafka_ts"),
         F.when(i % 101 != 0, F.concat(F.lit("PST-"), i.cast("string"))).alias("post_id"),
         _pick(i % 4, "instagram", "twitter", "facebook", "youtube").alias("platform"),
-        F.when(i % 7 != 0, _user("user_id")).alias("user_id"),
+        F.when((i % 7 != 0) & (F.col("user_id") % 11 != 0), _user("user_id")).alias("user_id"),
         (F.col("_text") if with_text else F.lit(None)).alias("content"),
         tags.alias("hashtags"),
         F.when((F.col("copy") == 1) & (i % 11 == 0), 0).otherwise(F.floor("value"))
@@ -218,6 +219,9 @@ def raw_social_buzz(spark: SparkSession, sf_dir: str, with_text: bool = False) -
     ), "social_buzz")
 
 
+#: The free text of the topics that have one; it is read only where a query shows it.
+TEXT_COLUMNS = {"product_reviews": "review_text", "social_buzz": "content"}
+
 RAW = {
     "clickstream": raw_clickstream,
     "purchases": raw_purchases,

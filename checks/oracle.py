@@ -102,6 +102,7 @@ SELECT 'product-reviews' AS topic, CAST(o_orderkey % 2 AS INT) AS "partition",
   o_orderkey * 2 + copy AS "offset", event_ts + to_minutes(copy - 1) AS kafka_ts,
   'RVW-' || o_orderkey AS review_id, o_orderkey,
   CASE WHEN o_orderkey % 83 <> 0
+        AND o_custkey % 7 <> 0
        THEN 'USR-' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS user_id,
   'SKU-' || lpad(CAST(o_orderkey % 250 AS VARCHAR), 5, '0') AS sku,
   CASE WHEN copy = 1 AND o_orderkey % 9 = 0 THEN 3
@@ -110,13 +111,13 @@ SELECT 'product-reviews' AS topic, CAST(o_orderkey % 2 AS INT) AS "partition",
   CASE WHEN (o_orderkey * 37) % 201 - 100 >= 5 THEN 'positive'
        WHEN (o_orderkey * 37) % 201 - 100 <= -5 THEN 'negative' ELSE 'neutral' END
     AS sentiment_label,
-  CAST((o_orderkey * 37) % 201 - 100 AS DOUBLE) / 100 AS sentiment_score,
+  CAST((o_orderkey * 37) % 201 - 100 AS DOUBLE) / 100 AS sentiment_score, text AS review_text,
   event_ts, event_ts + to_minutes(copy - 1) AS ingested_at,
   CAST(event_ts + to_minutes(copy - 1) AS DATE) AS ingestion_date
 FROM (SELECT o.*, o.o_orderdate + to_hours(CAST(o.o_orderkey % 24 AS INT)) AS event_ts, c.copy
       FROM orders o JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
-        ON c.copy = 1 OR o.o_orderkey % 9 = 0
-      WHERE o.o_orderkey % 2 = 0)"""
+        ON c.copy = 1 OR o.o_orderkey % 9 = 0) o
+  LEFT JOIN documents ON doc_id = o_orderkey % (SELECT count(*) FROM documents)"""
 
 VIEWS["raw_social_buzz"] = """
 SELECT 'social-buzz' AS topic, CAST(event_id % 2 AS INT) AS "partition",
@@ -124,7 +125,7 @@ SELECT 'social-buzz' AS topic, CAST(event_id % 2 AS INT) AS "partition",
   CASE WHEN event_id % 101 <> 0 THEN 'PST-' || event_id END AS post_id,
   CASE event_id % 4 WHEN 0 THEN 'instagram' WHEN 1 THEN 'twitter' WHEN 2 THEN 'facebook'
        ELSE 'youtube' END AS platform,
-  CASE WHEN event_id % 7 <> 0
+  CASE WHEN event_id % 7 <> 0 AND user_id % 11 <> 0
        THEN 'USR-' || lpad(CAST(user_id AS VARCHAR), 6, '0') END AS user_id,
   CASE event_id % 3 WHEN 0 THEN '#a,#b' WHEN 1 THEN '#b' ELSE '#a' END AS hashtags,
   CASE WHEN copy = 1 AND event_id % 11 = 0 THEN 0 ELSE CAST(floor(value) AS INT) END AS likes,
@@ -132,11 +133,11 @@ SELECT 'social-buzz' AS topic, CAST(event_id % 2 AS INT) AS "partition",
   CASE WHEN (event_id * 53) % 201 - 100 >= 5 THEN 'positive'
        WHEN (event_id * 53) % 201 - 100 <= -5 THEN 'negative' ELSE 'neutral' END
     AS sentiment_label,
-  CAST((event_id * 53) % 201 - 100 AS DOUBLE) / 100 AS sentiment_score,
+  CAST((event_id * 53) % 201 - 100 AS DOUBLE) / 100 AS sentiment_score, text AS content,
   'en' AS lang, ts AS event_ts, ts + to_minutes(copy - 1) AS ingested_at,
   CAST(ts + to_minutes(copy - 1) AS DATE) AS ingestion_date
 FROM events JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c ON copy = 1 OR event_id % 11 = 0
-WHERE event_type IN ('click', 'view')"""
+LEFT JOIN documents ON doc_id = event_id % (SELECT count(*) FROM documents)"""
 
 # -- dedup and clean -------------------------------------------------------------------------
 
@@ -377,8 +378,7 @@ FROM profile_purchases p FULL JOIN profile_reviews v USING (user_id)
 VIEWS["risk"] = """
 SELECT user_id, segment, churn_score, revenue_30d, order_count_30d, last_purchase_date,
   avg_review_score
-FROM user_segments WHERE churn_score >= 0.5 AND segment IN ('at_risk', 'regular')
-ORDER BY churn_score DESC, user_id LIMIT 50"""
+FROM user_segments WHERE churn_score >= 0.5 AND segment IN ('at_risk', 'regular')"""
 VIEWS["units"] = "SELECT CAST(churn_score * 10000 AS BIGINT) AS u FROM risk"
 
 
@@ -440,15 +440,20 @@ def _per_date(tables: str, prefix: str, measure: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+# E-mail address, IPv4 address, telephone number.
+_PERSONAL = (
+    (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "<email>"),
+    (r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b", "<ip>"),
+    (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}", "<phone>"))
 _TOPIC_TABLES = "clickstream purchases product_reviews social_buzz"
 
 
 def statements() -> dict[str, str]:
-    from tierlake.functions import privacy
+    def masked(column: str) -> str:
+        for pattern, tag in _PERSONAL:
+            column = f"regexp_replace({column}, '{pattern}', '{tag}', 'g')"
+        return column
 
-    masked = "text"
-    for pattern, tag in privacy.TEXT_MASKS:
-        masked = f"regexp_replace({masked}, '{pattern}', '{tag}', 'g')"
     scored = _SCORED.replace("{lexicon}", _lexicon_rows())
     price = "CAST(CAST(item_unit_price AS DECIMAL(20,4)) * item_qty AS DECIMAL(38,4))"
 
@@ -465,14 +470,8 @@ def statements() -> dict[str, str]:
             SELECT p.* EXCLUDE (o_orderkey), coalesce(n_items, 0) AS n_items,
               coalesce(items, '') AS items
             FROM raw_purchases p LEFT JOIN items_text i USING (o_orderkey)""",
-        "parse_reviews": """
-            SELECT v.* EXCLUDE (o_orderkey), text AS review_text
-            FROM raw_product_reviews v LEFT JOIN documents
-              ON doc_id = o_orderkey % (SELECT count(*) FROM documents)""",
-        "parse_social": """
-            SELECT v.* EXCLUDE (event_id), text AS content
-            FROM raw_social_buzz v LEFT JOIN documents
-              ON doc_id = event_id % (SELECT count(*) FROM documents)""",
+        "parse_reviews": _all("raw_product_reviews", "o_orderkey"),
+        "parse_social": _all("raw_social_buzz", "event_id"),
         "parse_quarantine": """
             SELECT topic, "partition", "offset", kafka_ts,
               CASE WHEN "offset" % 61 = 0 OR "offset" % 67 = 0 THEN 'malformed'
@@ -511,7 +510,7 @@ def statements() -> dict[str, str]:
         "dedup_clickstream": _all("one_clickstream"),
         "dedup_purchases": _all("one_purchases", "o_orderkey"),
         "dedup_reviews": _all("one_product_reviews", "o_orderkey"),
-        "dedup_social": """SELECT post_id, user_id, platform, likes, shares, "offset",
+        "dedup_social": """SELECT post_id, user_id, platform, content, likes, shares, "offset",
             ingested_at FROM one_social_buzz""",
         "clean_clickstream": _all("clickstream"),
         "clean_purchases": _all("purchases", "o_orderkey"),
@@ -541,16 +540,15 @@ def statements() -> dict[str, str]:
               CAST(likes AS BIGINT) + CAST(shares AS BIGINT) * 4 AS engagement_score,
               CAST(likes AS BIGINT) + CAST(shares AS BIGINT) * 4 > 200 AS is_viral
             FROM raw_social_buzz""",
-        "mask_pii": f"SELECT doc_id, {masked} AS text FROM documents",
+        "mask_pii": f"SELECT doc_id, {masked('text')} AS text FROM documents",
         "mask_click_identity": r"""
             SELECT "offset", regexp_replace(ip,
                 '^([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\.[0-9]{1,3}$', '\1.x') AS ip,
               sha256('salt:' || user_id) AS user_digest
             FROM raw_clickstream""",
         "clean_reviews_masked": f"""
-            SELECT review_id, sha256('salt:' || user_id) AS user_id, {masked} AS review_text
-            FROM product_reviews LEFT JOIN documents
-              ON doc_id = o_orderkey % (SELECT count(*) FROM documents)""",
+            SELECT review_id, sha256('salt:' || user_id) AS user_id,
+              {masked('review_text')} AS review_text FROM product_reviews""",
         "score_sentiment": scored,
         "sentiment_label": f"SELECT sentiment_label, count(*) AS n FROM ({scored}) GROUP BY 1",
         "order_amount_check": f"""
@@ -573,6 +571,10 @@ def statements() -> dict[str, str]:
         # metrics
         **{m: _all(m) for m in ("hourly_sales", "hourly_search_trends", "hourly_site_traffic",
                                 "hourly_sentiment")},
+        "distinct_approx": """
+            SELECT platform, count(DISTINCT user_id) AS users, true AS users_close,
+              count(DISTINCT session_id) AS sessions, true AS sessions_close
+            FROM clickstream GROUP BY platform""",
         "distinct_exact": """
             SELECT platform, count(DISTINCT user_id) AS users,
               count(DISTINCT session_id) AS sessions FROM clickstream GROUP BY platform""",
@@ -647,7 +649,7 @@ def statements() -> dict[str, str]:
             SELECT count(*) AS profiles,
               count(*) FILTER (WHERE segment_churn_score >= 0.5) AS at_risk
             FROM user_profiles""",
-        "churn_risk_users": _all("risk"),
+        "churn_risk_users": "SELECT * FROM risk ORDER BY churn_score DESC, user_id LIMIT 50",
         "churn_risk_summary": f"""
             SELECT count(*) AS matching, {r('avg(CAST(churn_score AS DOUBLE))', 4)} AS avg_churn,
               {r('avg(CAST(revenue_30d AS DOUBLE))', 2)} AS avg_revenue FROM risk""",
@@ -692,6 +694,9 @@ def statements() -> dict[str, str]:
         "stream_clean_purchases": _all("purchases", "o_orderkey"),
         "stream_clean_reviews": _all("product_reviews", "o_orderkey"),
         "stream_clean_social": _all("social_buzz", "event_id"),
+        "stream_clean_reviews_masked": f"""
+            SELECT review_id, sha256('salt:' || user_id) AS user_id,
+              {masked('review_text')} AS review_text FROM product_reviews""",
         **{f"stream_{m}": _all(m) for m in ("hourly_sales", "hourly_search_trends",
                                             "hourly_site_traffic", "hourly_sentiment")},
         "stream_upsert_metrics": _all("hourly_sentiment"),

@@ -53,12 +53,13 @@ def query(build: Query) -> Query:
     return run
 
 
-def _raw(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    return adapters.RAW[folder](spark, sf_dir)
+def _raw(spark: SparkSession, sf_dir: str, folder: str, with_text: bool = False) -> DataFrame:
+    texts = {"with_text": True} if with_text and folder in adapters.TEXT_COLUMNS else {}
+    return adapters.RAW[folder](spark, sf_dir, **texts)
 
 
-def _clean(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    return clean_topic(_raw(spark, sf_dir, folder), folder)
+def _clean(spark: SparkSession, sf_dir: str, folder: str, with_text: bool = False) -> DataFrame:
+    return clean_topic(_raw(spark, sf_dir, folder, with_text), folder)
 
 
 def _stored_clean(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
@@ -67,7 +68,8 @@ def _stored_clean(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
 
 
 def _messages(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
-    return adapters.messages(_raw(spark, sf_dir, folder), folder)
+    """With whole documents as the texts of reviews and posts."""
+    return adapters.messages(_raw(spark, sf_dir, folder, with_text=True), folder)
 
 
 # -- sources ---------------------------------------------------------------------------------
@@ -102,13 +104,13 @@ def ingest_topic_batch(spark, sf_dir):
     log = _topic_files(spark, sf_dir, ("product_reviews",))
     topic = TOPICS["product_reviews"]
     return parse_topic(read_topic_batch(spark, log, topic), topic.message,
-                       F.col("kafka_ts")).drop("review_text")
+                       F.col("kafka_ts"))
 
 
 @query
 def ingest_topic_stream(spark, sf_dir):
     """Stream over a topic in several micro-batches, parsed and stamped with one load time."""
-    return _streamed_raw(spark, sf_dir, "product_reviews", F.lit(AS_OF)).drop("review_text")
+    return _streamed_raw(spark, sf_dir, "product_reviews", F.lit(AS_OF))
 
 
 @query
@@ -147,16 +149,12 @@ def parse_purchases(spark, sf_dir):
 
 @query
 def parse_reviews(spark, sf_dir):
-    """With whole documents as review texts."""
-    raw = adapters.raw_product_reviews(spark, sf_dir, with_text=True)
-    return _parse(adapters.messages(raw, "product_reviews"), "product_reviews")
+    return _parsed(spark, sf_dir, "product_reviews")
 
 
 @query
 def parse_social(spark, sf_dir):
-    """With whole documents as post texts."""
-    raw = adapters.raw_social_buzz(spark, sf_dir, with_text=True)
-    return _parse(adapters.messages(raw, "social_buzz"), "social_buzz").withColumn(
+    return _parsed(spark, sf_dir, "social_buzz").withColumn(
         "hashtags", F.array_join("hashtags", ","))
 
 
@@ -264,14 +262,13 @@ def dedup_purchases(spark, sf_dir):
 
 @query
 def dedup_reviews(spark, sf_dir):
-    return dedup_topic(_raw(spark, sf_dir, "product_reviews"), "product_reviews"
-                       ).drop("review_text")
+    return dedup_topic(_raw(spark, sf_dir, "product_reviews", with_text=True), "product_reviews")
 
 
 @query
 def dedup_social(spark, sf_dir):
-    return dedup_topic(_raw(spark, sf_dir, "social_buzz"), "social_buzz").select(
-        "post_id", "user_id", "platform", "likes", "shares", "offset", "ingested_at")
+    return dedup_topic(_raw(spark, sf_dir, "social_buzz", with_text=True), "social_buzz").select(
+        "post_id", "user_id", "platform", "content", "likes", "shares", "offset", "ingested_at")
 
 
 @query
@@ -286,12 +283,12 @@ def clean_purchases(spark, sf_dir):
 
 @query
 def clean_reviews(spark, sf_dir):
-    return _clean(spark, sf_dir, "product_reviews").drop("review_text")
+    return _clean(spark, sf_dir, "product_reviews", with_text=True)
 
 
 @query
 def clean_social(spark, sf_dir):
-    return _clean(spark, sf_dir, "social_buzz").drop("content").withColumn(
+    return _clean(spark, sf_dir, "social_buzz", with_text=True).withColumn(
         "hashtags", F.array_join("hashtags", ","))
 
 
@@ -351,8 +348,8 @@ def mask_click_identity(spark, sf_dir):
 @query
 def clean_reviews_masked(spark, sf_dir):
     """Clean reviews, with whole documents as their texts, masked."""
-    raw = adapters.raw_product_reviews(spark, sf_dir, with_text=True)
-    return privacy.mask_table(clean_topic(raw, "product_reviews"), "salt:").select(
+    clean = _clean(spark, sf_dir, "product_reviews", with_text=True)
+    return privacy.mask_table(clean, "salt:").select(
         "review_id", "user_id", "review_text")
 
 
@@ -408,10 +405,18 @@ def distinct_exact(spark, sf_dir):
 
 @query
 def distinct_approx(spark, sf_dir):
+    """Exact counts, and whether the approximate ones are within three standard errors."""
     clicks = _clean(spark, sf_dir, "clickstream")
+    error = 0.02
+
+    def close(column: str) -> Column:
+        exact = F.count_distinct(column)
+        return F.abs(F.approx_count_distinct(column, error) - exact) <= 3 * error * exact
+
     return clicks.groupBy("platform").agg(
-        F.approx_count_distinct("user_id", 0.02).alias("users"),
-        F.approx_count_distinct("session_id", 0.02).alias("sessions"))
+        F.count_distinct("user_id").alias("users"), close("user_id").alias("users_close"),
+        F.count_distinct("session_id").alias("sessions"),
+        close("session_id").alias("sessions_close"))
 
 
 # -- segments --------------------------------------------------------------------------------
@@ -602,12 +607,13 @@ def live_risk_count(spark, sf_dir):
 
 
 def _risk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.churn_risk_users(_segments(spark, sf_dir))
+    """All users at risk; only their list is a list of the top ones."""
+    return serving.churn_risk_users(_segments(spark, sf_dir), top_n=None)
 
 
 @query
 def churn_risk_users(spark, sf_dir):
-    return _risk(spark, sf_dir)
+    return serving.churn_risk_users(_segments(spark, sf_dir))
 
 
 @query
@@ -732,16 +738,17 @@ def job_profiles(spark, sf_dir):
 def _raw_stream(spark: SparkSession, sf_dir: str, folder: str, files: int = 3) -> DataFrame:
     """A raw table as a stream of several files; copies of a message fall into any of them."""
     path = scratch_path(spark, "raw")
-    _raw(spark, sf_dir, folder).repartition(files, "offset").write.parquet(path)
+    _raw(spark, sf_dir, folder, with_text=True).repartition(files, "offset").write.parquet(path)
     return table_stream(spark, path, TOPICS[folder].raw, 1)
 
 
-def _clean_logs(spark: SparkSession, sf_dir: str, *folders: str) -> dict[str, CleanLog]:
+def _clean_logs(spark: SparkSession, sf_dir: str, *folders: str, masked: bool = False,
+                salt: str | None = None) -> dict[str, CleanLog]:
     """Clean logs filled by streams, all topics at the same time."""
     root = scratch_path(spark, "logs")
     logs = {f: CleanLog(spark, f"{root}/{f}", f, "month") for f in folders}
     wait_for([stream_clean(_raw_stream(spark, sf_dir, f), log,
-                           scratch_path(spark, "checkpoint"), DRAIN)
+                           scratch_path(spark, "checkpoint"), DRAIN, masked, salt)
               for f, log in logs.items()])
     return logs
 
@@ -762,12 +769,19 @@ def stream_clean_purchases(spark, sf_dir):
 
 @query
 def stream_clean_reviews(spark, sf_dir):
-    return _streamed_clean(spark, sf_dir, "product_reviews").drop("review_text")
+    return _streamed_clean(spark, sf_dir, "product_reviews")
+
+
+@query
+def stream_clean_reviews_masked(spark, sf_dir):
+    """The clean log of a stream that masks what it lands."""
+    logs = _clean_logs(spark, sf_dir, "product_reviews", masked=True, salt="salt:")
+    return logs["product_reviews"].clean().select("review_id", "user_id", "review_text")
 
 
 @query
 def stream_clean_social(spark, sf_dir):
-    return _streamed_clean(spark, sf_dir, "social_buzz").drop("content").withColumn(
+    return _streamed_clean(spark, sf_dir, "social_buzz").withColumn(
         "hashtags", F.array_join("hashtags", ","))
 
 
@@ -835,6 +849,6 @@ def stream_profile_refresh(spark, sf_dir):
     logs = _clean_logs(spark, sf_dir, *TOPICS)
     snapshot = materialise(_segments(spark, sf_dir), "segments")
     table = profile_table(spark, scratch_path(spark, "profiles"), buckets=8)
-    wait_for([stream_profiles(logs, snapshot, table, scratch_path(spark, "checkpoint"), DRAIN,
+    wait_for([stream_profiles(logs, lambda: snapshot, table, scratch_path(spark, "checkpoint"), DRAIN,
                               AS_OF)])
     return profiles.flatten_profiles(table.read())

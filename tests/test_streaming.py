@@ -149,7 +149,7 @@ def test_profiles_follow_the_logs(spark, tmp_path):
                                    clean_topic(raw(spark, "product_reviews"), "product_reviews"))
 
     def drain():
-        wait_for([stream_profiles(logs, empty, table, str(tmp_path / "c"), DRAIN, AS_OF)])
+        wait_for([stream_profiles(logs, lambda: empty, table, str(tmp_path / "c"), DRAIN, AS_OF)])
         return tuples(profiles.flatten_profiles(table.read()))
 
     for batch, tables in enumerate((first, second)):

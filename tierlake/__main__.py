@@ -6,7 +6,7 @@ import argparse
 import sys
 from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tierlake.plans import jobs
 from tierlake.schemas import TOPICS
@@ -33,7 +33,15 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--mask", action="store_true", help="mask personal data when cleaning")
     parser.add_argument("--salt", help="with --mask, replace user ids by a salted digest")
     parser.add_argument("--limit", type=int, help="profiles of the first N users only")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    # A flag that a job does not use must not look as if it had worked.
+    if args.mask and args.job not in ("clean", "full"):
+        parser.error("--mask belongs to the jobs that write clean tables: clean and full")
+    if args.salt and not args.mask:
+        parser.error("--salt needs --mask")
+    if args.limit is not None and (args.job != "profiles" or args.mode == "stream"):
+        parser.error("--limit belongs to the profiles batch job")
+    return args
 
 
 def _message_log(args: argparse.Namespace) -> MessageLog:
@@ -55,7 +63,8 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> int:
     elif args.job == "profiles":
         outcomes = [jobs.profiles_job(spark, lake, args.as_of, args.limit)]
     else:
-        outcomes = jobs.full_job(spark, _message_log(args), lake, as_of=args.as_of)
+        outcomes = jobs.full_job(spark, _message_log(args), lake, as_of=args.as_of,
+                                 masked=args.mask, salt=args.salt)
     for outcome in outcomes:
         print(outcome)
     return 1 if jobs.failed(outcomes) else 0
@@ -74,12 +83,15 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
                               EVERY_30_S) for f, t in TOPICS.items()]
     elif args.job == "clean":
         queries = [stream_clean(table_stream(spark, lake.path("raw", f), t.raw), logs[f],
-                                checkpoint("clean", f), EVERY_60_S) for f, t in TOPICS.items()]
+                                checkpoint("clean", f), EVERY_60_S, args.mask, args.salt)
+                   for f, t in TOPICS.items()]
     elif args.job == "metrics":
         queries = [stream_hourly(logs, n, metric_table(spark, lake.path("metrics", n), n),
                                  checkpoint("metrics", n), EVERY_60_S) for n in HOURLY]
     elif args.job == "profiles":
-        segments = jobs.read_metric(spark, jobs.Lake(args.lake), "user_segments")
+        def segments() -> DataFrame:
+            return jobs.read_metric(spark, jobs.Lake(args.lake), "user_segments")
+
         queries = [stream_profiles(
             logs, segments, profile_table(spark, lake.path("profiles", "user_profiles")),
             checkpoint("profiles", "user_profiles"), EVERY_60_S, args.as_of)]

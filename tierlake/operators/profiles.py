@@ -50,8 +50,12 @@ def profile_purchases(purchases: DataFrame, grain: str = LINE) -> DataFrame:
     At line grain, the default, amounts, returns and bands count once per line item, so
     ``return_rate`` can exceed 1; at order grain once per order.
     """
-    rows = at_grain(_known_users(purchases), grain)
+    # Narrow before the rows of an order are made one.
+    rows = at_grain(_known_users(purchases).select(
+        "user_id", "order_id", "payment_method", "final_amount", "is_return", "event_ts",
+        "spend_band"), grain)
     totals = rows.groupBy("user_id").agg(
+        F.mode("payment_method", True).alias("preferred_payment"),
         F.count_distinct("order_id").alias("total_orders"),
         money_sum("final_amount").cast("double").alias("total_spent"),
         F.count_if("is_return").alias("total_returns"),
@@ -60,7 +64,7 @@ def profile_purchases(purchases: DataFrame, grain: str = LINE) -> DataFrame:
         F.count_if(F.col("spend_band") == "mid").alias("band_mid"),
         F.count_if(F.col("spend_band") == "high").alias("band_high"),
     )
-    return totals.join(preferred_payment(rows), "user_id", "left").select(
+    return totals.select(
         "user_id", "total_orders",
         F.coalesce("total_spent", F.lit(0.0)).alias("total_spent"),
         "total_returns",
@@ -89,13 +93,14 @@ def profile_browsing(clicks: DataFrame) -> DataFrame:
     """Sessions, views, searches, cart adds, last activity and platform per user, without bots."""
     rows = _human_clicks(clicks)
     totals = rows.groupBy("user_id").agg(
+        F.mode("platform", True).alias("top_platform"),
         F.count_distinct("session_id").alias("total_sessions"),
         F.count_if(F.col("event_type") == "view").alias("total_views"),
         F.count_if("is_search").alias("total_searches"),
         F.count_if("is_checkout").alias("total_cart_adds"),
         F.max("event_ts").alias("_last"),
     )
-    return totals.join(top_platform(clicks), "user_id", "left").select(
+    return totals.select(
         "user_id", "total_sessions", "total_views", "total_searches", "total_cart_adds",
         iso_text("_last").alias("last_active_at"), "top_platform",
     )

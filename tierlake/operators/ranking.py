@@ -77,9 +77,12 @@ def _value_ranks(df: DataFrame, value: str, output: str) -> DataFrame:
 
 
 def top_share_cutoff(df: DataFrame, value: str, share: float) -> DataFrame:
-    """One row, ``cutoff``: the smallest value whose descending percent_rank is within a share."""
+    """One row, ``cutoff, null_is_top``: the smallest value whose descending percent_rank is
+    within a share, and whether rows without a value, which rank last, are within it too."""
     ranks = _value_ranks(df, value, "_rank")
-    return ranks.filter(F.col("_rank") <= share).agg(F.min(value).alias("cutoff"))
+    return ranks.filter(F.col("_rank") <= share).agg(
+        F.min(value).alias("cutoff"),
+        F.coalesce(F.bool_or(F.col(value).isNull()), F.lit(False)).alias("null_is_top"))
 
 
 def percent_rank_desc(df: DataFrame, value: str, output: str) -> DataFrame:

@@ -133,7 +133,9 @@ def user_segments(purchases: DataFrame, reviews: DataFrame, as_of: datetime | No
     scored = (
         stats.crossJoin(limits)
         .withColumn("churn_score", churn_score())
-        .withColumn("segment", segment_label(cents("revenue_30d") >= F.col("cutoff")))
+        .withColumn("segment", segment_label(F.coalesce(
+            cents("revenue_30d") >= F.col("cutoff"),
+            F.col("revenue_30d").isNull() & F.col("null_is_top"))))
         .withColumns({"window_start": now, "window_end": now})
     )
     table = METRICS["user_segments"].columns

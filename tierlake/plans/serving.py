@@ -120,15 +120,16 @@ DEFAULT_RISK_SEGMENTS = ("at_risk", "regular")
 
 
 def churn_risk_users(segments: DataFrame, threshold: float = 0.5,
-                     only: Sequence[str] = DEFAULT_RISK_SEGMENTS, top_n: int = 50) -> DataFrame:
-    """Users with the highest churn scores; an empty ``only`` does not restrict segments."""
+                     only: Sequence[str] = DEFAULT_RISK_SEGMENTS,
+                     top_n: int | None = 50) -> DataFrame:
+    """Users with the highest churn scores, or all at risk where ``top_n`` is None; an empty
+    ``only`` does not restrict segments."""
     rows = segments.filter(F.col("churn_score") >= F.lit(threshold))
     if only:
         rows = rows.filter(F.col("segment").isin(*only))
-    return rows.select(
-        "user_id", "segment", "churn_score", "revenue_30d", "order_count_30d",
-        "last_purchase_date", "avg_review_score",
-    ).orderBy(F.desc("churn_score"), "user_id").limit(top_n)
+    rows = rows.select("user_id", "segment", "churn_score", "revenue_30d", "order_count_30d",
+                       "last_purchase_date", "avg_review_score")
+    return rows if top_n is None else rows.orderBy(F.desc("churn_score"), "user_id").limit(top_n)
 
 
 def churn_risk_summary(risk: DataFrame) -> DataFrame:

@@ -105,6 +105,21 @@ def remove_tree(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def child_times(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names of the folders right below a path, with their times of change in seconds."""
+    folder, files = _file_system(spark, path)
+    if not files.exists(folder):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000
+            for s in files.listStatus(folder) if s.isDirectory()}
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written a folder to its end."""
+    marker, files = _file_system(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return files.exists(marker)
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Create a folder unless it is there: a stream can then start before its first file."""
     folder, files = _file_system(spark, path)

@@ -7,22 +7,27 @@ of it, and a run that dies half way leaves the table as it was.
 
     root/data/table_version=<n>/table_part=<part>/...   rows
     root/published/table_version=<n>/...                part, data_version; writer, batch_id
+
+The rule that makes parts is published too: a table cannot be opened with another one, which
+would leave the same key in two parts. Versions that nobody has followed for ``retention`` seconds
+are deleted by the upserts after.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tierlake.session import stored_for_now
-from tierlake.sources.tables import scan_or_none
+from tierlake.session import child_times, is_written, remove_tree, stored_for_now
 
 # Named so that no column of a table is called the same.
 _PART, _VERSION = "table_part", "table_version"
-_PUBLISHED = f"{_VERSION} long, part string, data_version long, writer string, batch_id long"
+_PUBLISHED = "part string, data_version long, writer string, batch_id long, rule string"
+RETENTION = 86_400.0
 
 
 def by_date(ts: str) -> Column:
@@ -57,28 +62,42 @@ class Upserted:
 
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, schema: StructType,
-                 key: Sequence[str], part: Column):
+                 key: Sequence[str], part: Column, retention: float = RETENTION):
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.key = list(key)
         self.part = part
+        self.rule = str(part)
+        self.retention = retention
 
     # -- reading ---------------------------------------------------------------------------
 
     def published(self) -> Published:
         """The latest published state. Its size is the number of parts, not of rows."""
-        history = scan_or_none(self.spark, f"{self.root}/published", _PUBLISHED)
-        if history is None:
-            return Published()
-        last = history.agg(F.max(_VERSION).alias(_VERSION))
-        rows = history.join(F.broadcast(last), _VERSION, "left_semi").collect()
-        if not rows:
+        names = sorted(self._times("published"), reverse=True)
+        version = next((n for n in names if is_written(
+            self.spark, f"{self.root}/published/{_VERSION}={n}")), None)
+        if version is None:
             return Published()
+        state, rules = self._state(version)
+        if rules - {self.rule}:
+            raise ValueError(f"{self.root} has parts by {rules}, not by {self.rule}")
+        return state
+
+    def _times(self, kind: str) -> dict[int, float]:
+        """Version numbers below a folder, with their times of change."""
+        found = child_times(self.spark, f"{self.root}/{kind}")
+        return {int(n.split("=")[1]): t for n, t in found.items() if n.startswith(f"{_VERSION}=")}
+
+    def _state(self, version: int) -> tuple[Published, set[str]]:
+        path = f"{self.root}/published/{_VERSION}={version}"
+        rows = self.spark.read.schema(_PUBLISHED).parquet(path).collect()
         return Published(
-            rows[0][_VERSION],
+            version,
             {r["part"]: r["data_version"] for r in rows if r["part"] is not None},
-            {r["writer"]: r["batch_id"] for r in rows if r["writer"] is not None})
+            {r["writer"]: r["batch_id"] for r in rows if r["writer"] is not None}), {
+                r["rule"] for r in rows if r["rule"] is not None}
 
     def _rows(self, parts: dict[str, int]) -> DataFrame:
         if not parts:
@@ -127,6 +146,7 @@ class KeyedTable:
         parts |= {p: version for p in self._parts_below(target)}
         batches = state.batches | ({batch[0]: batch[1]} if batch else {})
         self._publish(version, parts, batches)
+        self._expire(version)
         # Counting stored rows reads file footers only.
         added, total = new.count(), self._stored(target).count()
         return Upserted(rows_written=added, rows_replaced=old.count() + added - total)
@@ -145,10 +165,24 @@ class KeyedTable:
 
     def _publish(self, version: int, parts: dict[str, int], batches: dict[str, int]) -> None:
         """Publish a version; fails if another writer has published the same one meanwhile."""
-        rows = [(p, v, None, None) for p, v in parts.items()]
-        rows += [(None, None, w, b) for w, b in batches.items()]
-        # A table that has become empty still needs a row to publish.
-        rows = rows or [(None, None, None, None)]
-        schema = "part string, data_version long, writer string, batch_id long"
-        (self.spark.createDataFrame(rows, schema).coalesce(1)
+        rows = [(None, None, None, None, self.rule)]
+        rows += [(p, v, None, None, None) for p, v in parts.items()]
+        rows += [(None, None, w, b, None) for w, b in batches.items()]
+        (self.spark.createDataFrame(rows, _PUBLISHED).coalesce(1)
          .write.mode("error").parquet(f"{self.root}/published/{_VERSION}={version}"))
+
+    def _expire(self, current: int) -> None:
+        """Delete published states that were followed by another one long ago, and the data that
+        only they point to. A data version is pointed to by states in a row, from its own on."""
+        times = self._times("published")
+        old, limit = sorted(v for v in times if v < current), time.time() - self.retention
+        gone = [v for v, after in zip(old, [*old[1:], current]) if times[after] < limit]
+        if not gone:
+            return
+        first = min(v for v in times if v not in gone)
+        wanted = set(self._state(first)[0].parts.values())
+        for version in self._times("data"):
+            if version < first and version not in wanted:
+                remove_tree(self.spark, f"{self.root}/data/{_VERSION}={version}")
+        for version in gone:
+            remove_tree(self.spark, f"{self.root}/published/{_VERSION}={version}")

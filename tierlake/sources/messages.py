@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierlake.schemas import MESSAGE_LOG, Topic
+from tierlake.sources.tables import scan_or_none
 
 _CORRUPT = "_corrupt_record"
 
@@ -32,8 +33,8 @@ class KafkaLog:
         return spark.read.format("kafka").options(**options).load()
 
     def stream(self, spark: SparkSession, topic: Topic) -> DataFrame:
-        options = {"failOnDataLoss": "false", **self._options(topic)}
-        return spark.readStream.format("kafka").options(**options).load()
+        # Spark's default stands: messages that have gone before they were read are an error.
+        return spark.readStream.format("kafka").options(**self._options(topic)).load()
 
 
 @dataclass(frozen=True)
@@ -47,7 +48,9 @@ class FileLog:
         return f"{self.root.rstrip('/')}/{topic.folder}"
 
     def batch(self, spark: SparkSession, topic: Topic) -> DataFrame:
-        return spark.read.schema(MESSAGE_LOG).parquet(self.path(topic))
+        """The archived messages; none where the topic has no folder."""
+        rows = scan_or_none(spark, self.path(topic), MESSAGE_LOG)
+        return spark.createDataFrame([], MESSAGE_LOG) if rows is None else rows
 
     def stream(self, spark: SparkSession, topic: Topic) -> DataFrame:
         return (spark.readStream.schema(MESSAGE_LOG).options(**self.options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import ExitStack
 from datetime import datetime
 from functools import reduce
@@ -22,12 +23,14 @@ def profile_table(spark: SparkSession, root: str, buckets: int = 64) -> KeyedTab
     return KeyedTable(spark, root, PROFILE, ["user_id"], by_bucket("user_id", buckets))
 
 
-def stream_profiles(logs: dict[str, CleanLog], segments: DataFrame, table: KeyedTable,
+def stream_profiles(logs: dict[str, CleanLog], segments: Callable[[], DataFrame], table: KeyedTable,
                     checkpoint: str, trigger: Trigger = EVERY_60_S,
                     as_of: datetime | None = None,
                     max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Recompute the profiles of the users a micro-batch mentions and replace them.
 
+    ``segments`` scans the segment snapshot; it is called for each batch, so that the stream goes
+    on with the newest snapshot after the metrics job has run.
     A user whose only message moved to another user loses its profile in the same step.
     """
     streams = [log.stream(max_files_per_trigger).select("user_id") for log in logs.values()]
@@ -44,7 +47,7 @@ def stream_profiles(logs: dict[str, CleanLog], segments: DataFrame, table: Keyed
             tables = {f: store(log.clean(users=users), f) for f, log in logs.items()}
             rows = user_profiles(
                 tables["purchases"], tables["product_reviews"], tables["clickstream"],
-                tables["social_buzz"], segments.join(users, "user_id", "left_semi"), as_of)
+                tables["social_buzz"], segments().join(users, "user_id", "left_semi"), as_of)
             table.upsert(rows, replaces=users, batch=("profiles", batch_id))
 
     return start_batches(reduce(DataFrame.unionByName, streams), refresh, checkpoint, trigger)

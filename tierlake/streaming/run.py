@@ -25,11 +25,20 @@ def start_batches(stream: DataFrame, apply: Callable[[DataFrame, int], None], ch
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def wait_for(queries: Sequence[StreamingQuery]) -> None:
-    """Wait until all streams end; if one fails or the user interrupts, stop the others."""
+def wait_for(queries: Sequence[StreamingQuery], look_every: float = 1.0) -> None:
+    """Wait until all streams end; if any of them fails or the user interrupts, stop the others.
+
+    Streams are looked at in turn, so a failure is seen whichever of them it hits.
+    """
     try:
-        for query in queries:
-            query.awaitTermination()
+        running = list(queries)
+        while running:
+            # Raises if this one has failed; true if it has ended well.
+            ended = running[0].awaitTermination(look_every)
+            failed = next((q for q in running if q.exception() is not None), None)
+            if failed is not None:
+                failed.awaitTermination()
+            running = running[1:] if ended else [*running[1:], running[0]]
     finally:
         for query in queries:
             if query.isActive:
