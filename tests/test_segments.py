@@ -153,3 +153,11 @@ def test_histogram_bins(spark, scores, expected):
     rows = serving.churn_histogram(_risk_rows(spark, *scores)).collect()
     assert [r["bin"] for r in rows] == list(range(1, 11))
     assert [r["n"] for r in rows] == expected
+
+
+def test_users_without_revenue_can_be_the_top_fifth(spark):
+    """percent_rank of a table of nulls is zero for every row."""
+    nulls = spark.createDataFrame([(i, None) for i in range(4)], "i int, v long")
+    assert tuple(top_share_cutoff(nulls, "v", 0.2).first()) == (None, True)
+    some = spark.createDataFrame([(i, i if i < 3 else None) for i in range(8)], "i int, v long")
+    assert tuple(top_share_cutoff(some, "v", 0.2).first()) == (1, False)

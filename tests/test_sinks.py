@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 
 from tests.rows import tuples
 from tierlake.sinks.keyed import KeyedTable, by_bucket
-from tierlake.sinks.parquet import write_layer
+from tierlake.sinks.parquet import newest_version, write_layer, write_version
 from tierlake.sinks.relational import write_options
 from tierlake.sources.tables import Jdbc, scan_table
 
@@ -103,3 +103,32 @@ def test_layer_overwrite_all_or_some_dates(spark, folder):
 def test_relational_overwrite_keeps_the_table():
     options = write_options(Jdbc("jdbc:x", "a.Driver"), "t")
     assert options["truncate"] == "true" and options["batchsize"] == "1000"
+
+
+def test_another_part_rule_is_refused(spark, folder, table):
+    table.upsert(_rows(spark, ("a", 1, 1)))
+    other = KeyedTable(spark, folder, SCHEMA, ["k"], by_bucket("k", 4))
+    with pytest.raises(ValueError, match="parts"):
+        other.upsert(_rows(spark, ("a", 1, 2)))
+
+
+def test_old_versions_go_and_what_counts_stays(spark, folder):
+    table = KeyedTable(spark, folder, SCHEMA, ["k"], by_bucket("k", 3), retention=-1.0)
+    for n in range(4):
+        table.upsert(_rows(spark, ("a", n, n), (f"b{n}", n, n)))
+    assert len(table._times("published")) == 1
+    assert set(table._times("data")) == set(table.published().parts.values())
+    assert tuples(table.read(), "k", "v") == [("a", 3), *((f"b{n}", n) for n in range(4))]
+    kept = KeyedTable(spark, folder, SCHEMA, ["k"], by_bucket("k", 3))
+    kept.upsert(_rows(spark, ("a", 9, 9)))
+    assert len(kept._times("published")) == 2
+
+
+def test_versions_stand_side_by_side(spark, folder):
+    assert newest_version(spark, folder) is None
+    for n in range(5):
+        assert write_version(_rows(spark, ("a", n, n)), folder, keep=2) == 1
+        if n == 3:
+            before = spark.read.parquet(newest_version(spark, folder))
+    assert tuples(before, "v") == [3], "who reads the version before is not disturbed"
+    assert tuples(spark.read.parquet(newest_version(spark, folder)), "v") == [4]

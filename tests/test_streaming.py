@@ -181,6 +181,56 @@ def test_a_failing_stream_stops_the_others(spark, tmp_path):
     assert not good.isActive
 
 
+def test_wait_for_sees_a_failure_of_any_stream(spark, tmp_path):
+    def boom(rows, batch_id):
+        raise RuntimeError("boom")
+
+    source = str(tmp_path / "raw")
+    _batches(spark, "clickstream", source, [click()])
+
+    def stream():
+        return table_stream(spark, source, TOPICS["clickstream"].raw)
+
+    good = start_batches(stream(), lambda rows, i: None, str(tmp_path / "c1"),
+                         {"processingTime": "1 hour"})
+    bad = start_batches(stream(), boom, str(tmp_path / "c2"), DRAIN)
+    with pytest.raises(Exception, match="boom"):
+        wait_for([good, bad])
+    assert not good.isActive
+
+
+def test_masked_stream_stores_no_clear_text(spark, tmp_path):
+    source, root = str(tmp_path / "raw"), str(tmp_path / "log")
+    _batches(spark, "social_buzz", source, [post("a", content="ask me@example.org")])
+    log = CleanLog(spark, root, "social_buzz")
+    wait_for([stream_clean(table_stream(spark, source, TOPICS["social_buzz"].raw), log,
+                           str(tmp_path / "c"), DRAIN, masked=True, salt="s")])
+    stored = spark.read.parquet(root)
+    assert tuples(stored, "content") == [("ask <email>")]
+    assert all(len(u) == 64 for u in tuples(stored, "user_id"))
+
+
+def test_landing_a_batch_again_leaves_its_files(spark, tmp_path):
+    root = tmp_path / "log"
+    log = CleanLog(spark, str(root), "clickstream")
+    log.land(raw(spark, "clickstream", click()), 0)
+    before = sorted(root.rglob("*.parquet"))
+    log.land(raw(spark, "clickstream", click()), 0)
+    assert sorted(root.rglob("*.parquet")) == before
+
+
+def test_hours_prune_the_scan_of_the_log(spark, tmp_path):
+    log = CleanLog(spark, str(tmp_path / "log"), "clickstream")
+    log.land(raw(spark, "clickstream", *(click(f"s{i}", event_ts=at(1440 * i))
+                                         for i in range(5))), 0)
+    path = str(tmp_path / "hours")
+    raw(spark, "clickstream", click(event_ts=at(1440))).selectExpr(
+        "date_trunc('hour', event_ts) AS event_hour").write.parquet(path)
+    found = log.latest(hours=spark.read.parquet(path))
+    assert tuples(found, "session_id") == ["s1"]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_first_copy_stream(spark, tmp_path):
     source, path = str(tmp_path / "raw"), str(tmp_path / "clean")
     _batches(spark, "social_buzz", source, [post("a", likes=1), post(None)],

@@ -146,10 +146,11 @@ class KeyedTable:
         parts |= {p: version for p in self._parts_below(target)}
         batches = state.batches | ({batch[0]: batch[1]} if batch else {})
         self._publish(version, parts, batches)
-        self._expire(version)
         # Counting stored rows reads file footers only.
         added, total = new.count(), self._stored(target).count()
-        return Upserted(rows_written=added, rows_replaced=old.count() + added - total)
+        done = Upserted(rows_written=added, rows_replaced=old.count() + added - total)
+        self._expire(version)
+        return done
 
     def _part_of(self, rows: DataFrame) -> DataFrame:
         return rows.select(self.part.alias(_PART))
