@@ -9,11 +9,15 @@ space. Landmarks, equally many of each language, give a Nystroem map
 language is fitted one-versus-rest.
 
 As the kernel is a product of presence vectors, the regressions' values for a batch of texts are
-``(P L') A = P (L' A)``: P the presence matrix of the batch, L that of the landmarks, A the dual
+``(P L') A = P (L' A)``: P the presence matrix of the batch (a row a passage), L that of the landmarks, A the dual
 coefficients. ``L' A`` is computed once, so a batch costs one product with a column a language.
 Presence is counted over the n-grams that occur in a landmark; a text's own norm is taken over
 them too.
 
+A text is read as passages of about PASSAGE characters, and its values are the mean of theirs by
+length: presence forgets how often an n-gram occurs, so a few quoted lines of another language
+would weigh as much as the pages around them.
+
 Learning reads at most ``per_language`` documents of each language (by a hash of the id; ids that
 may be learned from, non-null lang) and ``landmarks`` of these as landmarks: bounded by the
 number of languages. Every text is scored as a whole.
@@ -41,6 +45,8 @@ UNDETERMINED = "und"
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Values of the regressions lie around -1 and 1; the softmax is taken of this multiple.
 SHARPNESS = 4.0
+#: Characters of a passage, about.
+PASSAGE = 600
 SALTS = 8
 
 
@@ -50,6 +56,14 @@ def normal(text: str | None) -> str:
     return f" {words} " if words else ""
 
 
+def passages(text: str) -> list[str]:
+    """A normal text cut at spaces into nearly equal parts; no parts of an empty one."""
+    count = max(1, round(len(text) / PASSAGE))
+    ends = [0, *(text.find(" ", len(text) * i // count) for i in range(1, count)), len(text)]
+    ends = sorted({e for e in ends if e >= 0})
+    return [text[a:b] + " " for a, b in zip(ends, ends[1:])]
+
+
 def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
@@ -110,6 +124,14 @@ class Model:
     def values(self, texts: list[str]) -> np.ndarray:
         return self.spectrum.presence(texts) @ self.weights[:-1] + self.weights[-1]
 
+    def of_text(self, text: str, batch: int = 256) -> np.ndarray:
+        """The mean of a text's passages, by their lengths."""
+        parts = passages(text)
+        lengths = np.array([len(p) for p in parts], dtype=float)
+        values = np.concatenate([self.values(parts[i:i + batch])
+                                 for i in range(0, len(parts), batch)]).astype(float)
+        return lengths @ values / lengths.sum()
+
 
 def fit(docs: DataFrame, per_language: int = 600, landmarks: int = 48, alphabet: int = 80,
         ridge: float = 0.1) -> Model:
@@ -123,10 +145,12 @@ def fit(docs: DataFrame, per_language: int = 600, landmarks: int = 48, alphabet:
            .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
            .filter(F.col("rank") <= per_language))
     rows = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-            .select("text", "lang", "rank").orderBy("lang", "rank", "text").toArrow())
-    samples = [(normal(t), lang, rank) for t, lang, rank in zip(*(
-        rows.column(c).to_pylist() for c in ("text", "lang", "rank")))]
-    samples = [s for s in samples if s[0]]
+            .select("lang", "rank", "text").orderBy("lang", "rank", "text").toArrow())
+    samples = [(part, lang, i) for t, lang in zip(*(
+        rows.column(c).to_pylist() for c in ("text", "lang")))
+        for i, part in enumerate(passages(normal(t)))]
+    # The first passages of all documents come before the second ones: landmarks differ more.
+    samples.sort(key=lambda s: s[2])
     languages = sorted({lang for _, lang, _ in samples})
     if not languages:
         return Model(None, [], None)
@@ -161,7 +185,7 @@ def predict(docs: DataFrame, model: Model, batch: int = 128) -> DataFrame:
         with_letters = [i for i, t in enumerate(texts) if t and model.languages]
         for start in range(0, len(with_letters), batch):
             rows = with_letters[start:start + batch]
-            values = model.values([texts[i] for i in rows]).astype(float)
+            values = np.stack([model.of_text(texts[i]) for i in rows])
             best = values.argmax(axis=1)
             odds = np.exp(SHARPNESS * (values - values.max(axis=1, keepdims=True)))
             scores[rows] = 1 / odds.sum(axis=1)
