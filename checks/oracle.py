@@ -448,6 +448,47 @@ _PERSONAL = (
 _TOPIC_TABLES = "clickstream purchases product_reviews social_buzz"
 
 
+# Fields of a profile document by section: n whole number, d decimal, s text, a list of texts.
+_DOCUMENT = {
+    "purchases": "total_orders:n total_spent:d total_returns:n return_rate:d last_purchase_at:s "
+                 "preferred_payment:s spend_distribution(low:n mid:n high:n)",
+    "reviews": "avg_rating:d total_reviews:n avg_sentiment:d "
+               "breakdown(positive:n neutral:n negative:n)",
+    "browsing": "total_sessions:n total_views:n total_searches:n total_cart_adds:n "
+                "last_active_at:s top_platform:s",
+    "social": "post_count:n avg_sentiment:d avg_engagement:d viral_posts:n platforms:a",
+    "segment": "label:s churn_score:d revenue_30d:d order_count_30d:n last_purchase_date:s "
+               "avg_review_score:d",
+}
+
+
+def _document() -> str:
+    """The profile documents as text, put together from the flattened profiles."""
+    def value(section: str, field: str) -> str:
+        name, kind = field.split(":")
+        column = f"{section}_{name}"
+        text = {"n": f"CAST({column} AS VARCHAR)",
+                "d": f"CAST(CAST({column} AS DECIMAL(20,4)) AS VARCHAR)",
+                "s": f"'\"' || {column} || '\"'",
+                "a": f"'[\"' || replace({column}, ',', '\",\"') || '\"]'"}[kind]
+        return f"'\"{name}\":' || {text}"
+
+    def body(section: str, fields: str) -> str:
+        flat, _, nested = fields.partition("(")
+        names = flat.split()
+        values = [value(section, f) for f in (names[:-1] if nested else names)]
+        if nested:
+            inner = ", ".join(value(section, f) for f in nested.rstrip(")").split())
+            values.append(f"'\"{names[-1]}\":{{' || concat_ws(',', {inner}) || '}}'")
+        first = names[0].split(":")[0]
+        return (f"CASE WHEN {section}_{first} IS NOT NULL THEN '\"{section}\":{{' || "
+                f"concat_ws(',', {', '.join(values)}) || '}}' END")
+
+    sections = ", ".join(body(s, f) for s, f in _DOCUMENT.items())
+    return f"""SELECT user_id, '{{' || concat_ws(',', '\"user_id\":\"' || user_id || '\"',
+        {sections}) || '}}' AS document FROM user_profiles"""
+
+
 def statements() -> dict[str, str]:
     def masked(column: str) -> str:
         for pattern, tag in _PERSONAL:
@@ -638,6 +679,7 @@ def statements() -> dict[str, str]:
               {r('avg(social_avg_sentiment)', 3)} AS avg_social_sentiment,
               count(*) AS profiles
             FROM user_profiles WHERE reviews_avg_sentiment IS NOT NULL""",
+        "user_profiles_nested": _document(),
         "recent_profiles": """
             SELECT user_id, segment_label AS segment, updated_at FROM user_profiles
             ORDER BY updated_at DESC, user_id LIMIT 5""",

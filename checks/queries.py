@@ -7,7 +7,8 @@ from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import (
+    ArrayType, DoubleType, StringType, StructField, StructType, TimestampType)
 
 from checks import adapters
 from tierlake.functions import bands, privacy
@@ -17,7 +18,7 @@ from tierlake.operators import metrics, profiles, quality, segments, sentiment
 from tierlake.operators.clean import clean_topic, explode_items
 from tierlake.operators.dedup import dedup_topic
 from tierlake.plans import jobs, serving
-from tierlake.schemas import METRICS, TOPICS
+from tierlake.schemas import METRICS, PROFILE, TOPICS
 from tierlake.session import materialise, run_together, scratch_path
 from tierlake.sinks.keyed import by_month
 from tierlake.sinks.parquet import write_layer
@@ -527,9 +528,29 @@ def user_profiles(spark, sf_dir):
 
 @query
 def user_profiles_nested(spark, sf_dir):
-    """Profiles as one JSON document each."""
+    """Profiles as one JSON document each: fields in their order, without those that are null,
+    measures as decimals with four places."""
     rows = _profiles(spark, sf_dir)
-    return rows.select("user_id", F.to_json(F.struct(*rows.columns)).alias("document"))
+    sections = [_json_field(F.col(f.name), f) for f in PROFILE.fields if f.name != "updated_at"]
+    return rows.select("user_id", F.concat(F.lit("{"), F.concat_ws(",", *sections), F.lit("}"))
+                       .alias("document"))
+
+
+def _json_field(value: Column, field: StructField) -> Column:
+    """``"name":value``, null for a null value."""
+    kind = field.dataType
+    if isinstance(kind, StructType):
+        inner = F.concat_ws(",", *(_json_field(value[f.name], f) for f in kind.fields))
+        text = F.when(value.isNotNull(), F.concat(F.lit("{"), inner, F.lit("}")))
+    elif isinstance(kind, ArrayType):
+        text = F.concat(F.lit('["'), F.array_join(value, '","'), F.lit('"]'))
+    elif isinstance(kind, DoubleType):
+        text = value.cast("decimal(20,4)").cast("string")
+    elif isinstance(kind, StringType):
+        text = F.concat(F.lit('"'), value, F.lit('"'))
+    else:
+        text = value.cast("string")
+    return F.concat(F.lit(f'"{field.name}":'), text)
 
 
 @query
