@@ -118,3 +118,10 @@ def test_top_n_does_not_sort_everything(spark, clean):
     df = serving.churn_risk_users(segments.user_segments(clean["purchases"],
                                                          clean["product_reviews"]))
     assert "TakeOrderedAndProject" in _plan(df)
+
+
+def test_profile_sections_scan_their_table_once(clean):
+    assert _plan(profiles.profile_browsing(clean["clickstream"])).count("FileScan") == 1
+    assert _plan(profiles.profile_purchases(clean["purchases"])).count("FileScan") == 1
+    by_order = _plan(profiles.profile_purchases(clean["purchases"], segments.ORDER))
+    assert by_order.count("FileScan") == 1 and "item_" not in by_order
