@@ -71,50 +71,46 @@ def read_topic_stream(spark: SparkSession, log: MessageLog, topic: Topic) -> Dat
 
 
 def _decode(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Envelope, message text and the parsed message as struct ``data``."""
+    """Envelope, message text, the parsed message as struct ``data``, and what is wrong with it.
+
+    ``reason`` is null for a message that parses in full; ``no_value`` has no body, ``malformed`` is
+    no JSON or holds a field of the wrong type, ``bad_timestamp`` has a time that is not a time.
+    """
     with_corrupt = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
+    stamp = F.col("data.timestamp")
     return messages.select(
         F.col("value").cast("string").alias("raw_json"),
         "topic", "partition", "offset", F.col("timestamp").alias("kafka_ts"),
     ).withColumn("data", F.from_json(
-        "raw_json", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
+        "raw_json", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )).withColumn(
+        "reason", F.when(F.col("raw_json").isNull(), "no_value")
+        .when(F.col(f"data.{_CORRUPT}").isNotNull(), "malformed")
+        .when(stamp.isNotNull() & F.try_to_timestamp(stamp).isNull(), "bad_timestamp"))
 
 
-def parse_topic(messages: DataFrame, schema: StructType,
-                ingested_at: Column | None = None) -> DataFrame:
+def parse_topic(messages: DataFrame, schema: StructType, ingested_at: Column | None = None,
+                reason_as: str | None = None) -> DataFrame:
     """Messages to raw rows.
 
     A field of the wrong type is null and the others are kept; text that is no JSON gives a row
     of nulls, which the cleaning filters drop. A malformed time is null, never an error.
-    ``ingested_at`` defaults to the time of the batch.
+    ``ingested_at`` defaults to the time of the batch; ``reason_as`` adds what is wrong with a
+    message, from the same parse.
     """
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     body = [F.col(f"data.{n}").alias(n) for n in schema.names if n != "timestamp"]
+    reason = [] if reason_as is None else [F.col("reason").alias(reason_as)]
     return (
-        messages.select(
-            "topic", "partition", "offset", F.col("timestamp").alias("kafka_ts"),
-            F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
-            .alias("data"),
-        )
+        _decode(messages, schema)
         .select("topic", "partition", "offset", "kafka_ts", *body,
                 F.try_to_timestamp(F.col("data.timestamp")).alias("event_ts"),
-                stamp.alias("ingested_at"))
+                stamp.alias("ingested_at"), *reason)
         .withColumn("ingestion_date", F.to_date("ingested_at"))
     )
 
 
 def quarantine(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Messages that do not parse in full, with the reason.
-
-    ``no_value`` has no body, ``malformed`` is no JSON or holds a field of the wrong type,
-    ``bad_timestamp`` has a time that is not a time.
-    """
-    stamp = F.col("data.timestamp")
-    reason = (
-        F.when(F.col("raw_json").isNull(), "no_value")
-        .when(F.col(f"data.{_CORRUPT}").isNotNull(), "malformed")
-        .when(stamp.isNotNull() & F.try_to_timestamp(stamp).isNull(), "bad_timestamp")
-    )
-    return (_decode(messages, schema).withColumn("reason", reason)
-            .filter(F.col("reason").isNotNull())
-            .select("topic", "partition", "offset", "kafka_ts", "raw_json", "reason"))
+    """Messages that do not parse in full, with the reason."""
+    return _decode(messages, schema).filter(F.col("reason").isNotNull()).select(
+        "topic", "partition", "offset", "kafka_ts", "raw_json", "reason")
