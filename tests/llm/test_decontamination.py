@@ -67,6 +67,20 @@ def test_planted_items_are_found_and_nothing_else(spark, documents):
     assert {r.doc_id for r in kept.collect()} == set(range(80)) - {i for i, _ in truth}
 
 
+def test_shards_know_words_that_spark_would_cut_otherwise(spark, documents):
+    odd = ["x² plus ½ of ③", "हिन्दी में प्रश्न", "cafe\u0301 au lait", "a\u200db c\u203fd", "İSTANBUL ΟΔΟΣ ǅ"]
+    items = [(i, f"{text} and the words of item number {i}. The answer is {text}")
+             for i, text in enumerate(odd)]
+    docs = documents([f"before it {text} after it" for _, text in items])
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = sorted((r.doc_id, r.item_id, round(r.score, 9))
+                      for r in d.find_leaks(docs, benchmark).collect())
+    assert {(i, i) for i in range(len(odd))} <= {r[:2] for r in expected}
+    assert sorted((r.doc_id, r.item_id, round(r.score, 9))
+                  for r in d.find_leaks(docs, benchmark, shard=2).collect()) == expected
+    assert d.drop_contaminated(docs, benchmark, shard=2).count() == 0
+
+
 def test_odd_rows(spark, documents):
     docs = documents(ODD)
     benchmark = spark.createDataFrame([(1, "one two"), (2, "")], "item_id int, text string")

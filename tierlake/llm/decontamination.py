@@ -215,6 +215,10 @@ def indexes(benchmark: DataFrame, shard: int = 5_000):
         found.update({" n": lengths["n"], " words": lengths["words"]})
         return [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
 
+    def words(part):
+        return [pa.array(list({w for text in part.column("text").to_pylist()
+                               for words in segments_of(text) for w in words}), pa.string())]
+
     counts = map_texts(items, "term string, n bigint", terms).groupBy("term").agg(
         F.sum("n").alias("n"))
     totals = {r["term"]: r["n"] for r in counts.filter(F.col("term").startswith(" ")).collect()}
@@ -226,9 +230,7 @@ def indexes(benchmark: DataFrame, shard: int = 5_000):
         if shards == 1:
             own = counts
         else:
-            words = part.select(F.explode(F.expr(
-                r"regexp_extract_all(lower(text), '(?U)\\w+', 0)")).alias("term")).distinct()
-            own = counts.join(words, "term")
+            own = counts.join(map_texts(part, "term string", words).distinct(), "term")
         frequency = {r["term"]: r["n"] for r in own.collect()}
         yield build_index(texts, frequency, n, total / n)
 
