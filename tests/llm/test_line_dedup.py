@@ -85,3 +85,27 @@ def test_odd_rows(documents):
     assert [r.text for r in got if r.doc_id == 3] == ["", ""], "repeated rows, one result"
     assert line_dedup.delete_copies(docs.limit(0)).count() == 0
     assert docs.schema == line_dedup.delete_copies(docs).schema
+
+
+def _words(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_passages_that_begin_or_end_within_lines(documents):
+    passage = _words("p", 55)
+    split = passage.split()
+    texts = ["\n".join(["head " + " ".join(split[:25]), " ".join(split[25:])]),
+             f"{_words('a', 9)} {passage} {_words('b', 9)}\nlast line",
+             f"{_words('c', 20)}\n{_words('d', 12)} " + " ".join(split[:30]) + "\n\n"
+             + " ".join(split[30:]) + f" {_words('e', 12)}",
+             f"{_words('f', 30)} {' '.join(split[:49])} {_words('g', 30)}",
+             f"{_words('h', 60)} {_words('k', 8)} {_words('h', 60)}",
+             "two words\n" + " ".join(split[:50]) + " end"]
+    made = {r.doc_id: (r.text, r.gone)
+            for r in line_dedup.delete_copies(documents(texts), count_as="gone").collect()}
+    assert made[0] == (texts[0], 0), "the first copy stays"
+    assert made[1] == (f"{_words('a', 9)} {_words('b', 9)}\nlast line", 1)
+    assert made[2] == (f"{_words('c', 20)}\n{_words('d', 12)}\n\n{_words('e', 12)}", 2)
+    assert made[3] == (texts[3], 0), "49 words are no passage"
+    assert made[4] == (f"{_words('h', 60)} {_words('k', 8)}", 1)
+    assert made[5] == ("two words\nend", 1)

@@ -19,6 +19,12 @@ still repeat is carried on: lines that occur once end a sequence, stretches betw
 few words are left out, and so are suffixes whose rank nobody shares. No group is ever gathered:
 groups are reduced to their size and first place and joined back.
 
+Copies that begin or end within lines are found by their words (see passages): whatever line
+breaks there are, later copies of ``min_words`` words or more go, and long lines are cut at the
+passage's edges. A line of fewer than UNIT words goes whole or stays, so a passage that has its
+edge in one must have enough words without it. Within one document a copy counts if it has no
+words in common with the first.
+
 Ranks and sequences are written to the shared folder between rounds.
 
 Defined results: null texts stay null, and empty ones empty; blank lines stay unless the line
@@ -29,6 +35,8 @@ only text is changed.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,10 +44,14 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.llm.common import map_texts, slices, type_of
+from tierlake.llm.passages import covered, later_places
 from tierlake.session import materialise
 
 MIN_WORDS = 50
-_HASH, _RUNS = "__text_hash", "__runs"
+#: A line of fewer words is never cut.
+UNIT = 8
+_HASH, _RUNS, _PLACES = "__text_hash", "__runs", "__places"
+_WORD = re.compile(r"\S+")
 
 
 def content_lines(text: str | None) -> list[str]:
@@ -228,14 +240,30 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         F.collect_set(F.struct("start", "length")).alias("runs"))
 
 
-def without(text: str | None, runs: list[tuple[int, int]]) -> tuple[str | None, int]:
-    """The text without the runs of content lines, and how many lines that took."""
+def _cut(line: str, gone: np.ndarray) -> str:
+    """The line without the words that are gone."""
+    starts = [m.start() for m in _WORD.finditer(line)]
+    ends = [*starts[1:], len(line)]
+    kept = "".join(line[a:b] for a, b, no in zip(starts, ends, gone) if not no)
+    return line[:starts[0]] + (kept.rstrip() if gone[-1] else kept)
+
+
+def without(text: str | None, runs: list[tuple[int, int]], places: list[int] = (),
+            least: int = MIN_WORDS) -> tuple[str | None, int]:
+    """The text without runs of content lines and without the windows of ``least`` words at the
+    places, and how many lines that took or cut."""
     deleted = {i for start, length in runs for i in range(start, start + length)}
-    kept, place, dropping, taken = [], 0, False, 0
+    kept, place, word, dropping, taken = [], 0, 0, False, 0
+    sizes = [len(line.split()) for line in content_lines(text)] if places else []
+    mask = covered(places, sizes, least, UNIT)
     for line in (text or "").split("\n"):
         if line.strip():
-            dropping = place in deleted
-            taken += dropping
+            gone = mask[word:word + sizes[place]] if places else mask
+            dropping = place in deleted or (len(gone) > 0 and bool(gone.all()))
+            taken += dropping or bool(gone.any())
+            if not dropping and gone.any():
+                line = _cut(line, gone)
+            word += len(gone)
             place += 1
         if not dropping:
             kept.append(line)
@@ -244,7 +272,7 @@ def without(text: str | None, runs: list[tuple[int, int]]) -> tuple[str | None,
 
 def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
                   count_as: str | None = None) -> DataFrame:
-    """All rows and columns, texts without later copies; count_as adds the lines deleted."""
+    """All rows and columns, texts without later copies; count_as adds the lines deleted or cut."""
     fields = docs.schema.fields + ([StructField(count_as, IntegerType())] if count_as else [])
     schema, text_at = StructType(fields), docs.columns.index("text")
 
@@ -252,9 +280,9 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
         for part in slices(batches, "text"):
             columns = part.columns
             runs = [[(r["start"], r["length"]) for r in x or ()]
-                    for x in columns[-1].to_pylist()]
-            made = [without(t, r) if r else (t, 0)
-                    for t, r in zip(columns[text_at].to_pylist(), runs)]
+                    for x in columns[-2].to_pylist()]
+            made = [without(t, r, p or (), min_words) if r or p else (t, 0) for t, r, p in zip(
+                columns[text_at].to_pylist(), runs, columns[-1].to_pylist())]
             columns[text_at] = pa.array([t for t, _ in made], pa.string())
             columns = columns[:len(docs_columns)]
             if count_as:
@@ -262,9 +290,13 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
             yield pa.RecordBatch.from_arrays(columns, names=schema_names)
 
     docs_columns, schema_names = docs.columns, schema.names
-    runs = repeated_runs(docs, min_words).select(
+    runs = materialise(repeated_runs(docs, min_words), "runs")
+    places = later_places(docs, min_words, runs)
+    both = runs.unionByName(places, allowMissingColumns=True).groupBy("doc_id", "hash").agg(
+        *(F.first(c, ignorenulls=True).alias(c) for c in ("runs", "places")))
+    runs = both.select(
         F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"),
-        F.col("runs").alias(_RUNS)).hint("shuffle_hash")
+        F.col("runs").alias(_RUNS), F.col("places").alias(_PLACES)).hint("shuffle_hash")
     joined = docs.withColumn(_HASH, F.xxhash64("text")).join(
         runs, F.col(_HASH).eqNullSafe(F.col("__hash"))
         & F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id", "__hash", _HASH)
