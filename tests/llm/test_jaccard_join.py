@@ -37,6 +37,14 @@ def brute_force(rows, threshold=0.8):
     return {n: (least[find(i)], links[i]) for i, (n, _) in enumerate(rows)}
 
 
+def test_chunks_without_sets_count_no_link_twice(documents, monkeypatch):
+    monkeypatch.setattr(j, "LEAF", 4)
+    monkeypatch.setattr(j, "TOKENS", 80)
+    rows = _rows(3, groups=25, copies=5)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in j.join_documents(documents(rows)).collect()}
+    assert got == brute_force(rows)
+
+
 def _rows(seed, groups=40, copies=6):
     rng = random.Random(seed)
     rows = []

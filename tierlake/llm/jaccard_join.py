@@ -45,6 +45,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 COORDINATES, BRANCHES, RECALL = 64, 2, 0.99999
 LEAF, DEPTH, AGREEING = 96, 4, 0.6
 BLOCK, TOKENS, CELLS = 1024, 3_000_000, 16_000_000
+#: More than a bucket has chunks.
+SIDES = 1 << 31
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _RANDOM = np.random.default_rng(20)
@@ -212,7 +214,8 @@ def compare(sids, copies, sides, earlier, tokens, threshold) -> Iterator[tuple]:
 
 
 def _blocks(members: DataFrame, threshold: float) -> DataFrame:
-    """(sid, root, links) of all blocks. members: (node, part, side, sid, copies, nodes, tokens)."""
+    """(sid, root, links) of all blocks. members: (node, part, side, sid, copies, nodes, tokens);
+    part has the numbers of the block's two chunks."""
     def groups(batches):
         key, held = None, []
         for batch in batches:
@@ -233,12 +236,14 @@ def _blocks(members: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches):
         found = []
-        for (node, _), parts in groups(batches):
+        for (node, part), parts in groups(batches):
             sids = [s for p in parts for s in p.column("sid").to_pylist()]
             if len(sids) < 2:
                 continue
             copies, sides = (np.concatenate([p.column(c).to_numpy() for p in parts])
                              for c in ("copies", "side"))
+            if part // SIDES != part % SIDES and sides.max() == sides.min():
+                continue  # the other chunk has no sets; this one has a block of its own
             earlier = [x[x < node] for x in arrays(parts, "nodes")]
             found += compare(sids, copies, sides, earlier, arrays(parts, "tokens"), threshold)
             if len(found) > 20_000:
@@ -322,7 +327,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
     dealt = members.withColumn("side", chunk).select("node", "sid", "chunks", "side", F.explode(
         F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
         "node", "sid", "side",
-        (F.least("side", "other") * F.col("chunks") + F.greatest("side", "other")).alias("part"))
+        (F.least("side", "other").cast("bigint") * SIDES + F.greatest("side", "other")).alias("part"))
     blocks = materialise(_blocks(dealt.join(about, "sid"), threshold), "blocks")
     links = blocks.groupBy("sid").agg(F.sum("links").alias("links"))
     roots = components(blocks.select(F.col("sid").alias("u"), F.col("root").alias("v")))
