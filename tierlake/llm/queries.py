@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierlake.llm import (
-    chat, decontamination, jaccard_join, language_id, line_dedup, lm_scoring, quality_hosts, secrets,
-    sentencepiece_bpe, toxicity)
+    chat, decontamination, fill_middle, importance, jaccard_join, language_id, line_dedup,
+    lm_scoring, page_text, quality_hosts, secrets, sentencepiece_bpe, toxicity)
 from tierlake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,9 +129,108 @@ WHERE NOT EXISTS (SELECT 1 FROM firsts b WHERE length(b.chat) > length(a.chat)
 """
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(
+        sha256(F.col(c)).alias(f"{c}_sha256") for c in ("output", "restored")))
+
+
+FILL_MIDDLE_SQL = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+numbers AS (
+  SELECT doc_id, text, n, CAST('0x' || substr(digest, 1, 8) AS BIGINT) % (n + 1) AS c1,
+         CAST('0x' || substr(digest, 9, 8) AS BIGINT) % (n + 1) AS c2,
+         CAST('0x' || substr(digest, 17, 8) AS BIGINT) % 100 AS plain_draw,
+         CAST('0x' || substr(digest, 25, 8) AS BIGINT) % 100 AS form_draw FROM drawn),
+forms AS (
+  SELECT doc_id, text, n, least(c1, c2) AS a, greatest(c1, c2) AS b,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>')
+                   OR contains(text, '<M>') OR plain_draw >= 90 THEN 'plain'
+              WHEN form_draw < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+parts AS (
+  SELECT doc_id, text, n, form, a, b, substring(text, 1, a) AS prefix,
+         substring(text, a + 1, b - a) AS middle, substring(text, b + 1, n - b) AS suffix
+  FROM forms)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return importance.resample(docs, importance.fit(docs, table(spark, sf_dir, "benchmark")))
+
+
+#: crc32 byte by byte, with the table of its polynomial made by rule.
+RESAMPLING_SQL = """
+WITH RECURSIVE steps(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+texts AS (
+  SELECT true AS corpus, doc_id, text, row_number() OVER () AS row_id FROM documents
+  UNION ALL SELECT false, NULL, text, 0 FROM benchmark),
+words AS (
+  SELECT corpus, doc_id, row_id, coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM texts),
+found AS (
+  SELECT corpus, row_id, unnest(list_concat(w, list_transform(
+           range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words),
+names AS (SELECT f, hex(encode(f)) AS h FROM found GROUP BY f),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                  lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+                lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM names, crc_table),
+placed AS (SELECT corpus, row_id, bucket FROM found JOIN hashed USING (f)),
+sums AS (SELECT count(*) FILTER (corpus) AS s, count(*) FILTER (NOT corpus) AS t FROM placed),
+gains AS (
+  SELECT bucket, floor(1000 * ln(
+           (count(*) FILTER (NOT corpus) + 1) * (any_value(sums.s) + 10000.0)
+           / ((count(*) FILTER (corpus) + 1) * (any_value(sums.t) + 10000.0)))) AS gain
+  FROM placed, sums GROUP BY bucket),
+weights AS (
+  SELECT row_id, count(*) AS n, floor(sum(gain) / count(*)) AS weight
+  FROM placed JOIN gains USING (bucket) WHERE corpus GROUP BY row_id),
+scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+         CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(
+           '7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5)
+           / 4294967296.0))) AS BIGINT) AS score
+  FROM words LEFT JOIN weights USING (row_id) WHERE corpus),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20
+                               ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         25 * count(*) FILTER (n_words >= 20) OVER () // 100 AS wanted
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= wanted THEN place END AS rank
+FROM ranked
+"""
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_toxicity, op2_language_id, op3_lm_scoring, op4_line_dedup, op5_quality_rules,
-    op6_sentencepiece, op7_decontamination, op8_secrets, op9_jaccard_join, op10_chat)}
+    op6_sentencepiece, op7_decontamination, op8_secrets, op9_jaccard_join, op10_chat, op11_html_extraction,
+    op12_fill_middle, op13_importance_resampling)}
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {"op3_lm_scoring": LM_SQL, "op10_chat": CHAT_SQL}
+ORACLES: dict[str, str] = {
+    "op3_lm_scoring": LM_SQL, "op10_chat": CHAT_SQL, "op12_fill_middle": FILL_MIDDLE_SQL,
+    "op13_importance_resampling": RESAMPLING_SQL}
