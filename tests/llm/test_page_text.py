@@ -1,0 +1,104 @@
+"""Main text of pages: articles among what is not one, by path ratios."""
+from __future__ import annotations
+
+import time
+
+import numpy as np
+import pytest
+
+from tierlake.llm.page_text import extract, main_text, tree_sums
+
+P = "This is a sentence of the article, with commas, and it ends here. Another one follows; fine."
+BEFORE = ('<!DOCTYPE html><html><head><title>Not this</title><style>p{margin:0}</style></head><body>'
+          '<header>Site name. Yes, it is.</header><nav><ul><li><a href="/a">Menu, one.</a></ul></nav>'
+          '<script>if (a < b) { var t = "</p>"; }</script><!-- no <p>comment</p> -->')
+AFTER = ('<aside><p>Side, bar. Text, too.</p></aside><form><label>Your name, please.</label>'
+         '<input></form><footer>&copy; All rights, reserved.</footer></body></html>')
+
+
+def distances(parents):
+    def up(i):
+        return [i, *up(parents[i])] if i >= 0 else []
+    ways = [up(i) for i in range(len(parents))]
+    return np.array([[min(a.index(c) + b.index(c) for c in a if c in b) for b in ways]
+                     for a in ways])
+
+
+def test_sums_over_the_tree_are_those_of_all_pairs():
+    rng = np.random.default_rng(3)
+    for size in (1, 2, 5, 40):
+        parents = [-1, *(int(rng.integers(0, i)) for i in range(1, size))]
+        values = rng.random((size, 2))
+        expected = (0.4 ** distances(parents)) @ values
+        assert np.allclose(tree_sums(parents, values, 0.4), expected)
+
+
+ARTICLES = {
+    "article": (f"<article><h1>A &amp; B</h1><p>{P}<p>{P}</article>", f"A & B {P} {P}"),
+    "short article": ("<article><h1>Title</h1><p>Ok</p></article>", "Title Ok"),
+    "unclosed inline": (f"<article><h1>T</h1><p><b>{P}<br><p>{P}</p></article>", f"T {P} {P}"),
+    "division": (f'<div class="post-body"><h1>T</h1><p>{P}</p><ul><li>one<li>two</ul><blockquote>'
+                 f'{P}</blockquote><table><tr><td>a<td>b</table><h2>S</h2><pre>x\n  y</pre></div>',
+                 f"T {P} one two {P} a b S x y"),
+    "reader comments": (f'<main><article><p>{P}</p></article><section class="comments"><article '
+                        f'class="comment"><p>{P * 9}</p></article></section></main>', P),
+    "comments by id": (f'<div class="content"><p>{P}</p></div><div id="reader-comments">'
+                       f'<p>{P * 5}</p></div>', P),
+    "adverts": (f'<div class="ad-box"><p>{P}</p></div><article><p>{P}</p><div class="advert">{P}'
+                f'</div><span class="sponsored">{P}</span></article>', P),
+    "cookie notice": (f'<div id="cookieNotice"><p>{P}</p></div><div class="text"><p>{P}</p></div>',
+                      P),
+    "hidden": (f'<article><p>{P}</p><p hidden>{P}</p><p style="display: none">{P}</p></article>',
+               P),
+    "title beside": (f"<div><h1>Title</h1><div><p>{P}</p><p>{P}</p></div></div>",
+                     f"Title {P} {P}"),
+    "inline markup": (f"<article><p>foo<b>bar</b>\n <a href='x'>link</a>,&nbsp;end. {P}</article>",
+                      f"foobar link, end. {P}"),
+    "references": (f"<article><p>&#39;&hellip;&#x1F600; &lt;p&gt; &unknown; {P}</article>",
+                   f"'…😀 <p> &unknown; {P}"),
+    "quotes": (f"<article><p title='a > b' class=\"c\">{P}</p></article>", P),
+    "link list in it": (f"<article><p>{P}</p><ul><li><a>Share</a><li><a>Like</a></ul></article>", P),
+}
+
+
+@pytest.mark.parametrize("name", ARTICLES)
+def test_the_article_is_found(name):
+    page, text = ARTICLES[name]
+    assert main_text(BEFORE + page + AFTER) == text
+
+
+def test_a_form_around_the_page_is_no_form():
+    assert main_text(f"<body><form><nav>menu</nav><div><p>{P}</p></div></form></body>") == P
+
+
+def test_pages_without_structure():
+    assert main_text(None) == main_text("") == main_text("<html><body></body></html>") == ""
+    assert main_text("a < b  &amp;\n c") == "a < b & c"
+    assert main_text(f"<p>{P}</p><p>cut in a ta<a href=") == f"{P} cut in a ta"
+
+
+def test_nothing_of_a_long_article_is_cut():
+    words = [f"w{i}, and." for i in range(60_000)]
+    page = "<article>" + "".join(f"<p>{w}" for w in words) + "</article>"
+    assert main_text(BEFORE + page + AFTER) == " ".join(words)
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 30_000 + "<div>x" * 30_000, "<div>" * 100_000, "<" * 200_000, '<a href="' * 50_000,
+    "<!--" * 50_000, "</x>" * 100_000, "<a" + " =" * 100_000, "<ul>" + "<li><b>" * 30_000,
+    "".join(f"<h2 class=c{chr(97 + i % 26) * (1 + i // 26 % 40)}>t, a.</h2>" for i in range(20_000))])
+def test_awkward_pages_take_time_in_proportion(page):
+    started = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - started < 20
+
+
+def test_rows(spark):
+    rows = [(1, "u", f"<article><p>{P}</p></article>", "x"), (1, "u", f"<article><p>{P}</p></article>", "x"),
+            (None, None, None, "x"), (2, "v", "", None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    found = extract(pages)
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [(1, "u", P, len(P)), (1, "u", P, len(P)), (None, None, "", 0), (2, "v", "", 0)], key=str)
+    assert extract(pages.limit(0)).collect() == []

@@ -123,7 +123,7 @@ def bracket(scores: DataFrame, wanted: int, total: int,
         ).first()
         if above < wanted <= upper:
             return low, high, above
-        margin *= 8
+        margin = 8 * margin + 1 / total
 
 
 def numbered(rows: DataFrame, label: str) -> DataFrame:
