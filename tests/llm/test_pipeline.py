@@ -93,5 +93,5 @@ def test_run_equals_its_stages(spark, corpus):
 def test_one_query_for_each_operator():
     import __spark_entry__ as driver
     names = [n for n in driver.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(QUERIES) <= set(driver.queries()) and "pipeline" in driver.queries()

@@ -7,10 +7,15 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegralType, StructField, StructType
+
+from tierlake.session import remove_tree, scratch_path
 
 #: Texts of one slice of an Arrow batch may have so many characters before results are sent on.
 SLICE_CHARS = 4_000_000
+#: A key that more than this share of all rows have is joined by broadcast; there are at most
+#: 1 / HOT_SHARE such keys.
+HOT_SHARE = 1 / 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,3 +60,61 @@ def map_texts(df: DataFrame, schema: StructType | str,
     fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
     plain = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(fields)])
     return df.mapInArrow(run, plain).toDF(*(f.name for f in fields))
+
+
+class Stored:
+    """Tables of intermediate results in the shared folder, removed when no step reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self._paths = spark, {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        made = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(made)] = (path, made)
+        return made
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables; what was made from them must be stored itself."""
+        for made in tables:
+            path, _ = self._paths.pop(id(made))
+            remove_tree(self.spark, path)
+
+
+def free_name(base: str, columns: list[str]) -> str:
+    """A name that no column has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def place_of(docs: DataFrame) -> Column:
+    """What orders documents and tells them apart: doc_id, nulls first, then a hash of the text.
+
+    One number for whole-number ids (65 bits of id, 60 of hash), which aggregates by hash, and a
+    struct for others.
+    """
+    named = F.xxhash64("text")
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return F.struct("doc_id", named.alias("hash"))
+    number = F.coalesce(F.col("doc_id").cast("decimal(20,0)"),
+                        F.lit(str(-(2 ** 63) - 1)).cast("decimal(20,0)"))
+    return (number * F.lit(2 ** 60).cast("decimal(19,0)")
+            + F.shiftrightunsigned(named, 4).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join of rows with a table of one row a key that has the number ``n`` of its rows.
+
+    Rows of keys with more than HOT_SHARE of them all don't meet in a task: those keys, a bounded
+    number, are broadcast. Both tables are read twice, so they should be stored.
+    """
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    is_hot = F.col("n") > max(total * HOT_SHARE, 1000)
+    hot = counted.filter(is_hot)
+    cold = rows.join(counted.filter(~is_hot), keys)
+    if hot.isEmpty():
+        return cold
+    return rows.join(F.broadcast(hot), keys).unionByName(cold)

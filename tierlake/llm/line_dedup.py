@@ -25,7 +25,9 @@ passage's edges. A line of fewer than UNIT words goes whole or stays, so a passa
 edge in one must have enough words without it. Within one document a copy counts if it has no
 words in common with the first.
 
-Ranks and sequences are written to the shared folder between rounds.
+Lines and stretches come from one pass over the texts; what occurs once is never sent with a place.
+Keys that a large share of rows have are joined by broadcast, so no task gets all their rows.
+Tables of a round are written to the shared folder, and removed when the next one is.
 
 Defined results: null texts stay null, and empty ones empty; blank lines stay unless the line
 before them was deleted; a text whose lines are all copies becomes empty, and its row stays. Rows
@@ -35,6 +37,7 @@ only text is changed.
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -43,14 +46,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tierlake.llm.common import map_texts, slices, type_of
-from tierlake.llm.passages import covered, later_places
+from tierlake.llm.common import (
+    Stored, free_name, join_counted, map_texts, place_of, slices, type_of)
+from tierlake.llm.passages import STRETCHES, covered, later_places, lists_of, stretches_of
 from tierlake.session import materialise
 
 MIN_WORDS = 50
 #: A line of fewer words is never cut.
 UNIT = 8
-_HASH, _RUNS, _PLACES = "__text_hash", "__runs", "__places"
 _WORD = re.compile(r"\S+")
 
 
@@ -58,35 +61,36 @@ def content_lines(text: str | None) -> list[str]:
     return [line for line in map(str.strip, (text or "").split("\n")) if line]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash, pos, h1, h2, words) of every line that is not blank."""
+def _shapes(texts: DataFrame, least: int) -> DataFrame:
+    """A row a text, from one pass over it: place, its lines that are not blank (128 bits and
+    number of words each) and its stretches (see passages)."""
     def run(part):
-        rows, places, names, words = [], [], [], []
-        for row, text in enumerate(part.column("text").to_pylist()):
+        texts = part.column("text").to_pylist()
+        names, words, rows = [], [], []
+        for row, text in enumerate(texts):
             lines = content_lines(text)
-            rows.extend([row] * len(lines))
-            places.extend(range(len(lines)))
+            rows.append(len(lines))
             names.extend(xxhash.xxh3_128_digest(line.encode()) for line in lines)
             words.extend(len(line.split()) for line in lines)
-        at = pa.array(rows, pa.int64())
         halves = np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
-        return [part.column("doc_id").take(at), part.column("hash").take(at),
-                pa.array(places, pa.int32()), pa.array(np.ascontiguousarray(halves[:, 0])),
-                pa.array(np.ascontiguousarray(halves[:, 1])), pa.array(words, pa.int32())]
+        of = np.repeat(np.arange(len(texts)), rows)
+        return [part.column("place"), *(lists_of(v, of, len(texts), t) for v, t in (
+            (halves[:, 0], np.int64), (halves[:, 1], np.int64), (np.array(words), np.int32))),
+            *stretches_of(texts, least)]
 
-    return map_texts(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"),
-                     f"doc_id {type_of(docs, 'doc_id')}, hash bigint, pos int, h1 bigint, "
-                     "h2 bigint, words int", run)
+    return map_texts(texts, f"place {type_of(texts, 'place')}, h1 array<bigint>, "
+                     f"h2 array<bigint>, words array<int>, {STRETCHES}", run)
 
 
-def _repeated_in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys that several rows have, each with a rank in the order of the keys.
+def _repeated_in_order(rows: DataFrame, keys: list[str], stored=materialise) -> DataFrame:
+    """The keys that several rows have, each with a rank in the order of the keys, and how many.
 
     Sorted range partitions make the running ids rise with the keys; written, they are final.
     """
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys)
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
     ordered = repeated.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    return materialise(ordered.withColumn("next_rank", F.monotonically_increasing_id()), "ranks")
+    return stored(ordered.select(*keys, F.monotonically_increasing_id().alias("next_rank"), "n"),
+                  "ranks")
 
 
 def stretches(pos: np.ndarray) -> np.ndarray:
@@ -137,18 +141,17 @@ def _sequences(lines: DataFrame, least: int) -> DataFrame:
             some = pa.array([i for i, o in enumerate(out) if len(o[0])], pa.int64())
             out = [o for o in out if len(o[0])]
             yield pa.RecordBatch.from_arrays([
-                part.column("doc_id").take(some), part.column("hash").take(some),
+                part.column("place").take(some),
                 pa.array([o[0] for o in out], pa.list_(pa.int32())),
                 pa.array([o[1] for o in out], pa.list_(pa.int64())),
                 pa.array([o[2] for o in out], pa.list_(pa.int32())),
                 pa.array([o[3] for o in out], pa.list_(pa.int32()))],
-                names=["doc_id", "hash", "pos", "rank", "start", "length"])
+                names=["place", "pos", "rank", "start", "length"])
 
-    grouped = lines.groupBy("doc_id", "hash").agg(
+    grouped = lines.groupBy("place").agg(
         F.collect_set(F.struct("pos", "rank", "words")).alias("lines"))
-    return grouped.mapInArrow(run, f"doc_id {type_of(lines, 'doc_id')}, hash bigint, "
-                              "pos array<int>, rank array<bigint>, start array<int>, "
-                              "length array<int>")
+    return grouped.mapInArrow(run, f"place {type_of(lines, 'place')}, pos array<int>, "
+                              "rank array<bigint>, start array<int>, length array<int>")
 
 
 def _rows_of(part: pa.RecordBatch, pick) -> pa.RecordBatch:
@@ -157,24 +160,23 @@ def _rows_of(part: pa.RecordBatch, pick) -> pa.RecordBatch:
              for row in range(part.num_rows)]
     at = pa.array(np.repeat(np.arange(part.num_rows), [len(f[0]) for f in found]), pa.int64())
     columns = [np.concatenate(c).astype(np.int64) for c in zip(*found)]
-    return [part.column("doc_id").take(at), part.column("hash").take(at),
-            *(pa.array(c) for c in columns)]
+    return [part.column("place").take(at), *(pa.array(c) for c in columns)]
 
 
 def _flatten(sequences: DataFrame, columns: str, pick) -> DataFrame:
-    names = ["doc_id", "hash", *columns.split()]
+    names = ["place", *columns.split()]
 
     def run(batches):
         for part in batches:
             if part.num_rows:
                 yield pa.RecordBatch.from_arrays(_rows_of(part, pick), names=names)
 
-    return sequences.mapInArrow(run, f"doc_id {type_of(sequences, 'doc_id')}, hash bigint, "
-                                + ", ".join(f"{c} bigint" for c in names[2:]))
+    return sequences.mapInArrow(run, f"place {type_of(sequences, 'place')}, "
+                                + ", ".join(f"{c} bigint" for c in names[1:]))
 
 
-def _copies(sequences: DataFrame, depth: int) -> DataFrame:
-    """(doc_id, hash, start, length) of runs of depth .. 2 * depth - 1 lines with an earlier copy."""
+def _copies(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
+    """(place, start, length), stored, of runs of depth .. 2 * depth - 1 lines with an earlier copy."""
     def pick(pos, rank, start, length):
         chosen = (length >= depth) & (length < 2 * depth)
         start, length = start[chosen], length[chosen]
@@ -186,17 +188,18 @@ def _copies(sequences: DataFrame, depth: int) -> DataFrame:
         return (start[there], length[there], *(rank[i[there]] if len(pos) else i[there]
                                                for i, _ in found))
 
-    runs = _flatten(sequences, "start length head tail", pick)
-    place = F.struct("doc_id", "hash", "start")
-    first = runs.groupBy("length", "head", "tail").agg(
-        F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return (runs.join(first, ["length", "head", "tail"])
-            .filter(~place.eqNullSafe(F.col("first")))
-            .select("doc_id", "hash", "start", "length"))
+    runs = stored(_flatten(sequences, "start length head tail", pick), "runs")
+    place = F.struct("place", "start")
+    first = stored(runs.groupBy("length", "head", "tail").agg(
+        F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
+    copies = stored(join_counted(runs, first, ["length", "head", "tail"])
+                    .filter(place != F.col("first")).select("place", "start", "length"), "copies")
+    stored.drop(runs, first)
+    return copies
 
 
-def _doubled(sequences: DataFrame, depth: int) -> DataFrame:
-    """Ranks by 2 * depth lines, of the suffixes that longer runs need and that share theirs."""
+def _doubled(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
+    """Sequences, stored, with ranks by 2 * depth lines, of the suffixes that longer runs need and that share theirs."""
     def pick(pos, rank, start, length):
         ends = [pos.max(initial=0), (start + length).max(initial=0)]
         needed = np.zeros(int(max(ends)) + 2, dtype=np.int64)
@@ -209,35 +212,42 @@ def _doubled(sequences: DataFrame, depth: int) -> DataFrame:
         wanted &= pos[i] == pos + depth
         return pos[wanted], rank[wanted], rank[i[wanted]]
 
-    pairs = _flatten(sequences, "pos rank second", pick)
-    ranked = pairs.join(_repeated_in_order(pairs, ["rank", "second"]), ["rank", "second"])
-    own = ranked.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_list(F.struct(
-        F.col("pos").cast("int").alias("pos"), F.col("next_rank").alias("rank")))).alias("lines"))
-    runs = sequences.select("doc_id", "hash", "start", "length").filter(
+    pairs = stored(_flatten(sequences, "pos rank second", pick), "pairs")
+    ranks = _repeated_in_order(pairs, ["rank", "second"], stored)
+    own = join_counted(pairs, ranks, ["rank", "second"]).groupBy("place").agg(
+        F.sort_array(F.collect_list(F.struct(
+            F.col("pos").cast("int").alias("pos"), F.col("next_rank").alias("rank")))).alias("lines"))
+    runs = sequences.select("place", "start", "length").filter(
         F.exists("length", lambda m: m >= 2 * depth))
-    return own.alias("a").join(runs.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
-                               & (F.col("a.hash") == F.col("b.hash"))).select(
-        "a.doc_id", "a.hash", F.col("lines.pos").alias("pos"), F.col("lines.rank").alias("rank"),
-        "start", "length")
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, hash, runs): later copies in a document as (start, length), in content lines."""
-    lines = materialise(_lines(docs), "lines")
-    ranked = lines.join(_repeated_in_order(lines, ["h1", "h2"]), ["h1", "h2"]).withColumnRenamed(
-        "next_rank", "rank")
-    sequences = materialise(_sequences(ranked, min_words), "sequences")
+    made = stored(own.join(runs, "place").select(
+        "place", F.col("lines.pos").alias("pos"), F.col("lines.rank").alias("rank"), "start",
+        "length"), "sequences")
+    stored.drop(pairs, ranks)
+    return made
+
+
+def repeated_runs(shapes: DataFrame, min_words: int, stored: Stored) -> DataFrame:
+    """(place, runs): later copies in a document as (start, length), in content lines."""
+    each = shapes.select("place", F.posexplode(F.arrays_zip("h1", "h2", "words")).alias(
+        "pos", "line")).select("place", "pos", "line.h1", "line.h2", "line.words")
+    ranks = _repeated_in_order(each, ["h1", "h2"], stored)
+    ranked = join_counted(each, ranks, ["h1", "h2"]).withColumnRenamed("next_rank", "rank")
+    sequences = stored(_sequences(ranked, min_words), "sequences")
+    stored.drop(ranks)
     longest = sequences.agg(F.max(F.array_max("length"))).first()[0] or 0
-    found, depth = None, 1
+    rounds, depth = [], 1
     while True:
-        copies = _copies(sequences, depth)
-        found = copies if found is None else found.unionByName(copies)
+        rounds.append(_copies(sequences, depth, stored))
         if 2 * depth > longest:
             break
-        sequences = materialise(_doubled(sequences, depth), "sequences")
-        depth *= 2
-    return found.groupBy("doc_id", "hash").agg(
-        F.collect_set(F.struct("start", "length")).alias("runs"))
+        longer = _doubled(sequences, depth, stored)
+        stored.drop(sequences)
+        sequences, depth = longer, 2 * depth
+    found = functools.reduce(DataFrame.unionByName, rounds)
+    runs = stored(found.groupBy("place").agg(
+        F.collect_set(F.struct("start", "length")).alias("runs")), "line-runs")
+    stored.drop(sequences, *rounds)
+    return runs
 
 
 def _cut(line: str, gone: np.ndarray) -> str:
@@ -248,10 +258,10 @@ def _cut(line: str, gone: np.ndarray) -> str:
     return line[:starts[0]] + (kept.rstrip() if gone[-1] else kept)
 
 
-def without(text: str | None, runs: list[tuple[int, int]], places: list[int] = (),
+def without(text: str | None, runs: list[tuple[int, int]], places: list[dict] = (),
             least: int = MIN_WORDS) -> tuple[str | None, int]:
     """The text without runs of content lines and without the windows of ``least`` words at the
-    places, and how many lines that took or cut."""
+    places, (start, n) of neighbours, and how many lines that took or cut."""
     deleted = {i for start, length in runs for i in range(start, start + length)}
     kept, place, word, dropping, taken = [], 0, 0, False, 0
     sizes = [len(line.split()) for line in content_lines(text)] if places else []
@@ -290,14 +300,16 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
             yield pa.RecordBatch.from_arrays(columns, names=schema_names)
 
     docs_columns, schema_names = docs.columns, schema.names
-    runs = materialise(repeated_runs(docs, min_words), "runs")
-    places = later_places(docs, min_words, runs)
-    both = runs.unionByName(places, allowMissingColumns=True).groupBy("doc_id", "hash").agg(
-        *(F.first(c, ignorenulls=True).alias(c) for c in ("runs", "places")))
-    runs = both.select(
-        F.col("doc_id").alias("__id"), F.col("hash").alias("__hash"),
-        F.col("runs").alias(_RUNS), F.col("places").alias(_PLACES)).hint("shuffle_hash")
-    joined = docs.withColumn(_HASH, F.xxhash64("text")).join(
-        runs, F.col(_HASH).eqNullSafe(F.col("__hash"))
-        & F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id", "__hash", _HASH)
+    stored = Stored(docs.sparkSession)
+    place = place_of(docs)
+    texts = docs.select(place.alias("place"), "text")
+    shapes = stored(_shapes(texts, min_words), "shapes")
+    runs = repeated_runs(shapes, min_words, stored)
+    places = later_places(texts, shapes, min_words, stored)
+    stored.drop(shapes)
+    key = free_name("place", docs.columns)
+    found = runs.unionByName(places, allowMissingColumns=True).groupBy(
+        F.col("place").alias(key)).agg(*(F.first(c, ignorenulls=True).alias(
+            free_name(c, docs.columns)) for c in ("runs", "places")))
+    joined = docs.withColumn(key, place).join(found, key, "left").drop(key)
     return joined.mapInArrow(run, schema)

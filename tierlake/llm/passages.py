@@ -1,26 +1,32 @@
 """Places of repeated passages of ``least`` words, wherever lines begin and end.
 
-Each window of ``least`` words is named by 128 bits of its words. So that not all windows are sent
-on, a window is first told by the smallest hash of the word runs in it (two fifths as long): equal
-windows have the same one, and a text has few of them. Only windows whose smallest hash is seen
-more than once, in any texts, can be copies; those are compared. Nothing is left out by this.
+Texts are cut anew, at places that their words choose: the sign of a window of ``least`` words is
+the smallest hash of the runs of SHORT words in it, and a stretch is all that neighbouring windows
+of one sign cover. Copies of a passage have the same stretches inside, whatever is around them.
+
+A sign that several documents have, always with the same stretch, needs no more: all but the first
+are copies. Where stretches of a sign differ (at a passage's edges, around a changed word, or if a
+text repeats itself), their windows are compared one by one, by 128 bits. Nothing is left out by
+this: equal windows have equal signs, and a sign is decided as a whole.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import map_texts, slices, type_of
-from tierlake.session import materialise
+from tierlake.llm.common import Stored, join_counted, slices
 
 #: Odd, so that powers have inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 _WORDS = 500_000
+#: Words of the runs that choose stretches.
+SHORT = 8
 
 
 class _Ids(dict):
@@ -66,25 +72,22 @@ def signs_of(ids: np.ndarray, least: int) -> np.ndarray:
     """The smallest hash in each window of ``least`` words."""
     if len(ids) < least:
         return np.empty(0, np.int64)
-    short = max(1, least * 2 // 5)
-    return sliding_least(window_hashes(ids, short, _BASES[0]), least - short + 1).view(np.int64)
-
-
-def _words_of(texts: list[str | None], known: _Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the words of all texts, one after the other: text, content line and id."""
-    words, lines, texts_of = [], [], []
-    for number, text in enumerate(texts):
-        before = len(words)
-        sizes = []
-        for line in (text or "").split("\n"):
-            found = line.split()
-            if found:
-                sizes.append(len(found))
-                words += found
-        lines.append(np.repeat(np.arange(len(sizes)), sizes))
-        texts_of.append(len(words) - before)
-    return (np.repeat(np.arange(len(texts)), texts_of), np.concatenate(lines).astype(np.int64),
-            np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+    short = min(SHORT, least)
+    return sliding_least(_mixed(window_hashes(ids, short, _BASES[0])), least - short + 1).view(
+        np.int64)
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    return (values ^ (values >> np.uint64(29))) * np.uint64(_BASES[1])
+
+
+def _words_of(texts: list[str | None], known: _Ids) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words of all texts, one after the other: text and id."""
+    words = [(t or "").split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    ids = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(words)), np.uint64,
+                      int(sizes.sum()))
+    return np.repeat(np.arange(len(texts)), sizes), ids
 
 
 def _windows_of(owner: np.ndarray, ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,116 +97,125 @@ def _windows_of(owner: np.ndarray, ids: np.ndarray, least: int) -> tuple[np.ndar
     return places, signs[places]
 
 
-def joined_runs(runs: list[dict]) -> list[tuple[int, int]]:
-    """First and last lines of the stretches that the runs cover."""
-    out: list[tuple[int, int]] = []
-    for start, end in sorted((r["start"], r["start"] + r["length"] - 1) for r in runs):
-        if out and start <= out[-1][1] + 1:
-            out[-1] = out[-1][0], max(end, out[-1][1])
-        else:
-            out.append((start, end))
-    return out
-
+def lists_of(values: np.ndarray, of: np.ndarray, size: int, kind: type) -> pa.ListArray:
+    """A list a row, from the values of all rows and the ascending rows they are of."""
+    ends = np.searchsorted(of, np.arange(size + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(kind)))
+
+
+#: Columns of ``stretches_of``: sign, words of the stretch, its first window, the number of its
+#: windows, and whether the text has the sign in this stretch only, around one place.
+STRETCHES = ("sign array<bigint>, whole array<bigint>, at array<int>, n array<int>, "
+             "single array<boolean>")
+
+
+def stretches_of(texts: list[str | None], least: int) -> list[pa.ListArray]:
+    size = len(texts)
+    owner, ids = _words_of(texts, _KNOWN)
+    places, signs = _windows_of(owner, ids, least)
+    of = owner[places]
+    new = np.ones(len(signs), bool)
+    new[1:] = (np.diff(signs) != 0) | (np.diff(of) != 0)
+    starts = np.flatnonzero(new)
+    counts = np.diff(np.append(starts, len(signs)))
+    sign, of_stretch, first = signs[starts], of[starts], places[starts]
+    whole = _range_hashes(ids, first, first + counts + least - 1)
+    order = np.lexsort((sign, of_stretch))
+    alike = ((np.diff(sign[order]) == 0) & (np.diff(of_stretch[order]) == 0))
+    single = counts <= least - min(SHORT, least) + 1
+    single[order[1:][alike]] = False
+    single[order[:-1][alike]] = False
+    begins = np.searchsorted(owner, np.arange(size))
+    return [lists_of(v, of_stretch, size, t) for v, t in (
+        (sign, np.int64), (whole.view(np.int64), np.int64),
+        (first - begins[of_stretch] if len(first) else first, np.int32), (counts, np.int32),
+        (single, bool))]
+
+
+def _windows(batches, least: int):
+    """(place, pos, h1, h2) of the windows that have one of the row's signs."""
+    for part in slices(batches, "text"):
+        owner, ids = _words_of(part.column("text").to_pylist(), _KNOWN)
+        places, found = _windows_of(owner, ids, least)
+        of, begins = owner[places], np.searchsorted(owner, np.arange(part.num_rows))
+        wanted = np.zeros(len(places), bool)
+        for row in range(part.num_rows):
+            lo, hi = np.searchsorted(of, [row, row + 1])
+            wanted[lo:hi] = np.isin(found[lo:hi], part.column("signs")[row].values.to_numpy())
+        places, at = places[wanted], pa.array(of[wanted])
+        yield pa.RecordBatch.from_arrays(
+            [part.column("place").take(at),
+             pa.array((places - begins[of[wanted]]).astype(np.int32)),
+             *(pa.array(window_hashes(ids, least, b)[places].view(np.int64)) for b in _BASES)],
+            names=["place", "pos", "h1", "h2"])
+
+
+def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored) -> DataFrame:
+    """(place, places): windows that stood before, as (start, n) of neighbouring ones.
+
+    Before is an earlier document, or the same one without common words. texts: (place, text);
+    shapes: (place, columns of STRETCHES), stored.
+    """
+    each = shapes.select("place", F.explode(F.arrays_zip(
+        "sign", "whole", "at", "n", "single")).alias("s")).select(
+        "place", "s.sign", "s.whole", "s.at", F.col("s.n").alias("windows"), "s.single")
+    # A sign alone is sent first: few are there twice.
+    twice = stored(each.groupBy("sign").agg(
+        F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n")).filter("n > 1"), "signs")
+    held = stored(join_counted(each, twice, ["sign"]).drop("n"), "stretches")
+    about = stored(held.groupBy("sign").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last"),
+        (F.bool_and("single") & (F.min("whole") == F.max("whole"))).alias("alike")).filter(
+        (F.col("first") < F.col("last")) | ~F.col("alike")).drop("last"), "shared")
+    found = stored(join_counted(held, about, ["sign"]).filter(
+        ~F.col("alike") | (F.col("place") != F.col("first"))).select(
+        "place", "sign", "at", "windows", "alike"), "found")
+    stored.drop(twice, held, about)
+    sure = found.filter("alike").select("place", "at", "windows")
+    wanted = found.filter("NOT alike").groupBy("place").agg(F.collect_set("sign").alias("signs"))
+    kind = texts.schema["place"].dataType.simpleString()
+    compared = stored(texts.join(wanted, "place").select("place", "text", "signs").mapInArrow(
+        functools.partial(_windows, least=least), f"place {kind}, pos int, h1 bigint, h2 bigint"),
+        "windows")
+    # A number and a place make one number or struct to take the smallest of.
+    at = F.struct("place", "pos")
+    first = stored(compared.groupBy("h1", "h2").agg(
+        F.count("*").alias("n"), F.min(at).alias("first")).filter("n > 1"), "first")
+    same = F.col("place") == F.col("first.place")
+    copies = join_counted(compared, first, ["h1", "h2"]).filter(
+        ~(same & (F.col("pos") - F.col("first.pos") < least))).select(
+        "place", F.col("pos").alias("at"), F.lit(1).alias("windows"))
+    places = stored(sure.unionByName(copies).groupBy("place").agg(F.collect_set(
+        F.struct(F.col("at").alias("start"), F.col("windows").alias("n"))).alias("places")),
+        "places")
+    stored.drop(found, compared, first)
+    return places
+
+
+def _range_hashes(ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of the words [start, end): the sum of word i times base^i, modulo 2^64."""
+    room = 1 << int(len(ids)).bit_length()
+    base = _BASES[1]
+    total = np.append(np.uint64(0), np.cumsum(ids * _powers(base, room)[:len(ids)],
+                                              dtype=np.uint64))
+    return (total[end] - total[start]) * _powers(pow(base, -1, 1 << 64), room)[start]
 
-def later_places(docs: DataFrame, least: int, runs: DataFrame) -> DataFrame:
-    """(doc_id, hash, places): words at which a window begins that stood before.
 
-    Before is an earlier document, or the same one without common words. Windows within lines that
-    are deleted anyway (runs: doc_id, hash, runs) are no copies to look for and none to keep.
-    """
-    kind = type_of(docs, "doc_id")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
-    width = least - max(1, least * 2 // 5) + 1
-
-    def lists(values, starts, size, of):
-        return pa.ListArray.from_arrays(
-            pa.array(np.searchsorted(starts, np.arange(size + 1)).astype(np.int32)),
-            pa.array(values.astype(of)))
-
-    def signs(part):
-        """Stretches of windows with one sign; what is longer than can be counts several times."""
-        owner, line, ids = _words_of(part.column("text").to_pylist(), _KNOWN)
-        places, found = _windows_of(owner, ids, least)
-        of = owner[places]
-        starts = np.flatnonzero(np.concatenate([np.full(min(1, len(found)), True),
-                                                (np.diff(found) != 0) | (np.diff(of) != 0)]))
-        ends = np.append(starts[1:], len(found)) if len(starts) else starts
-        columns = ((found[starts], np.int64), (-(-(ends - starts) // width), np.int32),
-                   (line[places[starts]], np.int32),
-                   (line[places[ends - 1] + least - 1], np.int32))
-        return [part.column("doc_id"), part.column("hash"),
-                *(lists(v, of[starts], part.num_rows, t) for v, t in columns)]
-
-    def stretches(batches):
-        for part in batches:
-            yield pa.RecordBatch.from_arrays([
-                part.column("doc_id"), part.column("hash"),
-                pa.array([[{"lo": a, "hi": b} for a, b in joined_runs(r)]
-                          for r in part.column("runs").to_pylist()],
-                         pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
-                names=["id", "h", "gone"])
-
-    def windows(batches):
-        for part in slices(batches, "text"):
-            owner, line, ids = _words_of(part.column("text").to_pylist(), _KNOWN)
-            places, found = _windows_of(owner, ids, least)
-            of, begins = owner[places], np.searchsorted(owner, np.arange(part.num_rows))
-            wanted = np.zeros(len(places), bool)
-            for row in range(part.num_rows):
-                lo, hi = np.searchsorted(of, [row, row + 1])
-                some = np.isin(found[lo:hi], part.column("signs")[row].values.to_numpy())
-                for gone in part.column("gone")[row].as_py() or ():
-                    some &= ~((line[places[lo:hi]] >= gone["lo"])
-                              & (line[places[lo:hi] + least - 1] <= gone["hi"]))
-                wanted[lo:hi] = some
-            places, at = places[wanted], pa.array(of[wanted])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(at), part.column("hash").take(at),
-                 pa.array((places - begins[of[wanted]]).astype(np.int32)),
-                 *(pa.array(window_hashes(ids, least, b)[places].view(np.int64))
-                   for b in _BASES)], names=["doc_id", "hash", "pos", "h1", "h2"])
-
-    def with_gone(df):
-        return df.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))
-                       & F.col("hash").eqNullSafe(F.col("h")), "left").drop("id", "h")
-
-    gone = runs.mapInArrow(stretches, f"id {kind}, h bigint, gone array<struct<lo:bigint,hi:bigint>>")
-    by_text = map_texts(texts, f"doc_id {kind}, hash bigint, sign array<bigint>, n array<int>, "
-                        "a array<int>, b array<int>", signs).filter(F.size("sign") > 0)
-    each = with_gone(by_text).select("doc_id", "hash", "gone", F.explode(
-        F.arrays_zip("sign", "n", "a", "b")).alias("s"))
-    all_signs = materialise(each.filter(~F.coalesce(F.exists("gone", lambda g: (
-        g["lo"] <= F.col("s.a")) & (g["hi"] >= F.col("s.b"))), F.lit(False))).select(
-        "doc_id", "hash", "s.sign", "s.n"), "signs")
-    shared = all_signs.groupBy("sign").agg(F.sum("n").alias("n")).filter("n > 1").select("sign")
-    of_text = with_gone(all_signs.join(shared, "sign").groupBy("doc_id", "hash").agg(
-        F.collect_set("sign").alias("signs"))).select(
-        F.col("doc_id").alias("id"), F.col("hash").alias("h"), "signs", "gone")
-    chosen = texts.join(of_text.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id"))
-                        & (F.col("hash") == F.col("h"))).select(
-        "doc_id", "hash", "text", "signs", "gone")
-    compared = materialise(chosen.mapInArrow(
-        windows, f"doc_id {kind}, hash bigint, pos int, h1 bigint, h2 bigint"), "windows")
-    place = F.struct("doc_id", "hash", "pos")
-    first = compared.groupBy("h1", "h2").agg(
-        F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    same = (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
-            & (F.col("hash") == F.col("first.hash")))
-    return (compared.join(first, ["h1", "h2"])
-            .filter(~(same & (F.col("pos") - F.col("first.pos") < least)))
-            .groupBy("doc_id", "hash").agg(F.collect_set("pos").alias("places")))
-
-
-def covered(places: list[int], lines: list[int], least: int, unit: int) -> np.ndarray:
-    """Which words are in repeated windows. lines: words of each line.
+def covered(places: list[dict], lines: list[int], least: int, unit: int) -> np.ndarray:
+    """Which words are in repeated windows, (start, n) of neighbours. lines: words of each line.
 
     A line of fewer than ``unit`` words is covered as a whole or not at all.
     """
     ends = np.cumsum(lines)
     mask = np.zeros(int(ends[-1]) if len(ends) else 0, bool)
-    places = np.sort(np.asarray(places, np.int64))
-    for run in np.split(places, np.flatnonzero(np.diff(places) > 1) + 1) if len(places) else ():
-        start, end = int(run[0]), int(run[-1]) + least
+    runs: list[list[int]] = []
+    for start, n in sorted((p["start"], p["n"]) for p in places):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], start + n)
+        else:
+            runs.append([start, start + n])
+    for start, stop in runs:
+        end = stop - 1 + least
         line = int(np.searchsorted(ends, start, side="right"))
         if lines[line] < unit and start > ends[line] - lines[line]:
             start = int(ends[line])
