@@ -105,6 +105,12 @@ def remove_tree(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def tree_bytes(spark: SparkSession, path: str) -> int:
+    """The size of all files below a path."""
+    folder, files = _file_system(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def child_times(spark: SparkSession, path: str) -> dict[str, float]:
     """Names of the folders right below a path, with their times of change in seconds."""
     folder, files = _file_system(spark, path)
