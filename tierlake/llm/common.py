@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegralType, StructField, StructType
 
-from tierlake.session import remove_tree, scratch_path
+from tierlake.session import remove_tree, scratch_path, tree_bytes
 
 #: Texts of one slice of an Arrow batch may have so many characters before results are sent on.
 SLICE_CHARS = 4_000_000
@@ -75,6 +75,10 @@ class Stored:
         self._paths[id(made)] = (path, made)
         return made
 
+    def bytes_of(self, made: DataFrame) -> int:
+        path, _ = self._paths[id(made)]
+        return tree_bytes(self.spark, path)
+
     def drop(self, *tables: DataFrame) -> None:
         """Remove tables; what was made from them must be stored itself."""
         for made in tables:
@@ -118,3 +122,18 @@ def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFr
     if hot.isEmpty():
         return cold
     return rows.join(F.broadcast(hot), keys).unionByName(cold)
+
+
+#: Tables of so many bytes at most, by the size of their stored files, are broadcast to join texts.
+SMALL_BYTES = 32_000_000
+
+
+def join_to_texts(texts: DataFrame, found: DataFrame, keys: list[str], how: str,
+                  stored: Stored) -> DataFrame:
+    """Join whole texts with a stored table of one row a key.
+
+    Texts are the bulk of a corpus, so they are shuffled only if the table's files have more than
+    SMALL_BYTES (AQE would find out after the texts are written to its shuffle).
+    """
+    small = stored.bytes_of(found) <= SMALL_BYTES
+    return texts.join(F.broadcast(found) if small else found, keys, how)

@@ -43,11 +43,11 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.llm.common import (
-    Stored, free_name, join_counted, map_texts, place_of, slices, type_of)
+    Stored, free_name, join_counted, join_to_texts, map_texts, place_of, slices, type_of)
 from tierlake.llm.passages import STRETCHES, covered, later_places, lists_of, stretches_of
 from tierlake.session import materialise
 
@@ -258,10 +258,10 @@ def _cut(line: str, gone: np.ndarray) -> str:
     return line[:starts[0]] + (kept.rstrip() if gone[-1] else kept)
 
 
-def without(text: str | None, runs: list[tuple[int, int]], places: list[dict] = (),
+def without(text: str | None, runs: list[tuple[int, int]], places: list[int] = (),
             least: int = MIN_WORDS) -> tuple[str | None, int]:
     """The text without runs of content lines and without the windows of ``least`` words at the
-    places, (start, n) of neighbours, and how many lines that took or cut."""
+    places (see ``covered``), and how many lines that took or cut."""
     deleted = {i for start, length in runs for i in range(start, start + length)}
     kept, place, word, dropping, taken = [], 0, 0, False, 0
     sizes = [len(line.split()) for line in content_lines(text)] if places else []
@@ -308,8 +308,13 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
     places = later_places(texts, shapes, min_words, stored)
     stored.drop(shapes)
     key = free_name("place", docs.columns)
-    found = runs.unionByName(places, allowMissingColumns=True).groupBy(
+    found = stored(runs.unionByName(places, allowMissingColumns=True).groupBy(
         F.col("place").alias(key)).agg(*(F.first(c, ignorenulls=True).alias(
-            free_name(c, docs.columns)) for c in ("runs", "places")))
-    joined = docs.withColumn(key, place).join(found, key, "left").drop(key)
-    return joined.mapInArrow(run, schema)
+            free_name(c, docs.columns)) for c in ("runs", "places"))), "copies")
+    stored.drop(runs, places)
+    joined = join_to_texts(docs.withColumn(key, place), found, [key], "left", stored).drop(key)
+    # Most texts have no copies and stay out of Python.
+    touched = functools.reduce(Column.__or__, (F.col(c).isNotNull() for c in joined.columns[-2:]))
+    same = joined.filter(~touched).select(*docs.columns, *(
+        [F.lit(0).alias(count_as)] if count_as else []))
+    return joined.filter(touched).mapInArrow(run, schema).union(same)

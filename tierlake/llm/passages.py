@@ -20,13 +20,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import Stored, join_counted, slices
+from tierlake.llm.common import Stored, join_counted, join_to_texts, slices
 
 #: Odd, so that powers have inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 _WORDS = 500_000
 #: Words of the runs that choose stretches.
-SHORT = 8
+SHORT = 20
 
 
 class _Ids(dict):
@@ -133,7 +133,8 @@ def stretches_of(texts: list[str | None], least: int) -> list[pa.ListArray]:
 
 
 def _windows(batches, least: int):
-    """(place, pos, h1, h2) of the windows that have one of the row's signs."""
+    """(place, near, pos, h1, h2) of the windows that have one of the row's signs; near: it has
+    words in common with the text's first window of its kind, or is that."""
     for part in slices(batches, "text"):
         owner, ids = _words_of(part.column("text").to_pylist(), _KNOWN)
         places, found = _windows_of(owner, ids, least)
@@ -142,16 +143,24 @@ def _windows(batches, least: int):
         for row in range(part.num_rows):
             lo, hi = np.searchsorted(of, [row, row + 1])
             wanted[lo:hi] = np.isin(found[lo:hi], part.column("signs")[row].values.to_numpy())
-        places, at = places[wanted], pa.array(of[wanted])
+        places, of = places[wanted], of[wanted]
+        h1, h2 = (window_hashes(ids, least, b)[places].view(np.int64) for b in _BASES)
+        order = np.lexsort((places, h2, h1, of))
+        new = np.ones(len(order), bool)
+        for kind in (of, h1, h2):
+            new[1:] &= np.diff(kind[order]) == 0
+        new[1:] = ~new[1:]
+        group = np.cumsum(new) - 1
+        near = np.empty(len(order), bool)
+        near[order] = places[order] - places[order][new][group] < least
         yield pa.RecordBatch.from_arrays(
-            [part.column("place").take(at),
-             pa.array((places - begins[of[wanted]]).astype(np.int32)),
-             *(pa.array(window_hashes(ids, least, b)[places].view(np.int64)) for b in _BASES)],
-            names=["place", "pos", "h1", "h2"])
+            [part.column("place").take(pa.array(of)), pa.array(near),
+             pa.array((places - begins[of]).astype(np.int32)), pa.array(h1), pa.array(h2)],
+            names=["place", "near", "pos", "h1", "h2"])
 
 
 def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored) -> DataFrame:
-    """(place, places): windows that stood before, as (start, n) of neighbouring ones.
+    """(place, places): windows that stood before, neighbours as start * 2^32 + number.
 
     Before is an earlier document, or the same one without common words. texts: (place, text);
     shapes: (place, columns of STRETCHES), stored.
@@ -172,23 +181,21 @@ def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored
         "place", "sign", "at", "windows", "alike"), "found")
     stored.drop(twice, held, about)
     sure = found.filter("alike").select("place", "at", "windows")
-    wanted = found.filter("NOT alike").groupBy("place").agg(F.collect_set("sign").alias("signs"))
+    wanted = stored(found.filter("NOT alike").groupBy("place").agg(
+        F.collect_set("sign").alias("signs")), "wanted")
     kind = texts.schema["place"].dataType.simpleString()
-    compared = stored(texts.join(wanted, "place").select("place", "text", "signs").mapInArrow(
-        functools.partial(_windows, least=least), f"place {kind}, pos int, h1 bigint, h2 bigint"),
-        "windows")
-    # A number and a place make one number or struct to take the smallest of.
-    at = F.struct("place", "pos")
+    compared = stored(join_to_texts(texts, wanted, ["place"], "inner", stored).select(
+        "place", "text", "signs").mapInArrow(
+        functools.partial(_windows, least=least), f"place {kind}, near boolean, pos int, "
+        "h1 bigint, h2 bigint"), "windows")
     first = stored(compared.groupBy("h1", "h2").agg(
-        F.count("*").alias("n"), F.min(at).alias("first")).filter("n > 1"), "first")
-    same = F.col("place") == F.col("first.place")
+        F.count("*").alias("n"), F.min("place").alias("first")).filter("n > 1"), "first")
     copies = join_counted(compared, first, ["h1", "h2"]).filter(
-        ~(same & (F.col("pos") - F.col("first.pos") < least))).select(
+        (F.col("place") != F.col("first")) | ~F.col("near")).select(
         "place", F.col("pos").alias("at"), F.lit(1).alias("windows"))
     places = stored(sure.unionByName(copies).groupBy("place").agg(F.collect_set(
-        F.struct(F.col("at").alias("start"), F.col("windows").alias("n"))).alias("places")),
-        "places")
-    stored.drop(found, compared, first)
+        F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("windows")).alias("places")), "places")
+    stored.drop(found, wanted, compared, first)
     return places
 
 
@@ -201,15 +208,15 @@ def _range_hashes(ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return (total[end] - total[start]) * _powers(pow(base, -1, 1 << 64), room)[start]
 
 
-def covered(places: list[dict], lines: list[int], least: int, unit: int) -> np.ndarray:
-    """Which words are in repeated windows, (start, n) of neighbours. lines: words of each line.
+def covered(places: list[int], lines: list[int], least: int, unit: int) -> np.ndarray:
+    """Which words are in repeated windows, start * 2^32 + number. lines: words of each line.
 
     A line of fewer than ``unit`` words is covered as a whole or not at all.
     """
     ends = np.cumsum(lines)
     mask = np.zeros(int(ends[-1]) if len(ends) else 0, bool)
     runs: list[list[int]] = []
-    for start, n in sorted((p["start"], p["n"]) for p in places):
+    for start, n in sorted(divmod(p, 1 << 32) for p in places):
         if runs and start <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], start + n)
         else:
