@@ -80,6 +80,27 @@ def test_recall_decides_the_runs():
     assert j.n_runs(0.8, 0.9999999) > j.n_runs(0.8, 0.999)
 
 
+@pytest.mark.parametrize("threshold,recall", [(0.5, 0.99999), (0.65, 0.99999)])
+def test_other_thresholds(documents, threshold, recall):
+    rows = _rows(5, 30, 5)
+    got = {r.doc_id: (r.class_id, r.n_links)
+           for r in j.join_documents(documents(rows), threshold, recall).collect()}
+    assert got == brute_force(rows, threshold)
+
+
+def test_what_cannot_be_promised_is_an_error():
+    with pytest.raises(ValueError):
+        j.n_runs(0.3, 0.99999)
+    assert j.n_runs(0.3, 0.5) < 32
+    # Sketches lose no more than a tenth of what the runs may.
+    from math import comb
+    for threshold in (0.5, 0.8):
+        least = j.agreements(threshold, 0.99999)
+        assert sum(comb(64, k) * threshold ** k * (1 - threshold) ** (64 - k)
+                   for k in range(least)) <= 1e-6
+        assert least > 8
+
+
 def test_keeps_the_first_of_each_class(documents):
     rows = _rows(3)
     docs = documents(rows)

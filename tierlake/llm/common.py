@@ -128,7 +128,7 @@ def join_counted(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFr
 SMALL_BYTES = 32_000_000
 
 
-def join_to_texts(texts: DataFrame, found: DataFrame, keys: list[str], how: str,
+def join_to_texts(texts: DataFrame, found: DataFrame, on: list[str] | Column, how: str,
                   stored: Stored) -> DataFrame:
     """Join whole texts with a stored table of one row a key.
 
@@ -136,4 +136,4 @@ def join_to_texts(texts: DataFrame, found: DataFrame, keys: list[str], how: str,
     SMALL_BYTES (AQE would find out after the texts are written to its shuffle).
     """
     small = stored.bytes_of(found) <= SMALL_BYTES
-    return texts.join(F.broadcast(found) if small else found, keys, how)
+    return texts.join(F.broadcast(found) if small else found, on, how)

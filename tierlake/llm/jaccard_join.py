@@ -10,13 +10,16 @@ coordinates, to the child named by its smallest token under the coordinate's has
 hashing: two sets choose the same token with a probability equal to their similarity). A child
 with at most LEAF sets is a bucket; so is one that keeps most of its parent (its sets agree, so
 more splits would only repeat them) and one at depth DEPTH. A pair of similarity s takes the same
-path with a probability of at least 1 - q, where q is the least root of q = (1 - s + s q)^BRANCHES
-whatever the depth. Runs with other coordinates repeat this; their number makes q^runs, at the
+path with a probability of at least 1 - q, where q is (1 - s + s q)^BRANCHES taken DEPTH times from
+0. Runs with other coordinates repeat this; their number makes q^runs, at the
 threshold itself, no more than 1 - ``recall``.
 
-Buckets with the same sets are one. In a bucket all pairs are compared exactly, in blocks: one of
-more than BLOCK sets or TOKENS tokens is dealt by a hash over chunks, and each two chunks are a
-task's group of bounded size. A pair belongs to the first bucket both its sets are in, so links
+Buckets with the same sets are one. In a bucket all pairs are compared, in blocks: one of more than
+BLOCK sets or TOKENS tokens is dealt by a hash over chunks, and each two chunks are a task's group
+of bounded size. First only sketches are sent, a byte of each coordinate: a pair at the threshold
+agrees in fewer than ``agreements`` of them with a probability of at most (1 - ``recall``) / 10, so
+sets without a partner that agrees in as many leave the block. Tokens are made and sent for those
+that stay, and compared exactly. A pair belongs to the first bucket both its sets are in, so links
 are counted once. Blocks send on a row a set: its links and the root of its group in the block,
 never pairs. Connected components of these rows, by large and small stars, are the classes.
 
@@ -38,7 +41,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import map_texts, type_of
+from tierlake.llm.common import SMALL_BYTES, Stored, free_name, join_to_texts, map_texts, type_of
 from tierlake.session import materialise
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -81,30 +84,47 @@ def signature(tokens: np.ndarray) -> np.ndarray:
 def n_runs(threshold: float, recall: float) -> int:
     """How many runs miss a pair at the threshold with a probability of at most 1 - recall."""
     q = 0.0
-    for _ in range(10_000):
+    for _ in range(DEPTH):
         q = (1 - threshold + threshold * q) ** BRANCHES
-    return min(COORDINATES // BRANCHES, max(1, math.ceil(math.log(1 - recall) / math.log(q))))
+    runs = max(1, math.ceil(math.log(1 - recall) / math.log(q)))
+    if runs > COORDINATES // BRANCHES:
+        raise ValueError(f"a recall of {recall} at {threshold} needs {runs} runs; there are "
+                         f"coordinates for {COORDINATES // BRANCHES}")
+    return runs
+
+
+def agreements(threshold: float, recall: float) -> int:
+    """The coordinates in which a pair at the threshold agrees but for (1 - recall) / 10."""
+    missed, least = 0.0, 0
+    while True:
+        missed += (math.comb(COORDINATES, least) * threshold ** least
+                   * (1 - threshold) ** (COORDINATES - least))
+        if missed > (1 - recall) / 10:
+            return least
+        least += 1
 
 
 # ---- sets -----------------------------------------------------------------------------------
 
 def text_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash, sid, size, least) of every text with words; sid names the set."""
+    """(doc_id, hash, sid, size, least, sketch) of every text with words; sid names the set."""
     def run(part):
         sets = [tokens_of(t) for t in part.column("text").to_pylist()]
         rows = [i for i, s in enumerate(sets) if len(s)]
         sets = [sets[i] for i in rows]
         at = pa.array(rows, pa.int64())
         least = np.concatenate([signature(s) for s in sets]) if sets else np.empty(0, np.int32)
+        sketches = least.astype(np.uint8).reshape(-1, COORDINATES)
         return [part.column("doc_id").take(at), part.column("hash").take(at),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int32()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32)
-                                                  * COORDINATES), pa.array(least))]
+                                                  * COORDINATES), pa.array(least)),
+                pa.array([x.tobytes() for x in sketches], pa.binary())]
 
     return map_texts(docs.select("doc_id", F.xxhash64("text").alias("hash"), "text"),
                      f"doc_id {type_of(docs, 'doc_id')}, hash bigint, sid binary, size int, "
-                     "least array<int>", run)
+                     "least array<int>, sketch binary", run)
 
 
 # ---- chosen paths ---------------------------------------------------------------------------
@@ -122,7 +142,7 @@ def _counted(nodes: DataFrame) -> DataFrame:
     return nodes.join(n, "node")
 
 
-def buckets(sets: DataFrame, runs: int) -> DataFrame:
+def buckets(sets: DataFrame, runs: int, stored=materialise) -> DataFrame:
     """(node, sid, size): the leaves of all runs. sets: (sid, size, least), a row a set."""
     start = sets.select("sid", "size", "least", F.explode(F.sequence(
         F.lit(0), F.lit(runs - 1))).alias("run")).select(
@@ -131,7 +151,7 @@ def buckets(sets: DataFrame, runs: int) -> DataFrame:
         (F.col("run") * BRANCHES + 1).alias("c1"))
     leaves, nodes = None, start
     for depth in range(1, DEPTH + 1):
-        level = materialise(_counted(_split(nodes)), "paths")
+        level = stored(_counted(_split(nodes)), "paths")
         done = (F.col("n") <= LEAF) | (F.col("n") > AGREEING * F.coalesce("above", F.lit(math.inf)))
         if depth == DEPTH:
             done = F.lit(True)
@@ -213,30 +233,63 @@ def compare(sids, copies, sides, earlier, tokens, threshold) -> Iterator[tuple]:
         yield sids[i], sids[root[i]], int(links[i])
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(node, part) and its batches, of batches sorted by them."""
+    key, held = None, []
+    for batch in batches:
+        keys = list(zip(batch.column("node").to_pylist(), batch.column("part").to_pylist()))
+        cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+        for start, end in zip(cuts, [*cuts[1:], len(keys)]):
+            if keys[start] != key and held:
+                yield key, held
+                held = []
+            key = keys[start]
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield key, held
+
+
+def _candidates(members: DataFrame, least: int) -> DataFrame:
+    """The rows (node, part, side, sid) of members whose sketch agrees with another's of the block
+    in ``least`` bytes; of two chunks, with one of the other chunk."""
+    def run(batches):
+        for (node, part), parts in _groups(batches):
+            table = pa.Table.from_batches(parts)
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()),
+                                     np.uint8).reshape(-1, COORDINATES)
+            side = table.column("side").to_numpy()
+            inner = part // SIDES == part % SIDES
+            rows = np.arange(len(side)) if inner else np.flatnonzero(side == part // SIDES)
+            columns = rows if inner else np.flatnonzero(side != part // SIDES)
+            if len(rows) < 1 or len(columns) < 1 or len(side) < 2:
+                continue
+            alike = np.zeros((len(rows), len(columns)), np.uint8)
+            for i in range(COORDINATES):
+                alike += sketches[rows, i][:, None] == sketches[columns, i][None, :]
+            found = alike >= least
+            if inner:
+                np.fill_diagonal(found, False)
+            stays = np.zeros(len(side), bool)
+            stays[rows] |= found.any(axis=1)
+            stays[columns] |= found.any(axis=0)
+            if stays.any():
+                chosen = table.drop(["sketch"]).filter(pa.array(stays)).combine_chunks()
+                yield from chosen.select(["node", "part", "side", "sid"]).to_batches()
+
+    return (members.repartition("node", "part").sortWithinPartitions("node", "part")
+            .mapInArrow(run, "node bigint, part bigint, side int, sid binary"))
+
+
 def _blocks(members: DataFrame, threshold: float) -> DataFrame:
     """(sid, root, links) of all blocks. members: (node, part, side, sid, copies, nodes, tokens);
     part has the numbers of the block's two chunks."""
-    def groups(batches):
-        key, held = None, []
-        for batch in batches:
-            keys = list(zip(batch.column("node").to_pylist(), batch.column("part").to_pylist()))
-            cuts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
-            for start, end in zip(cuts, [*cuts[1:], len(keys)]):
-                if keys[start] != key and held:
-                    yield key, held
-                    held = []
-                key = keys[start]
-                held.append(batch.slice(start, end - start))
-        if held:
-            yield key, held
-
     def arrays(parts, name):
         return [column[i].values.to_numpy() for p in parts for column in (p.column(name),)
                 for i in range(p.num_rows)]
 
     def run(batches):
         found = []
-        for (node, part), parts in groups(batches):
+        for (node, part), parts in _groups(batches):
             sids = [s for p in parts for s in p.column("sid").to_pylist()]
             if len(sids) < 2:
                 continue
@@ -261,7 +314,7 @@ def _blocks(members: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(run, "sid binary, root binary, links bigint"))
 
 
-def _with_tokens(docs: DataFrame, sets: DataFrame) -> DataFrame:
+def _with_tokens(docs: DataFrame, sets: DataFrame, stored: Stored) -> DataFrame:
     """(sid, copies, tokens), from one text of each set. sets: (sid, copies, text_of)."""
     def run(part):
         lists = [tokens_of(t).view(np.int64) for t in part.column("text").to_pylist()]
@@ -269,10 +322,11 @@ def _with_tokens(docs: DataFrame, sets: DataFrame) -> DataFrame:
         return [part.column("sid"), part.column("copies"), pa.ListArray.from_arrays(
             pa.array(ends), pa.array(np.concatenate(lists) if lists else np.empty(0, np.int64)))]
 
-    wanted = sets.select("sid", "copies", F.col("text_of.doc_id").alias("id"),
-                         F.col("text_of.hash").alias("h")).hint("shuffle_hash")
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("hash")).join(
-        wanted, (F.col("hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    wanted = stored(sets.select("sid", "copies", F.col("text_of.doc_id").alias("id"),
+                                F.col("text_of.hash").alias("h")), "wanted")
+    texts = join_to_texts(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("hash")), wanted,
+        (F.col("hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id")), "inner", stored)
     return map_texts(texts.select("sid", "copies", "text"),
                      "sid binary, copies bigint, tokens array<bigint>", run).dropDuplicates(["sid"])
 
@@ -310,25 +364,33 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECAL
 
     kept is true for the first document of a class, by doc_id (nulls last) and hash.
     """
-    texts = materialise(text_sets(docs), "texts")
+    stored = Stored(docs.sparkSession)
+    texts = stored(text_sets(docs), "texts")
     # A document that is there several times counts as often, and is one row from here on.
-    own = texts.groupBy("sid", "doc_id", "hash").agg(
-        F.count("*").alias("times"), F.first("size").alias("size"))
+    own = stored(texts.groupBy("sid", "doc_id", "hash").agg(F.count("*").alias("times")), "own")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
-    sets = materialise(texts.groupBy("sid").agg(
-        F.count("*").alias("copies"), F.min(order).alias("text_of"),
-        F.first("size").alias("size"), F.first("least").alias("least")), "sets")
-    members = materialise(distinct_buckets(buckets(sets, n_runs(threshold, recall))), "buckets")
-    nodes = members.groupBy("sid").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
-    wanted = sets.select("sid", "copies", "text_of").join(nodes.select("sid"), "sid")
-    tokens = _with_tokens(docs, wanted)
-    about = materialise(tokens.join(nodes, "sid"), "tokens")
+    # All rows of a set have the same coordinates: one row a set has them, found by its name.
+    sets = stored(own.groupBy("sid").agg(
+        F.sum("times").alias("copies"), F.min(order).alias("text_of")), "sets")
+    about = stored(texts.select("sid", "size", "least", "sketch").dropDuplicates(["sid"]), "about")
+    stored.drop(texts)
+    members = stored(distinct_buckets(buckets(about, n_runs(threshold, recall), stored)), "buckets")
     chunk = F.pmod(F.xxhash64("sid", F.lit(2)), F.col("chunks")).cast("int")
     dealt = members.withColumn("side", chunk).select("node", "sid", "chunks", "side", F.explode(
         F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")).select(
         "node", "sid", "side",
         (F.least("side", "other").cast("bigint") * SIDES + F.greatest("side", "other")).alias("part"))
-    blocks = materialise(_blocks(dealt.join(about, "sid"), threshold), "blocks")
+    chosen = stored(_candidates(dealt.join(about.select("sid", "sketch"), "sid"),
+                                agreements(threshold, recall)), "candidates")
+    stored.drop(about)
+    wanted = stored(chosen.select("sid").distinct(), "partners")
+    nodes = members.join(wanted, "sid").groupBy("sid").agg(
+        F.array_sort(F.collect_set("node")).alias("nodes"))
+    tokens = _with_tokens(docs, sets.join(wanted, "sid"), stored)
+    partners = stored(tokens.join(nodes, "sid"), "tokens")
+    stored.drop(members)
+    blocks = stored(_blocks(chosen.join(partners, "sid"), threshold), "blocks")
+    stored.drop(chosen, partners, wanted)
     links = blocks.groupBy("sid").agg(F.sum("links").alias("links"))
     roots = components(blocks.select(F.col("sid").alias("u"), F.col("root").alias("v")))
     placed = (sets.select("sid", "copies", "text_of").join(links, "sid", "left")
@@ -354,8 +416,12 @@ def join_documents(docs: DataFrame, threshold: float = THRESHOLD,
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The documents, all columns, without those that a class has besides its first."""
+    name, key, times = (free_name(c, docs.columns) for c in ("id", "hash", "copies"))
     dropped = classes(docs, threshold, recall).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.col("hash").alias("__dropped"))
-    return docs.withColumn("__hash", F.xxhash64("text")).join(
-        dropped.hint("shuffle_hash"), (F.col("__hash") == F.col("__dropped"))
-        & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").drop("__hash")
+        F.col("doc_id").alias(name), F.col("hash").alias(key))
+    stored = Stored(docs.sparkSession)
+    gone = stored(dropped, "dropped")
+    named = docs.withColumn(times, F.xxhash64("text"))
+    gone = F.broadcast(gone) if stored.bytes_of(gone) <= SMALL_BYTES else gone
+    return named.join(gone, (F.col(times) == F.col(key))
+                      & F.col("doc_id").eqNullSafe(F.col(name)), "left_anti").drop(times)
