@@ -109,6 +109,46 @@ def test_sales_follow_moved_and_late_orders_across_restarts(spark, purchases):
     assert drain() == got
 
 
+def test_a_fresh_checkpoint_loses_nothing(spark, tmp_path):
+    """Batch numbers start again with a checkpoint; the batches are others all the same."""
+    log = CleanLog(spark, str(tmp_path / "log"), "purchases")
+    table = metric_table(spark, str(tmp_path / "sales"), "hourly_sales")
+    parts = [[order("a", items=[item("x")]), order("b", items=[item("y")])],
+             [order("c", items=[item("z")]), order("a", items=[item("x")], kafka_ts=at(1),
+                                                   event_ts=at(70), offset=9)]]
+    for n, rows in enumerate(parts):
+        _batches(spark, "purchases", str(tmp_path / f"raw{n}"), rows)
+        for _ in range(2):  # the second time goes on from the checkpoint and finds nothing new
+            _drain_clean(spark, str(tmp_path / f"raw{n}"), log, str(tmp_path / f"clean{n}"))
+            wait_for([stream_hourly({"purchases": log}, "hourly_sales", table,
+                                    str(tmp_path / f"hourly{n}"), DRAIN, 1)])
+    everything = clean_topic(raw(spark, "purchases", *parts[0], *parts[1]), "purchases")
+    assert tuples(log.clean(), "order_id", "event_ts") == tuples(
+        everything, "order_id", "event_ts")
+    assert tuples(table.read()) == tuples(metrics.hourly_sales(everything))
+    writers = {f.name for f in (tmp_path / "log").iterdir() if f.name.startswith("writer=")}
+    assert len(writers) == 2 and len(table.published().batches) == 2
+
+
+def test_a_batch_that_is_run_again_after_a_crash_changes_nothing(spark, tmp_path):
+    from tierlake.streaming.run import writer_of
+
+    source, checkpoint = str(tmp_path / "raw"), tmp_path / "c"
+    log = CleanLog(spark, str(tmp_path / "log"), "clickstream")
+    _batches(spark, "clickstream", source, [click("a")], [click("b", event_ts=at(60))])
+    _drain_clean(spark, source, log, str(checkpoint))
+    once, writer = tuples(log.latest()), writer_of(spark, str(checkpoint))()
+    files = sorted((tmp_path / "log").rglob("*.parquet"))
+    # Without its commit Spark runs the last batch once more, under the same number.
+    commits = sorted(checkpoint.glob("commits/*"), key=lambda f: f.name)
+    for commit in [commits[-1], checkpoint / "commits" / f".{commits[-1].name}.crc"]:
+        commit.unlink(missing_ok=True)
+    _drain_clean(spark, source, log, str(checkpoint))
+    assert tuples(log.latest()) == once
+    assert sorted((tmp_path / "log").rglob("*.parquet")) == files
+    assert writer_of(spark, str(checkpoint))() == writer
+
+
 def test_incremental_sentiment_updates_and_drops_by_watermark(spark, tmp_path):
     source = str(tmp_path / "scores")
     schema = "event_ts timestamp, sentiment_score double"

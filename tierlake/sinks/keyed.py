@@ -117,8 +117,9 @@ class KeyedTable:
         """Replace the table's rows that have the key of a new row, and add the new rows.
 
         With ``replaces`` the rows matching its columns go instead: all rows of some hours, say,
-        which also removes those that no longer come up. ``batch`` names the writer and its
-        batch; a batch that has been applied is not applied again.
+        which also removes those that no longer come up. ``batch`` names the writer (a stream's
+        own id, see ``writer_of``) and its batch; a batch that has been applied is not applied
+        again.
         """
         state = self.published()
         if batch is not None and state.batches.get(batch[0], -1) >= batch[1]:

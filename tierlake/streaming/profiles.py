@@ -15,7 +15,7 @@ from tierlake.schemas import PROFILE
 from tierlake.session import stored_for_now
 from tierlake.sinks.keyed import KeyedTable, by_bucket
 from tierlake.streaming.clean_log import CleanLog
-from tierlake.streaming.run import EVERY_60_S, Trigger, start_batches
+from tierlake.streaming.run import EVERY_60_S, Trigger, start_batches, writer_of
 
 
 def profile_table(spark: SparkSession, root: str, buckets: int = 64) -> KeyedTable:
@@ -34,6 +34,7 @@ def stream_profiles(logs: dict[str, CleanLog], segments: Callable[[], DataFrame]
     A user whose only message moved to another user loses its profile in the same step.
     """
     streams = [log.stream(max_files_per_trigger).select("user_id") for log in logs.values()]
+    writer = writer_of(table.spark, checkpoint)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         with ExitStack() as stack:
@@ -48,6 +49,6 @@ def stream_profiles(logs: dict[str, CleanLog], segments: Callable[[], DataFrame]
             rows = user_profiles(
                 tables["purchases"], tables["product_reviews"], tables["clickstream"],
                 tables["social_buzz"], segments().join(users, "user_id", "left_semi"), as_of)
-            table.upsert(rows, replaces=users, batch=("profiles", batch_id))
+            table.upsert(rows, replaces=users, batch=(writer(), batch_id))
 
     return start_batches(reduce(DataFrame.unionByName, streams), refresh, checkpoint, trigger)

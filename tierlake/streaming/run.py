@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
+from functools import cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 Trigger = dict[str, str | bool]
@@ -14,6 +16,20 @@ EVERY_30_S: Trigger = {"processingTime": "30 seconds"}
 EVERY_60_S: Trigger = {"processingTime": "60 seconds"}
 
 
+def writer_of(spark: SparkSession, checkpoint: str) -> Callable[[], str]:
+    """Asks for the identity of the stream that a checkpoint belongs to.
+
+    Batch numbers start at 0 in every checkpoint, so a batch is known by its stream and number.
+    Spark keeps the stream's id in the checkpoint, before the first batch; a restart has the same.
+    """
+    @cache
+    def writer() -> str:
+        text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+        return json.loads("".join(row[0] for row in text))["id"]
+
+    return writer
+
+
 def start_batches(stream: DataFrame, apply: Callable[[DataFrame, int], None], checkpoint: str,
                   trigger: Trigger = EVERY_60_S, mode: str = "append") -> StreamingQuery:
     """Start a stream that hands every micro-batch to ``apply(rows, batch_id)``.
