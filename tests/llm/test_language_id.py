@@ -33,6 +33,14 @@ def test_batched_product_is_the_kernel():
             assert abs(float(rows[i] @ rows[j]) - exact) < 1e-5
 
 
+def test_numbers_are_no_letters(documents):
+    docs = documents(["½ ²", "Ⅷ ③", "12_3", "x²"] + ["the cat sat on the mat"] * 20)
+    got = {r.doc_id: (r.lang_pred, r.score)
+           for r in language_id.predict(docs, language_id.fit(docs)).collect()}
+    assert [got[i] for i in range(3)] == [("und", 0.0)] * 3
+    assert got[3][0] == "en"
+
+
 def test_odd_rows(spark, documents):
     docs = documents(ODD + [(i, "the cat sat on the mat") for i in range(10, 20)])
     model = language_id.fit(docs)

@@ -32,6 +32,7 @@ columns are not read.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -42,7 +43,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tierlake.llm.common import is_held_out, map_texts, may_learn, type_of
 
 UNDETERMINED = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters of ``re`` that are no letters (category L) and no decimal digits: ½, ², Ⅷ, ③.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
+                   if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NO_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 #: Values of the regressions lie around -1 and 1; the softmax is taken of this multiple.
 SHARPNESS = 4.0
 #: Characters of a passage, about.
