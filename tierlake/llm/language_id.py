@@ -44,9 +44,9 @@ from tierlake.llm.common import is_held_out, map_texts, may_learn, type_of
 
 UNDETERMINED = "und"
 #: Word characters of ``re`` that are no letters (category L) and no decimal digits: ½, ², Ⅷ, ③.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                   if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NO_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NUMBERS = frozenset(c for c in map(chr, range(sys.maxunicode + 1))
+                     if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Values of the regressions lie around -1 and 1; the softmax is taken of this multiple.
 SHARPNESS = 4.0
 #: Characters of a passage, about.
@@ -56,7 +56,10 @@ SALTS = 8
 
 def normal(text: str | None) -> str:
     """Lower case, runs of other than letters as one space; empty if there is no letter."""
-    words = _NO_LETTERS.sub(" ", (text or "").lower()).strip()
+    text = (text or "").lower()
+    if not text.isascii() and (numbers := _NUMBERS.intersection(text)):
+        text = text.translate(dict.fromkeys(map(ord, numbers), " "))
+    words = _NO_LETTERS.sub(" ", text).strip()
     return f" {words} " if words else ""
 
 
