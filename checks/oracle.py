@@ -730,6 +730,7 @@ def statements() -> dict[str, str]:
                                    "hourly_site_traffic", "hourly_sentiment",
                                    "user_segments")),
         "job_full": _all("hourly_sales"),
+        "job_incremental": _all("hourly_sales"),
         "job_profiles": _all("user_profiles"),
         # streams
         "stream_clean_clickstream": _all("clickstream"),

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.plans import jobs
+from tierlake.plans import incremental, jobs
 from tierlake.schemas import TOPICS
 from tierlake.session import build_session
 from tierlake.sources.messages import FileLog, KafkaLog, MessageLog
@@ -19,7 +19,7 @@ from tierlake.streaming.profiles import profile_table, stream_profiles
 from tierlake.streaming.raw import stream_raw
 from tierlake.streaming.run import EVERY_30_S, EVERY_60_S, wait_for
 
-JOBS = ("raw", "clean", "metrics", "full", "profiles")
+JOBS = ("raw", "clean", "metrics", "full", "incremental", "profiles")
 
 
 def _arguments(argv: list[str] | None) -> argparse.Namespace:
@@ -35,8 +35,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--limit", type=int, help="profiles of the first N users only")
     args = parser.parse_args(argv)
     # A flag that a job does not use must not look as if it had worked.
-    if args.mask and args.job not in ("clean", "full"):
-        parser.error("--mask belongs to the jobs that write clean tables: clean and full")
+    if args.mask and args.job not in ("clean", "full", "incremental"):
+        parser.error("--mask belongs to the jobs that write clean tables: clean, full, incremental")
     if args.salt and not args.mask:
         parser.error("--salt needs --mask")
     if args.limit is not None and (args.job != "profiles" or args.mode == "stream"):
@@ -62,6 +62,10 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> int:
         outcomes = jobs.metrics_job(spark, lake, args.as_of)
     elif args.job == "profiles":
         outcomes = [jobs.profiles_job(spark, lake, args.as_of, args.limit)]
+    elif args.job == "incremental":
+        outcomes = incremental.incremental_job(
+            spark, _message_log(args), incremental.incremental_lake(args.lake),
+            as_of=args.as_of, masked=args.mask, salt=args.salt)
     else:
         outcomes = jobs.full_job(spark, _message_log(args), lake, as_of=args.as_of,
                                  masked=args.mask, salt=args.salt)
@@ -96,7 +100,8 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> int:
             logs, segments, profile_table(spark, lake.path("profiles", "user_profiles")),
             checkpoint("profiles", "user_profiles"), EVERY_60_S, args.as_of)]
     else:
-        raise SystemExit("start the raw, clean and metrics streams separately")
+        raise SystemExit("start the raw, clean and metrics streams separately; incremental is a "
+                         "batch job")
     wait_for(queries)
     return 0
 
