@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 import string
+import time
 
 from pyspark.sql import functions as F
 
@@ -56,6 +57,37 @@ def test_markov_tells_random_from_ordinary(spark, documents):
     assert not any(found[i] for i in [*range(100), *range(120, 123)])
 
 
+def test_spans_apart_equal_all_pairs(spark):
+    rng = random.Random(8)
+
+    def spans(n):
+        cuts = sorted(rng.sample(range(n * 9), 2 * n))
+        return [(a, b, str(a)) for a, b in zip(cuts[::2], cuts[1::2])]
+
+    kind = "array<struct<start:int,end:int,value:string>>"
+    rows = [(i, spans(n), spans(m) + spans(k)) for i, (n, m, k) in enumerate(
+        [(0, 0, 0), (1, 0, 0), (0, 1, 0), (5, 5, 0), (300, 40, 3), (256, 9, 7), (700, 600, 90)] * 3)]
+    got = spark.createDataFrame(rows, f"i int, own {kind}, others {kind}").select(
+        "i", secrets.apart(F.col("own"), F.col("others")).alias("left")).collect()
+    assert {r.i: [tuple(s) for s in r.left] for r in got} == {
+        i: [s for s in own if not any(o[0] < s[1] and s[0] < o[1] for o in others)]
+        for i, own, others in rows}
+
+
+def test_many_matches_in_a_text(spark, documents):
+    """40,000 matches of one kind and 10,000 candidates take seconds, not minutes."""
+    rng = random.Random(9)
+    text = " ".join(f"token={rng.randrange(10**8, 10**9)} x token={rng.randrange(10**9)}z" + (
+        f" {'Ab1' * 8}" if i % 2 else "") for i in range(20_000))
+    began = time.monotonic()
+    docs = documents([text])
+    row = secrets.scan(docs, [0.0] * (len(secrets.ALPHABET) + 1) ** 2, 0.0).withColumn(
+        "base", secrets.listed(("assign", "access", "hex"))).first()
+    assert row["base"] == ",".join(base(text))
+    assert len(row.markov) == 10_000
+    assert time.monotonic() - began < 60
+
+
 def test_spans_are_native(spark, documents):
     docs = documents(["a"])
     plan = secrets.scan(docs, [0.0] * (len(secrets.ALPHABET) + 1) ** 2)

@@ -24,6 +24,7 @@ random model is uniform. Only doc_id and text are read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -56,6 +57,8 @@ DRAWN = 10.0
 
 KINDS = ("assign", "access", "hex", "markov")
 _SPAN = "array<struct<start:int,end:int,value:string>>"
+#: Items of which results are gathered at once.
+BLOCK = 256
 
 
 def located(text: Column, pattern: str, least: int, group: int = 0) -> Column:
@@ -65,16 +68,78 @@ def located(text: Column, pattern: str, least: int, group: int = 0) -> Column:
     between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
     parts = F.arrays_zip(between.alias("between"), matches.alias("match"), values.alias("value"))
 
-    def add(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["between"])
+    def place(at: Column, part: Column) -> tuple[Column, Column]:
+        start = at + F.length(part["between"])
         end = start + F.length(part["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value"))
-        return F.struct(end.alias("at"), F.when(
-            F.length(part["value"]) >= least, F.array_append(state["found"], span)).otherwise(
-            state["found"]).alias("found"))
+        return end, F.struct(start.alias("start"), end.alias("end"), part["value"].alias("value"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("found"))
-    return F.aggregate(parts, start, add, lambda state: state["found"])
+    return F.filter(running(parts, F.lit(0), _SPAN, place),
+                    lambda span: F.length(span["value"]) >= least)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: what stands inside a lambda is evaluated for each
+    element, its variables are not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(items: Column, state: Column, out_type: str,
+            step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """An array of what ``step(state, item)``, which gives the next state too, makes of each item.
+
+    Appending copies an array, so results are gathered in blocks of BLOCK items: n items take
+    n * BLOCK + (n / BLOCK)^2 copies instead of n^2.
+    """
+    def add(carry: Column, item: Column) -> Column:
+        after, made = step(carry["state"], item)
+        return F.struct(after.alias("state"), F.array_append(carry["out"], made).alias("out"))
+
+    def block(carry: Column, part: Column) -> Column:
+        begin = F.struct(carry["state"].alias("state"), F.array().cast(out_type).alias("out"))
+        return _with(F.aggregate(part, begin, add), lambda done: F.struct(
+            done["state"].alias("state"),
+            F.array_append(carry["blocks"], done["out"]).alias("blocks")))
+
+    def whole(all_items: Column) -> Column:
+        last = F.floor(F.greatest(F.size(all_items) - 1, F.lit(0)) / BLOCK).cast("int")
+        begin = F.struct(state.alias("state"),
+                         F.array().cast(f"array<{out_type}>").alias("blocks"))
+        return F.aggregate(
+            F.sequence(F.lit(0), last), begin,
+            lambda carry, n: block(carry, F.slice(all_items, n * BLOCK + 1, F.lit(BLOCK))),
+            lambda carry: F.flatten(carry["blocks"]))
+
+    return _with(items, whole)
+
+
+def apart(spans: Column, others: Column) -> Column:
+    """The spans that share no character with any of the others, by two passes over all in order."""
+    def listed_as(array: Column, own: bool) -> Column:
+        return F.transform(array, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(own).alias("own"), s["end"].alias("end"),
+            s["value"].alias("value"), F.lit(True).alias("clear")))
+
+    def out(span: Column, clear: Column) -> Column:
+        return F.struct(span["start"].alias("start"), span["own"].alias("own"),
+                        span["end"].alias("end"), span["value"].alias("value"),
+                        (span["clear"] & clear).alias("clear"))
+
+    def after_end(reached: Column, span: Column) -> tuple[Column, Column]:
+        return (F.when(span["own"], reached).otherwise(F.greatest(reached, span["end"])),
+                out(span, reached <= span["start"]))
+
+    def before_start(following: Column, span: Column) -> tuple[Column, Column]:
+        return (F.when(span["own"], following).otherwise(span["start"]),
+                out(span, following >= span["end"]))
+
+    kind = "array<struct<start:int,own:boolean,end:int,value:string,clear:boolean>>"
+    ordered = F.array_sort(F.concat(listed_as(others, False), listed_as(spans, True)))
+    forward = running(ordered, F.lit(0), kind, after_end)
+    both = running(F.reverse(forward), F.lit(2 ** 31 - 1), kind, before_start)
+    return F.transform(
+        F.reverse(F.filter(both, lambda s: s["own"] & s["clear"])),
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                           s["value"].alias("value")))
 
 
 def _none() -> Column:
@@ -167,10 +232,9 @@ def scan(docs: DataFrame, model: list[float], min_ratio: float = 12.0) -> DataFr
         "markov", F.when(F.rlike(text, F.lit(CANDIDATE)),
                          located(text, CANDIDATE, CANDIDATE_LENGTH)).otherwise(_none()))
     base = F.concat("assign", "access", "hex")
+    alone = F.when(F.size("markov") > 0, apart(F.col("markov"), base)).otherwise(_none())
     return found.select("doc_id", "assign", "access", "hex", F.filter(
-        "markov", lambda span: ~F.exists(base, lambda b: (b["start"] < span["end"])
-                                         & (span["start"] < b["end"]))
-        & (ratio_of(span["value"], model) >= min_ratio)).alias("markov"))
+        alone, lambda span: ratio_of(span["value"], model) >= min_ratio).alias("markov"))
 
 
 def listed(kinds: tuple[str, ...]) -> Column:
