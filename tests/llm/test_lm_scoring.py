@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import duckdb
@@ -22,14 +23,10 @@ def test_query_equals_its_sql(spark):
     assert got == expected
 
 
-def test_brute_force(spark, documents):
-    texts = ["a b a b c", "a b b", "c a b", "d d d e", None, ""]
-    docs = documents(texts)
-    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (3, 1, 1), (None, 1, 0)],
-                                   "doc_id bigint, quality int, toxic int")
-    got = {r.doc_id: r for r in lm_scoring.score(docs, lm_scoring.fit(docs, labels, 3)).collect()}
-    known = {"a", "b", "d"}
-    lines = [["<s>", *(w if w in known else "?" for w in (t or "").split())] for t in texts]
+def by_hand(texts, targets):
+    """(n_words, ce_target, ce_background) of each text, counted one pair after another."""
+    lines = [["<s>", *(t or "").lower().split()] for t in texts]
+    known = {w for line in lines for w in line[1:]}
 
     def model(rows):
         pairs = Counter(p for line in rows for p in zip(line, line[1:]))
@@ -40,27 +37,57 @@ def test_brute_force(spark, documents):
         total = sum(single.values())
 
         def loss(h, w):
-            base = (single[w] + 1) / (total + len(known) + 1)
+            base = (single[w] + 1) / (total + len(known))
             return -math.log((pairs[h, w] + lm_scoring.MU * base) / (before[h] + lm_scoring.MU))
         return loss
 
-    target, background = model(lines[:2]), model(lines)
-    for i, line in enumerate(lines):
-        n = len(line) - 1
-        sums = [sum(m(h, w) for h, w in zip(line, line[1:])) / max(n, 1)
-                for m in (target, background)]
+    models = model([lines[i] for i in targets]), model(lines)
+    return [(len(line) - 1, *(sum(m(h, w) for h, w in zip(line, line[1:]))
+                              / max(len(line) - 1, 1) for m in models)) for line in lines]
+
+
+@pytest.mark.parametrize("common", [0, 1, 3, 1_500])
+def test_brute_force(spark, documents, common):
+    texts = ["a b a b c", "a b b", "c a b", "d d d e", None, "", "e", "A b Z a e",
+             "f " * 40 + "g a", "f", "a b a b c"]
+    rng = random.Random(5)
+    texts += [" ".join(rng.choices("abcdefghijklmnop", range(16, 0, -1), k=rng.randint(0, 30)))
+              for _ in range(40)]
+    docs = documents(texts)
+    labels = spark.createDataFrame(
+        [(0, 1, 0), (1, 1, 0), (3, 1, 1), (7, 1, 0), (8, 1, 0), (8, 0, 0), (20, 1, 0),
+         (21, 1, 0), (21, 1, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in lm_scoring.score(docs, labels, common).collect()}
+    for i, (n, target, background) in enumerate(by_hand(texts, [0, 1, 7, 20, 21])):
         assert got[i].n_words == n
-        assert (got[i].ce_target, got[i].ce_background) == pytest.approx(sums)
-        assert got[i].score == pytest.approx(sums[0] - sums[1])
+        assert (got[i].ce_target, got[i].ce_background) == pytest.approx((target, background))
+        assert got[i].score == pytest.approx(target - background)
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, "x y"), (1, "x y"), (None, "x z"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
+    expected = by_hand([t for _, t in rows], [0, 1])
+    for common in (0, 2):
+        got = lm_scoring.score(docs, labels, common).collect()
+        assert Counter((r.doc_id, r.n_words, round(r.ce_target, 9), round(r.ce_background, 9))
+                       for r in got) == Counter(
+            (i, n, round(t, 9), round(b, 9)) for (i, _), (n, t, b) in zip(rows, expected))
+
+
+def test_codes_are_cleared_when_many(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_FLUSH", 4)
+    codes = lm_scoring.Codes(["a", "b"])
+    text = "a q w e r t y b q a u i o b"
+    assert codes.of(text).tolist() == [3, *(codes[w] for w in text.split())]
+    assert codes["a"] == 0 and codes["b"] == 1 and codes["zz"] < 0 and len(codes) <= 6
 
 
 def test_odd_rows(spark, documents):
     docs = documents(ODD)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
-    model = lm_scoring.fit(docs, labels)
-    got = lm_scoring.score(docs, model).collect()
+    got = lm_scoring.score(docs, labels).collect()
     assert len(got) == len(ODD)
     assert all(r.score == 0 for r in got if r.n_words == 0)
-    empty = lm_scoring.fit(docs.limit(0), labels)
-    assert lm_scoring.score(docs, empty).count() == len(ODD)
-    assert lm_scoring.score(docs.limit(0), model).count() == 0
+    assert lm_scoring.score(docs.limit(0), labels).count() == 0

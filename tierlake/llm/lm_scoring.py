@@ -1,18 +1,26 @@
 """Cross-entropy difference of a target and a background language model.
 
-Both models are word bigrams of the same kind over one vocabulary: the ``vocabulary`` most
-frequent words of all documents (ties by the word), everything else is one unknown word. The
+Both models are word bigrams of the same kind over one vocabulary, all words of all documents. The
 background model counts all documents; the target model those labelled of good quality and not
-toxic. A word after a history h has
+toxic. A word w after a history h (the word before, or the start of the text) has
 
     p(w | h) = (n(h, w) + MU p(w)) / (n(h) + MU),    p(w) = (n(w) + 1) / (N + V)
 
-with each model's own counts. A document's score is the mean over its words of
--ln p_target + ln p_background: below zero, it reads more like the target than documents at large.
+with each model's own counts and V the number of words in the vocabulary. A document's score is the
+mean over its words of -ln p_target + ln p_background: below zero, it reads more like the target
+than documents at large.
 
-Words and pairs of words are counted over all documents, in tasks first and then by shuffle. Pairs
-are at most (vocabulary + 2)^2 whatever the input, so the two tables of log-probabilities, dense,
-are broadcast with that bound. Labels are joined to texts once, by shuffle.
+How pairs of words meet their counts depends on how common the words are, the counts are the same.
+The ``common`` most frequent words (a fixed number, so their pairs fit a dense table) are counted
+in tasks first and broadcast. Every other pair has a rarer word and is sent to where that word's
+rows are; a word that is not among the most frequent m has at most 1/m of all places, so none is
+hot. There, windows count the pair, the word, and the word as a history, all after one shuffle:
+ln p is a sum of a part of the pair and one of the history, and each word's rows hold both of its
+own. What is left is to add up the parts by document.
+
+Rarer words are named by 63 bits of a hash: with a hundred million words the chance that any two
+share a name is 0.0005. Documents of the target are joined to texts by broadcast while the list of
+their ids is small, by shuffle beyond.
 
 Defined results: words are runs without white space of the lower-case text; a null or empty text
 has none and scores 0; conflicting labels of a document make it no target; without target
@@ -28,12 +36,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tierlake.llm.common import map_texts, slices, type_of
+from tierlake.llm.common import Stored, join_to_texts, slices, type_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-VOCABULARY, MU = 1_500, 20.0
+MU = 20.0
+#: So many words at most have their pairs counted in a dense table.
+COMMON = 1_500
+#: What a row of a rarer word is: the word after another one, the word before a common one, the
+#: last word of its text; and the row of the document itself.
+AFTER, BEFORE, LAST, DOCUMENT = range(4)
 _FLUSH = 400_000
 
 
@@ -41,8 +56,8 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The most frequent words of all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of all documents."""
     def run(batches):
         counts: Counter = Counter()
         for part in slices(batches, "text"):
@@ -57,30 +72,47 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[str]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(
             list(counts.values()), pa.int64())], names=["word", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(
+    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n"))
-    return [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
-def _ids(text: str | None, known: dict[str, int]) -> np.ndarray:
-    """The start symbol, then the words' numbers; unknown ones have the number after the last."""
-    unknown = len(known)
-    words = words_of(text)
-    return np.fromiter((unknown + 1, *(known.get(w, unknown) for w in words)), dtype=np.int64,
-                       count=len(words) + 1)
+class Codes(dict):
+    """Numbers of words: their rank if they are common, below zero by hash if not."""
+
+    def __init__(self, common: list[str]):
+        super().__init__((w, i) for i, w in enumerate(common))
+        self.rest, self.start, self.common = len(common), len(common) + 1, common
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > _FLUSH:
+            self.clear()
+            self.update((w, i) for i, w in enumerate(self.common))
+            if word in self:
+                return self[word]
+        code = self[word] = (xxhash.xxh3_64_intdigest(word.encode()) >> 1) - 2 ** 63
+        return code
+
+    def of(self, text: str | None) -> np.ndarray:
+        """The start symbol, then the words."""
+        words = words_of(text)
+        return np.fromiter((self.start, *map(self.__getitem__, words)), dtype=np.int64,
+                           count=len(words) + 1)
 
 
-def pair_counts(texts: DataFrame, known: dict[str, int]) -> DataFrame:
-    """(pair, n, target): how often each two numbers follow, in all and in target documents."""
-    size = len(known) + 2
+def common_pairs(texts: DataFrame, common: list[str]) -> DataFrame:
+    """(pair, n, target): how often common words follow each other, in all and in target documents;
+    all rarer words are one."""
+    size = len(common) + 2
 
     def run(batches):
+        codes = Codes(common)
         pairs, target = [], []
         held = 0
         for part in slices(batches, "text"):
             for text, is_target in zip(part.column("text").to_pylist(),
                                        part.column("target").to_pylist()):
-                ids = _ids(text, known)
+                ids = codes.of(text)
+                ids[ids < 0] = codes.rest
                 pairs.append(ids[:-1] * size + ids[1:])
                 target.append(np.full(len(ids) - 1, bool(is_target)))
                 held += len(ids)
@@ -97,59 +129,126 @@ def pair_counts(texts: DataFrame, known: dict[str, int]) -> DataFrame:
             [pa.array(values), pa.array(np.bincount(at, minlength=len(values)).astype(np.int64)),
              pa.array(wanted.astype(np.int64))], names=["pair", "n", "target"])
 
-    return texts.mapInArrow(run, "pair bigint, n bigint, target bigint").groupBy("pair").agg(
+    return texts.select("text", "target").mapInArrow(
+        run, "pair bigint, n bigint, target bigint").groupBy("pair").agg(
         F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
 @dataclass
-class Model:
-    """ln p of target and background: rows by history, columns by word."""
-
-    words: list[str]
-    target: np.ndarray
-    background: np.ndarray
-
-
-def _log_probabilities(counts: np.ndarray, size: int) -> np.ndarray:
-    table = counts.reshape(size, size)[:, :-1]  # the start symbol is never a word
-    single = table.sum(axis=0)
-    base = (single + 1) / (single.sum() + len(single))
-    return np.log((table + MU * base) / (table.sum(axis=1, keepdims=True) + MU))
-
-
-def fit(docs: DataFrame, labels: DataFrame, size: int = VOCABULARY) -> Model:
-    words = vocabulary(docs, size)
-    known = {w: i for i, w in enumerate(words)}
-    targets = labels.groupBy("doc_id").agg(
-        ((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("target")).filter("target")
-    texts = docs.select("doc_id", "text").join(
-        targets.hint("shuffle_hash"), "doc_id", "left").select("text", "target")
-    counted = pair_counts(texts, known).toArrow()
-    width = len(words) + 2
-    tables = []
+class Dense:
+    """One model's parts of ln p: of pairs of common words, and of histories; MU p(w)."""
+
+    pairs: np.ndarray
+    histories: np.ndarray
+    base: np.ndarray
+    places: int
+
+
+def _dense(counts: np.ndarray, size: int, vocabulary: int) -> Dense:
+    table = counts.reshape(size, size)
+    places = int(table.sum())
+    base = MU * (table.sum(axis=0) + 1) / max(places + vocabulary, 1)
+    return Dense(np.log(table + base), np.log(table.sum(axis=1) + MU), base, places)
+
+
+def _parts(texts: DataFrame, common: list[str], models: tuple[Dense, Dense]) -> DataFrame:
+    """A row for each document, with the parts of ln p of its common words, and for each place of
+    a rarer word: in ``target`` and ``background`` MU p of the common word that follows it."""
+    shared = texts.sparkSession.sparkContext.broadcast((common, models))
+
+    def run(batches):
+        common, models = shared.value
+        codes = Codes(common)
+        for part in slices(batches, "text"):
+            runs = [codes.of(text) for text in part.column("text").to_pylist()]
+            lengths = np.array([len(r) - 1 for r in runs])
+            row = np.repeat(np.arange(len(runs)), lengths)
+            before = np.concatenate([r[:-1] for r in runs])
+            after = np.concatenate([r[1:] for r in runs])
+            yield documents(part, lengths, row, before, after, models)
+            ends = np.array([r[-1] for r in runs])
+            is_target = np.array([bool(t) for t in part.column("target").to_pylist()])
+            refs = part.column("ref").to_numpy()
+            for kind, at, key, other in (
+                    (AFTER, after < 0, after, before),
+                    (BEFORE, (after >= 0) & (before < 0), before, after)):
+                chosen = row[at]
+                base = ([m.base[other[at]] for m in models] if kind == BEFORE else None)
+                yield rows(refs[chosen], kind, is_target[chosen], key[at], other[at], base)
+            yield rows(refs[ends < 0], LAST, is_target[ends < 0], ends[ends < 0],
+                       np.zeros((ends < 0).sum(), np.int64), None)
+
+    def documents(part, lengths, row, before, after, models):
+        both, known = (before >= 0) & (after >= 0), before >= 0
+        # Sums of nothing are whole numbers to bincount.
+        sums = [(np.bincount(row[both], m.pairs[before[both], after[both]], len(lengths))
+                 - np.bincount(row[known], m.histories[before[known]], len(lengths))
+                 ).astype(float) for m in models]
+        n = len(lengths)
+        return pa.RecordBatch.from_arrays(
+            [part.column("ref"), pa.array(np.full(n, DOCUMENT, np.int8)),
+             pa.array(np.zeros(n, bool)), part.column("ref"), pa.array(lengths.astype(np.int64)),
+             *map(pa.array, sums), part.column("doc_id")], names=names)
+
+    def rows(refs, kind, is_target, keys, others, base):
+        n = len(refs)
+        base = [pa.nulls(n, pa.float64())] * 2 if base is None else [pa.array(b) for b in base]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(refs), pa.array(np.full(n, kind, np.int8)), pa.array(is_target),
+             pa.array(keys), pa.array(others), *base, pa.nulls(n, id_type)], names=names)
+
+    names = ["ref", "kind", "in_target", "key", "other", "target", "background", "doc_id"]
+    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
+    return texts.select("ref", "doc_id", "text", "target").mapInArrow(
+        run, "ref bigint, kind tinyint, in_target boolean, key bigint, other bigint, "
+             f"target double, background double, doc_id {type_of(texts, 'doc_id')}")
+
+
+def score(docs: DataFrame, labels: DataFrame, common: int = COMMON) -> DataFrame:
+    """(doc_id, n_words, ce_target, ce_background, score) of every whole text, by the models of
+    all the documents and of those that the labels make the target."""
+    stored = Stored(docs.sparkSession)
+    counted = stored(word_counts(docs), "words")
+    vocabulary = counted.count()
+    words = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(common).collect()]
+    targets = stored(labels.groupBy("doc_id").agg(
+        ((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("target")).filter(
+        F.col("target") & F.col("doc_id").isNotNull()), "targets")
+    texts = join_to_texts(docs.select("doc_id", "text"), targets, ["doc_id"], "left", stored)
+
+    pairs = common_pairs(texts, words).toArrow()
+    size = len(words) + 2
+    models = []
     for column in ("target", "n"):
-        counts = np.zeros(width * width)
-        counts[counted.column("pair").to_numpy()] = counted.column(column).to_numpy()
-        tables.append(_log_probabilities(counts, width))
-    return Model(words, *tables)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_words, ce_target, ce_background, score) of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(part):
-        model = shared.value
-        known = {w: i for i, w in enumerate(model.words)}
-        out = np.zeros((part.num_rows, 3))
-        for row, text in zip(out, part.column("text").to_pylist()):
-            ids = _ids(text, known)
-            if len(ids) > 1:
-                row[:] = (len(ids) - 1, -model.target[ids[:-1], ids[1:]].mean(),
-                          -model.background[ids[:-1], ids[1:]].mean())
-        return [part.column("doc_id"), pa.array(out[:, 0].astype(np.int64)), pa.array(out[:, 1]),
-                pa.array(out[:, 2]), pa.array(out[:, 1] - out[:, 2])]
-
-    return map_texts(docs.select("doc_id", "text"),
-                     f"doc_id {type_of(docs, 'doc_id')}, n_words bigint, ce_target double, "
-                     "ce_background double, score double", run)
+        counts = np.zeros(size * size)
+        counts[pairs.column("pair").to_numpy()] = pairs.column(column).to_numpy()
+        models.append(_dense(counts, size, vocabulary))
+
+    parts = _parts(texts.withColumn("ref", F.monotonically_increasing_id()), words,
+                   tuple(models)).repartition("key")
+    of_pair, of_word = Window.partitionBy("key", "kind", "other"), Window.partitionBy("key")
+    kind = F.col("kind")
+
+    def ln_p(model: str, counts, places: int):
+        """A row's part of ln p; the sums over its pair and its word are this model's counts."""
+        n = F.sum(F.when(counts & (kind == AFTER), 1).otherwise(0)).over(of_word)
+        last = F.sum(F.when(counts & (kind == LAST), 1).otherwise(0)).over(of_word)
+        pair = F.sum(F.when(counts, 1).otherwise(0)).over(of_pair)
+        history = F.log(n - last + MU)
+        base = MU * (n + 1) / float(max(places + vocabulary, 1))
+        return (F.when(kind == AFTER, F.log(pair + base) - history)
+                .when(kind == BEFORE, F.log(pair + F.col(model)))
+                .when(kind == LAST, history).otherwise(F.col(model)).alias(model))
+
+    sums = parts.select(
+        "ref", "doc_id", F.when(kind == DOCUMENT, F.col("other")).alias("n_words"),
+        ln_p("target", F.col("in_target"), models[0].places),
+        ln_p("background", F.lit(True), models[1].places)).groupBy("ref").agg(
+        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+        *(F.sum(m).alias(m) for m in ("target", "background")))
+    # A text without words has sums of 0.
+    mean = {m: (F.lit(0.0) - F.col(m)) / F.greatest("n_words", F.lit(1))
+            for m in ("target", "background")}
+    return sums.select("doc_id", "n_words", mean["target"].alias("ce_target"),
+                       mean["background"].alias("ce_background"),
+                       (mean["target"] - mean["background"]).alias("score"))

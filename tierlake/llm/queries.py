@@ -39,35 +39,31 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    made = lm_scoring.score(docs, lm_scoring.fit(docs, table(spark, sf_dir, "labels")))
+    made = lm_scoring.score(docs, table(spark, sf_dir, "labels"))
     return made.select("doc_id", "n_words", *(
         F.round(c, 6).alias(c) for c in ("ce_target", "ce_background", "score")))
 
 
-LM_SQL = f"""
+LM_SQL = """
 WITH tokens AS (
-  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place
+  SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS place
   FROM (SELECT doc_id, regexp_extract_all(lower(text), '[^\\x20\\x09-\\x0D]+') AS words
         FROM documents)),
-known AS (SELECT word FROM tokens GROUP BY word ORDER BY count(*) DESC, word
-          LIMIT {lm_scoring.VOCABULARY}),
 target AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(toxic) = 0),
-named AS (SELECT t.doc_id, t.place, coalesce(k.word, ' unknown') AS w
-          FROM tokens t LEFT JOIN known k ON t.word = k.word),
 pairs AS (SELECT n.doc_id, coalesce(lag(w) OVER (PARTITION BY n.doc_id ORDER BY place), ' start')
                  AS h, w, target.doc_id IS NOT NULL AS good
-          FROM named n LEFT JOIN target ON n.doc_id = target.doc_id),
+          FROM tokens n LEFT JOIN target ON n.doc_id = target.doc_id),
 counts AS (SELECT h, w, count(*) AS b, count(*) FILTER (good) AS t FROM pairs GROUP BY h, w),
 histories AS (SELECT h, sum(b) AS b, sum(t) AS t FROM counts GROUP BY h),
-sizes AS (SELECT count(*) + 1 AS v FROM known),
-singles AS (SELECT w, (sum(b) + 1.0) / ((SELECT sum(b) FROM counts) + v) AS b,
-                   (sum(t) + 1.0) / ((SELECT sum(t) FROM counts) + v) AS t
-            FROM counts, sizes GROUP BY w, v),
-values_ AS (SELECT c.h, c.w, -ln((c.t + {lm_scoring.MU} * s.t) / (h.t + {lm_scoring.MU})) AS t,
-                   -ln((c.b + {lm_scoring.MU} * s.b) / (h.b + {lm_scoring.MU})) AS b
-            FROM counts c JOIN histories h ON c.h = h.h JOIN singles s ON c.w = s.w),
+sizes AS (SELECT sum(b) + count(DISTINCT w) AS b, sum(t) + count(DISTINCT w) AS t FROM counts),
+singles AS (SELECT w, 20.0 * (sum(c.b) + 1.0) / any_value(z.b) AS b,
+                   20.0 * (sum(c.t) + 1.0) / any_value(z.t) AS t
+            FROM counts c, sizes z GROUP BY w),
+losses AS (SELECT c.h, c.w, -ln((c.t + s.t) / (h.t + 20.0)) AS t,
+                  -ln((c.b + s.b) / (h.b + 20.0)) AS b
+           FROM counts c JOIN histories h ON c.h = h.h JOIN singles s ON c.w = s.w),
 scores AS (SELECT doc_id, count(*) AS n, avg(t) AS t, avg(b) AS b
-           FROM pairs JOIN values_ ON pairs.h = values_.h AND pairs.w = values_.w GROUP BY doc_id)
+           FROM pairs JOIN losses ON pairs.h = losses.h AND pairs.w = losses.w GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_words, round(coalesce(t, 0.0), 6) AS ce_target,
        round(coalesce(b, 0.0), 6) AS ce_background, round(coalesce(t - b, 0.0), 6) AS score
 FROM documents d LEFT JOIN scores s ON d.doc_id = s.doc_id
