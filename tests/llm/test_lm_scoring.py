@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import ODD
@@ -57,7 +58,7 @@ def test_brute_force(spark, documents, common):
     labels = spark.createDataFrame(
         [(0, 1, 0), (1, 1, 0), (3, 1, 1), (7, 1, 0), (8, 1, 0), (8, 0, 0), (20, 1, 0),
          (21, 1, 0), (21, 1, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
-    got = {r.doc_id: r for r in lm_scoring.score(docs, labels, common).collect()}
+    got = {r.doc_id: r for r in lm_scoring.score(docs, labels, common, share=1).collect()}
     for i, (n, target, background) in enumerate(by_hand(texts, [0, 1, 7, 20, 21])):
         assert got[i].n_words == n
         assert (got[i].ce_target, got[i].ce_background) == pytest.approx((target, background))
@@ -70,18 +71,34 @@ def test_repeated_and_null_ids(spark):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
     expected = by_hand([t for _, t in rows], [0, 1])
     for common in (0, 2):
-        got = lm_scoring.score(docs, labels, common).collect()
+        got = lm_scoring.score(docs, labels, common, share=1).collect()
         assert Counter((r.doc_id, r.n_words, round(r.ce_target, 9), round(r.ce_background, 9))
                        for r in got) == Counter(
             (i, n, round(t, 9), round(b, 9)) for (i, _), (n, t, b) in zip(rows, expected))
 
 
 def test_codes_are_cleared_when_many(monkeypatch):
+    text = "a q w é r t y b q a u i o b"
+    part = pa.RecordBatch.from_arrays([pa.array([text, None, "a q"])], names=["text"])
+    _, _, before, expected = lm_scoring.Codes([]).of(part)
+    assert before[0] == 1 and (expected < 0).all() and len(set(expected)) == 11
     monkeypatch.setattr(lm_scoring, "_FLUSH", 4)
-    codes = lm_scoring.Codes(["a", "b"])
-    text = "a q w e r t y b q a u i o b"
-    assert codes.of(text).tolist() == [3, *(codes[w] for w in text.split())]
-    assert codes["a"] == 0 and codes["b"] == 1 and codes["zz"] < 0 and len(codes) <= 6
+    common = [int(expected[0]), int(expected[7])]  # a and b
+    codes = lm_scoring.Codes(common)
+    lengths, row, before, after = codes.of(part)
+    assert lengths.tolist() == [14, 0, 2] and len(codes) <= 6
+    assert after.tolist() == [common.index(c) if c in common else c for c in expected.tolist()]
+    assert before[row == 2].tolist() == [codes.start, 0]
+
+
+@pytest.mark.parametrize("hot", [1, 10_000])
+def test_words_that_the_sample_missed(spark, documents, monkeypatch, hot):
+    monkeypatch.setattr(lm_scoring, "HOT_ROWS", hot)
+    texts = ["a b " * 50, "c a b", "a a a d"]
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in lm_scoring.score(documents(texts), labels, 0).collect()}
+    for i, expected in enumerate(by_hand(texts, [0])):
+        assert (got[i].n_words, got[i].ce_target, got[i].ce_background) == pytest.approx(expected)
 
 
 def test_odd_rows(spark, documents):

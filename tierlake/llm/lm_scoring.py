@@ -13,14 +13,18 @@ than documents at large.
 How pairs of words meet their counts depends on how common the words are, the counts are the same.
 The ``common`` most frequent words (a fixed number, so their pairs fit a dense table) are counted
 in tasks first and broadcast. Every other pair has a rarer word and is sent to where that word's
-rows are; a word that is not among the most frequent m has at most 1/m of all places, so none is
-hot. There, windows count the pair, the word, and the word as a history, all after one shuffle:
-ln p is a sum of a part of the pair and one of the history, and each word's rows hold both of its
-own. What is left is to add up the parts by document.
+rows are, one row a place with the word before and, if common, the word after. There, windows
+count both pairs, the word, and the word as a history, all after one shuffle: ln p is a sum of a
+part of the pair and one of the history, and each word's rows hold both of its own. What is left
+is to add up the parts by document.
 
-Rarer words are named by 63 bits of a hash: with a hundred million words the chance that any two
-share a name is 0.0005. Documents of the target are joined to texts by broadcast while the list of
-their ids is small, by shuffle beyond.
+Which words are taken for common decides where pairs are counted and nothing else, so the list
+comes from a share of the documents. Exact counts of all words follow, and a rarer word with over
+HOT_SHARE of all places (and HOT_ROWS of them) joins the common ones before pairs are sent.
+
+Words are named by 63 bits of a hash: with a hundred million words the chance that any two share a
+name is 0.0005. Documents of the target are joined to texts by broadcast while the list of their
+ids is small, by shuffle beyond.
 
 Defined results: words are runs without white space of the lower-case text; a null or empty text
 has none and scores 0; conflicting labels of a document make it no target; without target
@@ -30,8 +34,6 @@ repeated rows count as often as they are there. Only doc_id, text and the labels
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,97 +42,91 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tierlake.llm.common import Stored, join_to_texts, slices, type_of
+from tierlake.llm.common import HOT_SHARE, Stored, join_to_texts, slices, type_of
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MU = 20.0
-#: So many words at most have their pairs counted in a dense table.
-COMMON = 1_500
-#: What a row of a rarer word is: the word after another one, the word before a common one, the
-#: last word of its text; and the row of the document itself.
-AFTER, BEFORE, LAST, DOCUMENT = range(4)
-_FLUSH = 400_000
-
-
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) of all documents."""
-    def run(batches):
-        counts: Counter = Counter()
-        for part in slices(batches, "text"):
-            for text in part.column("text").to_pylist():
-                counts.update(words_of(text))
-            if len(counts) > _FLUSH:
-                yield rows(counts)
-                counts = Counter()
-        yield rows(counts)
+#: So many words have their pairs counted in a dense table; this share of documents names them.
+COMMON, SHARE = 1_500, 1 / 32
+HOT_ROWS = 1_000_000
+#: What may follow a rarer word besides a common one: a rarer one, or nothing.
+RARER, END = -1, -2
+_FLUSH = 500_000
+_PLACES = 4_000_000
 
-    def rows(counts):
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(
-            list(counts.values()), pa.int64())], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word string, n bigint").groupBy("word").agg(
-        F.sum("n").alias("n"))
+def words_of(text: str | None) -> list[bytes]:
+    """Runs without white space; bytes are split at ASCII's six white-space characters."""
+    return (text or "").lower().encode().split()
 
 
 class Codes(dict):
-    """Numbers of words: their rank if they are common, below zero by hash if not."""
+    """Numbers of words: their place in ``common``, a list of names, or else their name (< 0)."""
 
-    def __init__(self, common: list[str]):
-        super().__init__((w, i) for i, w in enumerate(common))
-        self.rest, self.start, self.common = len(common), len(common) + 1, common
+    def __init__(self, common: list[int]):
+        super().__init__()
+        self.rank = {name: i for i, name in enumerate(common)}
+        self.rest, self.start = len(common), len(common) + 1
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) > _FLUSH:
             self.clear()
-            self.update((w, i) for i, w in enumerate(self.common))
-            if word in self:
-                return self[word]
-        code = self[word] = (xxhash.xxh3_64_intdigest(word.encode()) >> 1) - 2 ** 63
+        name = (xxhash.xxh3_64_intdigest(word) >> 1) - 2 ** 63
+        code = self[word] = self.rank.get(name, name)
         return code
 
-    def of(self, text: str | None) -> np.ndarray:
-        """The start symbol, then the words."""
-        words = words_of(text)
-        return np.fromiter((self.start, *map(self.__getitem__, words)), dtype=np.int64,
-                           count=len(words) + 1)
-
-
-def common_pairs(texts: DataFrame, common: list[str]) -> DataFrame:
-    """(pair, n, target): how often common words follow each other, in all and in target documents;
-    all rarer words are one."""
+    def of(self, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """How many words each text has; of each word, the text's row, the word before (or the
+        start symbol) and the word."""
+        runs = [[self.start, *map(self.__getitem__, words_of(text))]
+                for text in part.column("text").to_pylist()]
+        lengths = np.array([len(r) - 1 for r in runs], dtype=np.int64)
+        codes = np.concatenate([np.array(r, dtype=np.int64) for r in runs])
+        row = np.repeat(np.arange(len(runs)), lengths)
+        at = np.arange(len(row)) + row
+        return lengths, row, codes[at], codes[at + 1]
+
+
+def frequent_words(docs: DataFrame, size: int) -> list[int]:
+    """Names of the most frequent words."""
+    counted = counts(docs.select("text", F.lit(False).alias("target")), [])
+    top = counted.filter("key < 0").orderBy(F.desc("n"), "key").limit(size)
+    return [r["key"] for r in top.collect()]
+
+
+def counts(texts: DataFrame, common: list[int]) -> DataFrame:
+    """(key, n, target): how often common words follow each other (key: before * size + after, all
+    rarer words are one), in all and in target documents; how often each rarer word (key: its
+    name) is there in all."""
     size = len(common) + 2
 
     def run(batches):
         codes = Codes(common)
-        pairs, target = [], []
-        held = 0
+        pairs = np.zeros((2, size * size), dtype=np.int64)
+        rare, held = [], 0
         for part in slices(batches, "text"):
-            for text, is_target in zip(part.column("text").to_pylist(),
-                                       part.column("target").to_pylist()):
-                ids = codes.of(text)
-                ids[ids < 0] = codes.rest
-                pairs.append(ids[:-1] * size + ids[1:])
-                target.append(np.full(len(ids) - 1, bool(is_target)))
-                held += len(ids)
-            if held > 4_000_000:
-                yield rows(pairs, target)
-                pairs, target, held = [], [], 0
-        if pairs:
-            yield rows(pairs, target)
-
-    def rows(pairs, target):
-        values, at = np.unique(np.concatenate(pairs), return_inverse=True)
-        wanted = np.bincount(at, weights=np.concatenate(target), minlength=len(values))
+            _, row, before, after = codes.of(part)
+            is_target = np.array([bool(t) for t in part.column("target").to_pylist()])
+            rare.append(after[after < 0])
+            held += len(rare[-1])
+            pair = np.where(before < 0, codes.rest, before) * size + np.where(
+                after < 0, codes.rest, after)
+            pairs[0] += np.bincount(pair, minlength=size * size)
+            pairs[1] += np.bincount(pair[is_target[row]], minlength=size * size)
+            if held > _PLACES:
+                yield rows(*np.unique(np.concatenate(rare), return_counts=True))
+                rare, held = [], 0
+        if rare:
+            yield rows(*np.unique(np.concatenate(rare), return_counts=True))
+        found = np.flatnonzero(pairs[0])
+        yield rows(found, pairs[0, found], pairs[1, found])
+
+    def rows(keys, n, target=None):
         return pa.RecordBatch.from_arrays(
-            [pa.array(values), pa.array(np.bincount(at, minlength=len(values)).astype(np.int64)),
-             pa.array(wanted.astype(np.int64))], names=["pair", "n", "target"])
+            [pa.array(keys), pa.array(n), pa.array(np.zeros_like(n) if target is None else target)],
+            names=["key", "n", "target"])
 
     return texts.select("text", "target").mapInArrow(
-        run, "pair bigint, n bigint, target bigint").groupBy("pair").agg(
+        run, "key bigint, n bigint, target bigint").groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
@@ -141,109 +137,130 @@ class Dense:
     pairs: np.ndarray
     histories: np.ndarray
     base: np.ndarray
-    places: int
-
-
-def _dense(counts: np.ndarray, size: int, vocabulary: int) -> Dense:
-    table = counts.reshape(size, size)
-    places = int(table.sum())
-    base = MU * (table.sum(axis=0) + 1) / max(places + vocabulary, 1)
-    return Dense(np.log(table + base), np.log(table.sum(axis=1) + MU), base, places)
+    total: float
+
+
+def _dense(counted: np.ndarray, size: int, vocabulary: int) -> Dense:
+    table = counted.reshape(size, size)
+    total = max(float(table.sum()) + vocabulary, 1.0)
+    base = MU * (table.sum(axis=0) + 1) / total
+    return Dense(np.log(table + base), np.log(table.sum(axis=1) + MU), base, total)
+
+
+def fit(texts: DataFrame, common: list[int], stored: Stored) -> tuple[list[int], list[Dense]]:
+    """The common words, hot ones included, and the target's and the background's dense parts."""
+    while True:
+        counted = stored(counts(texts, common), "counts")
+        places = counted.filter("key >= 0").agg(F.sum("n")).first()[0] or 0
+        hot = [r["key"] for r in counted.filter("key < 0").filter(
+            F.col("n") > max(places * HOT_SHARE, HOT_ROWS)).collect()]
+        if not hot:
+            break
+        common = common + hot  # at most 1 / HOT_SHARE; there are none in the next round
+        stored.drop(counted)
+    size = len(common) + 2
+    pairs = counted.filter("key >= 0").toArrow()
+    vocabulary = counted.filter("key < 0").count() + len(common)
+    models = []
+    for column in ("target", "n"):
+        table = np.zeros(size * size)
+        table[pairs.column("key").to_numpy()] = pairs.column(column).to_numpy()
+        models.append(_dense(table, size, vocabulary))
+    stored.drop(counted)
+    return common, models
 
 
-def _parts(texts: DataFrame, common: list[str], models: tuple[Dense, Dense]) -> DataFrame:
-    """A row for each document, with the parts of ln p of its common words, and for each place of
-    a rarer word: in ``target`` and ``background`` MU p of the common word that follows it."""
+def _parts(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFrame:
+    """A row for each place of a rarer word, and one for each document (key >= 0) with the parts of
+    ln p that its common words have."""
     shared = texts.sparkSession.sparkContext.broadcast((common, models))
+    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
+    schema = pa.struct([("doc_id", id_type), ("n_words", pa.int64()), ("target", pa.float64()),
+                        ("background", pa.float64())])
+    names = ["ref", "key", "before", "after", "document"]
 
     def run(batches):
         common, models = shared.value
         codes = Codes(common)
         for part in slices(batches, "text"):
-            runs = [codes.of(text) for text in part.column("text").to_pylist()]
-            lengths = np.array([len(r) - 1 for r in runs])
-            row = np.repeat(np.arange(len(runs)), lengths)
-            before = np.concatenate([r[:-1] for r in runs])
-            after = np.concatenate([r[1:] for r in runs])
-            yield documents(part, lengths, row, before, after, models)
-            ends = np.array([r[-1] for r in runs])
-            is_target = np.array([bool(t) for t in part.column("target").to_pylist()])
-            refs = part.column("ref").to_numpy()
-            for kind, at, key, other in (
-                    (AFTER, after < 0, after, before),
-                    (BEFORE, (after >= 0) & (before < 0), before, after)):
-                chosen = row[at]
-                base = ([m.base[other[at]] for m in models] if kind == BEFORE else None)
-                yield rows(refs[chosen], kind, is_target[chosen], key[at], other[at], base)
-            yield rows(refs[ends < 0], LAST, is_target[ends < 0], ends[ends < 0],
-                       np.zeros((ends < 0).sum(), np.int64), None)
-
-    def documents(part, lengths, row, before, after, models):
-        both, known = (before >= 0) & (after >= 0), before >= 0
-        # Sums of nothing are whole numbers to bincount.
-        sums = [(np.bincount(row[both], m.pairs[before[both], after[both]], len(lengths))
-                 - np.bincount(row[known], m.histories[before[known]], len(lengths))
-                 ).astype(float) for m in models]
-        n = len(lengths)
-        return pa.RecordBatch.from_arrays(
-            [part.column("ref"), pa.array(np.full(n, DOCUMENT, np.int8)),
-             pa.array(np.zeros(n, bool)), part.column("ref"), pa.array(lengths.astype(np.int64)),
-             *map(pa.array, sums), part.column("doc_id")], names=names)
+            lengths, row, before, after = codes.of(part)
+            is_target = np.array([bool(t) for t in part.column("target").to_pylist()], dtype=int)
+            refs = part.column("ref").to_numpy() * 2 + is_target
+            n, nothing = len(refs), np.zeros(len(refs), dtype=np.int64)
+            both, known = (before >= 0) & (after >= 0), before >= 0
+            sums = [(np.bincount(row[both], m.pairs[before[both], after[both]], n)
+                     - np.bincount(row[known], m.histories[before[known]], n)).astype(float)
+                    for m in models]  # sums of nothing are whole numbers to bincount
+            documents = pa.StructArray.from_arrays(
+                [as_array(part.column("doc_id")), pa.array(lengths), *map(pa.array, sums)],
+                fields=list(schema))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(refs), part.column("ref"), pa.array(nothing), pa.array(nothing),
+                 documents], names=names)
+            rare = np.flatnonzero(after < 0)
+            follower = np.full(len(rare), END, dtype=np.int64)
+            inside = np.flatnonzero(rare + 1 < len(row))
+            inside = inside[row[rare[inside] + 1] == row[rare[inside]]]
+            follower[inside] = np.maximum(after[rare[inside] + 1], RARER)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(refs[row[rare]]), pa.array(after[rare]), pa.array(before[rare]),
+                 pa.array(follower), pa.nulls(len(rare), schema)], names=names)
+
+    def as_array(column):
+        return column.cast(id_type) if column.type != id_type else column
 
-    def rows(refs, kind, is_target, keys, others, base):
-        n = len(refs)
-        base = [pa.nulls(n, pa.float64())] * 2 if base is None else [pa.array(b) for b in base]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(refs), pa.array(np.full(n, kind, np.int8)), pa.array(is_target),
-             pa.array(keys), pa.array(others), *base, pa.nulls(n, id_type)], names=names)
-
-    names = ["ref", "kind", "in_target", "key", "other", "target", "background", "doc_id"]
-    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
     return texts.select("ref", "doc_id", "text", "target").mapInArrow(
-        run, "ref bigint, kind tinyint, in_target boolean, key bigint, other bigint, "
-             f"target double, background double, doc_id {type_of(texts, 'doc_id')}")
+        run, "ref bigint, key bigint, before bigint, after bigint, document struct<doc_id: "
+             f"{type_of(texts, 'doc_id')}, n_words: bigint, target: double, background: double>")
 
 
-def score(docs: DataFrame, labels: DataFrame, common: int = COMMON) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, common: int = COMMON,
+          share: float = SHARE) -> DataFrame:
     """(doc_id, n_words, ce_target, ce_background, score) of every whole text, by the models of
     all the documents and of those that the labels make the target."""
-    stored = Stored(docs.sparkSession)
-    counted = stored(word_counts(docs), "words")
-    vocabulary = counted.count()
-    words = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(common).collect()]
+    spark = docs.sparkSession
+    stored = Stored(spark)
     targets = stored(labels.groupBy("doc_id").agg(
         ((F.min("quality") == 1) & (F.max("toxic") == 0)).alias("target")).filter(
         F.col("target") & F.col("doc_id").isNotNull()), "targets")
     texts = join_to_texts(docs.select("doc_id", "text"), targets, ["doc_id"], "left", stored)
-
-    pairs = common_pairs(texts, words).toArrow()
-    size = len(words) + 2
-    models = []
-    for column in ("target", "n"):
-        counts = np.zeros(size * size)
-        counts[pairs.column("pair").to_numpy()] = pairs.column(column).to_numpy()
-        models.append(_dense(counts, size, vocabulary))
-
-    parts = _parts(texts.withColumn("ref", F.monotonically_increasing_id()), words,
-                   tuple(models)).repartition("key")
-    of_pair, of_word = Window.partitionBy("key", "kind", "other"), Window.partitionBy("key")
-    kind = F.col("kind")
-
-    def ln_p(model: str, counts, places: int):
-        """A row's part of ln p; the sums over its pair and its word are this model's counts."""
-        n = F.sum(F.when(counts & (kind == AFTER), 1).otherwise(0)).over(of_word)
-        last = F.sum(F.when(counts & (kind == LAST), 1).otherwise(0)).over(of_word)
-        pair = F.sum(F.when(counts, 1).otherwise(0)).over(of_pair)
-        history = F.log(n - last + MU)
-        base = MU * (n + 1) / float(max(places + vocabulary, 1))
-        return (F.when(kind == AFTER, F.log(pair + base) - history)
-                .when(kind == BEFORE, F.log(pair + F.col(model)))
-                .when(kind == LAST, history).otherwise(F.col(model)).alias(model))
-
-    sums = parts.select(
-        "ref", "doc_id", F.when(kind == DOCUMENT, F.col("other")).alias("n_words"),
-        ln_p("target", F.col("in_target"), models[0].places),
-        ln_p("background", F.lit(True), models[1].places)).groupBy("ref").agg(
+    sample = docs.select("text") if share >= 1 else docs.select("text").sample(share, seed=1)
+    names, models = fit(texts, frequent_words(sample, common) if common else [], stored)
+    target, background = models
+    bases = spark.createDataFrame(
+        [(i, float(target.base[i]), float(background.base[i])) for i in range(len(names))],
+        "after bigint, base_target double, base_background double")
+
+    places = _parts(texts.withColumn("ref", F.monotonically_increasing_id()), names, models)
+    of_word = Window.partitionBy("key")
+
+    def both_counts(what, window, name):
+        """Of all documents and of target documents, by the last bit of ``ref``."""
+        return [F.sum(F.when(what, 1).otherwise(0)).over(window).alias(name),
+                F.sum(F.when(what & (F.col("ref") % 2 == 1), 1).otherwise(0)).over(window)
+                .alias(f"{name}_target")]
+
+    rows = places.repartition("key")
+    # In this order one sort serves the first two windows.
+    for window, wanted in ((Window.partitionBy("key", "before"), {"pair": F.lit(True)}),
+                           (of_word, {"n": F.lit(True), "ends": F.col("after") == END}),
+                           (Window.partitionBy("key", "after"), {"next": F.lit(True)})):
+        rows = rows.select("*", *(c for name, what in wanted.items()
+                                  for c in both_counts(what, window, name)))
+
+    def ln_p(suffix: str, model: Dense, name: str):
+        """A row's part of ln p."""
+        pair, n, ends, following = (F.col(c + suffix) for c in ("pair", "n", "ends", "next"))
+        own = F.log(pair + MU * (n + 1) / model.total)
+        history = F.when(F.col("after") != END, F.log(n - ends + MU)).otherwise(0.0)
+        then = F.when(F.col("after") >= 0,
+                      F.log(following + F.col(f"base_{name}"))).otherwise(0.0)
+        return F.when(F.col("key") >= 0, F.col(f"document.{name}")).otherwise(
+            own - history + then).alias(name)
+
+    sums = rows.join(F.broadcast(bases), "after", "left").select(
+        "ref", F.col("document.doc_id").alias("doc_id"), F.col("document.n_words").alias("n_words"),
+        ln_p("_target", target, "target"), ln_p("", background, "background")).groupBy("ref").agg(
         F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
         *(F.sum(m).alias(m) for m in ("target", "background")))
     # A text without words has sums of 0.
