@@ -50,8 +50,8 @@ COMMON, SHARE = 1_500, 1 / 32
 HOT_ROWS = 1_000_000
 #: What may follow a rarer word besides a common one: a rarer one, or nothing.
 RARER, END = -1, -2
-_FLUSH = 500_000
-_PLACES = 4_000_000
+_FLUSH = 200_000
+_PLACES, _BATCH = 1_000_000, 200_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -113,17 +113,18 @@ def counts(texts: DataFrame, common: list[int]) -> DataFrame:
             pairs[0] += np.bincount(pair, minlength=size * size)
             pairs[1] += np.bincount(pair[is_target[row]], minlength=size * size)
             if held > _PLACES:
-                yield rows(*np.unique(np.concatenate(rare), return_counts=True))
+                yield from rows(*np.unique(np.concatenate(rare), return_counts=True))
                 rare, held = [], 0
         if rare:
-            yield rows(*np.unique(np.concatenate(rare), return_counts=True))
+            yield from rows(*np.unique(np.concatenate(rare), return_counts=True))
         found = np.flatnonzero(pairs[0])
-        yield rows(found, pairs[0, found], pairs[1, found])
+        yield from rows(found, pairs[0, found], pairs[1, found])
 
     def rows(keys, n, target=None):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array(n), pa.array(np.zeros_like(n) if target is None else target)],
-            names=["key", "n", "target"])
+        target = np.zeros_like(n) if target is None else target
+        for i in range(0, len(keys), _BATCH):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[i:i + _BATCH]) for c in (keys, n, target)], names=["key", "n", "target"])
 
     return texts.select("text", "target").mapInArrow(
         run, "key bigint, n bigint, target bigint").groupBy("key").agg(
