@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
@@ -46,6 +47,30 @@ def test_host_verdicts(spark):
     assert 0.1 < got[1].host_rate < 0.12 and 0.88 < got[100].host_rate < 0.9
 
 
+def test_host_far_above_the_usual_rate(spark):
+    good, bad = " ".join(f"w{i}" for i in range(30)), "too short"
+    hosts = {"clean": (1000, 0), "usual": (300, 30), "worse": (200, 80), "few": (4, 2)}
+    rows = [(bad if i < fails else good, host) for host, (texts, fails) in hosts.items()
+            for i in range(texts)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                 "doc_id bigint, text string, source string")
+    kept = Counter(rows[r.doc_id][1] for r in q.judge(docs).collect() if r.kept)
+    assert kept == {"clean": 1000, "usual": 270, "few": 2}, "two failures of four prove nothing"
+    # By hand: the prior from all hosts, then each host's posterior against the usual rate.
+    rates = [(n, f / n) for n, f in hosts.values()]
+    total = sum(n for n, _ in rates)
+    mean = sum(n * p for n, p in rates) / total
+    noise = mean * (1 - mean)
+    between = ((sum(n * (p - mean) ** 2 for n, p in rates) - (len(rates) - 1) * noise)
+               / (total - sum(n * n for n, _ in rates) / total))
+    strength = min(max(noise / max(between, 1e-6) - 1, 1), 1e6)
+    for r in q.host_rates(q.measures(docs)).collect():
+        n, fails = hosts[r.host]
+        shrunk = (fails + mean * strength) / (n + strength)
+        assert r.shrunk == pytest.approx(shrunk) and r.usual == pytest.approx(mean)
+        assert r.spread == pytest.approx((shrunk * (1 - shrunk) / (n + strength + 1)) ** 0.5)
+
+
 def test_odd_rows(documents):
     docs = documents(ODD)
     got = q.judge(docs, "host").collect()

@@ -8,8 +8,9 @@ few texts is judged mostly by what hosts are like:
 
     shrunk = (fails + a) / (texts + a + b)
 
-Texts of a host whose shrunk rate is over ``max_rate`` are not kept. The prior is one row; host
-verdicts are joined back with ``SALTS`` copies of each host's row, so that a host with a third of
+Texts of a host are not kept if its shrunk rate is over ``max_rate``, or if its rate is clearly
+above what is usual: the posterior's mean lies more than ``certainty`` of its standard deviations
+above ``factor`` times the rate of all texts. The prior is one row; host verdicts are joined back with ``SALTS`` copies of each host's row, so that a host with a third of
 all texts is dealt over many tasks. Measures are taken once and stored in the shared folder.
 
 Defined results: a null or empty text has no words and fails; a null host is no host: its texts
@@ -87,7 +88,8 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """(host, texts, fails, shrunk): failure rates drawn towards the mean of all hosts."""
+    """(host, texts, fails, shrunk, spread, usual): failure rates drawn towards the mean of all
+    hosts, with the posterior's standard deviation; the failure rate of all texts."""
     hosts = (measured.filter(F.col("host").isNotNull()).groupBy("host")
              .agg(F.count("*").alias("texts"),
                   F.sum(F.col("base_failed").cast("bigint")).alias("fails")))
@@ -103,21 +105,24 @@ def host_rates(measured: DataFrame) -> DataFrame:
     strength = F.least(F.greatest(F.coalesce(mean * (1 - mean) / between - 1, F.lit(1.0)),
                                   F.lit(1.0)), F.lit(1e6))
     prior = sums.select(mean.alias("mean"), strength.alias("strength"))
+    weight = F.col("texts") + F.col("strength")
+    shrunk = (F.col("fails") + F.col("mean") * F.col("strength")) / weight
     return hosts.crossJoin(F.broadcast(prior)).select(
-        "host", "texts", "fails",
-        ((F.col("fails") + F.col("mean") * F.col("strength"))
-         / (F.col("texts") + F.col("strength"))).alias("shrunk"))
+        "host", "texts", "fails", shrunk.alias("shrunk"),
+        F.sqrt(shrunk * (1 - shrunk) / (weight + 1)).alias("spread"), F.col("mean").alias("usual"))
 
 
-def judge(docs: DataFrame, host: str = "source", max_rate: float = 0.5) -> DataFrame:
+def judge(docs: DataFrame, host: str = "source", max_rate: float = 0.5, factor: float = 2.0,
+          certainty: float = 4.0) -> DataFrame:
     """(doc_id, MEASURES, base_failed, host_rate, kept) of every text."""
     measured = materialise(measures(docs, host), "quality")
     verdicts = host_rates(measured).select(
         "host", F.col("shrunk").alias("host_rate"),
+        ((F.col("shrunk") > max_rate)
+         | (F.col("shrunk") - certainty * F.col("spread") > factor * F.col("usual"))).alias("bad"),
         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salted = measured.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"),
                                                 F.lit(SALTS)).cast("int"))
     return salted.join(verdicts, ["host", "salt"], "left").select(
         "doc_id", *MEASURES, "base_failed", "host_rate",
-        (~F.col("base_failed") & (F.coalesce(F.col("host_rate"), F.lit(0.0)) <= max_rate))
-        .alias("kept"))
+        (~F.col("base_failed") & ~F.coalesce(F.col("bad"), F.lit(False))).alias("kept"))
