@@ -1,9 +1,13 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tests.rows import DAY, at, click, item, order, post, raw, review, tuples
 from tierlake.operators.clean import clean_topic
 from tierlake.operators.dedup import dedup_topic, latest_by_key
 from tierlake.operators.quality import order_amount_check
+from tierlake.session import tree_bytes
+from tierlake.sinks.parquet import write_layer
 
 
 def test_later_copy_wins_and_ties_go_to_the_larger_offset(spark):
@@ -87,3 +91,22 @@ def test_order_amounts(spark):
                   "computed_final", "total_ok", "final_ok") == [
         ("bad", 1, 1, 5.0, 5.0, False, False), ("good", 2, 0, 10.0, 9.5, True, True),
         ("none", 0, 0, 0.0, 0.0, True, True)]
+
+
+def test_texts_stay_with_their_copies(spark):
+    rows = [review("r1", review_text="old"), review("r1", review_text="same", ingested_at=at(1)),
+            review("r2", review_text="same"), review("r3", review_text=None),
+            review("r4", review_text="", kafka_ts=at(1)), review("r4", review_text="late")]
+    df = raw(spark, "product_reviews", *rows)
+    latest = dedup_topic(df, "product_reviews")
+    assert latest.schema == df.schema
+    assert tuples(latest, "review_id", "review_text") == [
+        ("r1", "same"), ("r2", "same"), ("r3", None), ("r4", "")]
+
+
+def test_a_text_of_many_messages_is_stored_about_once(spark, folder):
+    text = "".join(chr(33 + i * i * 31 % 89 + i % 5) + str(i * 7919 % 10007) for i in range(4000))
+    df = raw(spark, "product_reviews", *(review(f"r{i}", review_text=text) for i in range(300)))
+    write_layer(clean_topic(df.repartition(3), "product_reviews"), folder, gather=True)
+    assert spark.read.parquet(folder).filter(F.col("review_text") == text).count() == 300
+    assert tree_bytes(spark, folder) < 10 * len(text)

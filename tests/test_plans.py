@@ -125,3 +125,14 @@ def test_profile_sections_scan_their_table_once(clean):
     assert _plan(profiles.profile_purchases(clean["purchases"])).count("FileScan") == 1
     by_order = _plan(profiles.profile_purchases(clean["purchases"], segments.ORDER))
     assert by_order.count("FileScan") == 1 and "item_" not in by_order
+
+
+def test_dedup_moves_each_text_once(spark, tmp_path):
+    """Texts meet as different ones, before and apart from the rows; unread ones not at all."""
+    path = str(tmp_path / "reviews")
+    write_layer(adapters.raw_product_reviews(spark, SF, with_text=True), path)
+    latest = dedup_topic(scan_table(spark, path), "product_reviews")
+    plan = _plan(latest)
+    assert re.search(r"HashAggregate\(keys=\[_text_digest#\d+, review_text#\d+\]", plan)
+    assert "Join" not in _plan(latest.drop("review_text"))
+    assert "review_text" not in _plan(latest.drop("review_text"))

@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import _write_in_parts
 from tests.rows import DAY, at, click, item, order, post, raw, review, tuples
 from tierlake.operators import metrics, profiles, segments
 from tierlake.operators.clean import clean_topic
@@ -311,3 +312,12 @@ def test_streams_start_before_there_is_data(spark, tmp_path):
     assert drain() == 0
     _batches(spark, "clickstream", source, [click("a"), click("b", event_ts=at(60))])
     assert drain() == 2
+
+
+def test_sources_of_several_batches_have_several_files_a_batch(spark, folder):
+    """A batch grows with the data, so one file may not hold all of it."""
+    rows = spark.range(3000).withColumnRenamed("id", "offset").repartition(4)
+    assert _write_in_parts(rows, folder) == 4
+    stored = spark.read.parquet(folder)
+    assert len(stored.inputFiles()) == 12
+    assert stored.distinct().count() == stored.count() == 3000

@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tierlake.session import child_times, is_written, remove_tree, stored_for_now
+from tierlake.session import COMPRESSION, child_times, is_written, remove_tree, stored_for_now
 
 # Named so that no column of a table is called the same.
 _PART, _VERSION = "table_part", "table_version"
@@ -141,7 +141,8 @@ class KeyedTable:
         version = state.version + 1
         target = f"{self.root}/data/{_VERSION}={version}"
         (kept.unionByName(new).withColumn(_PART, self.part).hint("rebalance", _PART)
-         .write.mode("overwrite").partitionBy(_PART).parquet(target))
+         .write.mode("overwrite").option("compression", COMPRESSION).partitionBy(_PART)
+         .parquet(target))
 
         parts = {p: v for p, v in state.parts.items() if p not in touched}
         parts |= {p: version for p in self._parts_below(target)}
