@@ -92,3 +92,13 @@ def test_top_keywords_respects_minimum_and_limit(spark):
                                    "keyword string, search_count long, unique_visitors long")
     assert [tuple(r) for r in serving.top_keywords(trends, 2, 2).collect()] == [
         ("c", 9, 3, 3.0), ("a", 5, 2, 2.5)]
+
+
+def test_sketches_are_not_kept_for_each_counted_value(spark):
+    from checks.queries import QUERIES
+    plan = QUERIES["distinct_approx"](spark, "/root/testdata/sf0.001")._jdf.queryExecution(
+        ).executedPlan().toString()
+    sketches = [line for line in plan.splitlines() if "approx_count_distinct" in line]
+    assert sketches and not any("Expand" in line or "gid" in line for line in sketches)
+    assert all("keys=[platform" in line or "keys=[_groupingexpression" in line
+               for line in sketches if "Aggregate(keys" in line)
