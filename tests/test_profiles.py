@@ -116,3 +116,13 @@ def test_keys_limit_lookup_and_validation(spark):
     assert tuples(invalid, "user_id") == ["u1"] and valid.count() == 2
     assert tuples(serving.recent_profiles(df, 1), "user_id") == ["u1"]
     assert tuples(serving.live_risk_count(df, 0.1)) == [(3, 2)]
+
+
+def test_profiles_need_no_other_columns_than_they_name(spark):
+    t = {f: df.select(*profiles.READS[f]) for f, df in _tables(
+        spark, orders=[order()], reviews=[review()], clicks=[click()], posts=[post()]).items()}
+    snapshot = segments.user_segments(t["purchases"], t["product_reviews"], AS_OF)
+    narrow = profiles.user_profiles(t["purchases"], t["product_reviews"], t["clickstream"],
+                                    t["social_buzz"], snapshot, AS_OF)
+    assert narrow.collect() == _profiles(spark, orders=[order()], reviews=[review()],
+                                         clicks=[click()], posts=[post()]).collect()

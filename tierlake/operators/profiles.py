@@ -13,6 +13,15 @@ from tierlake.operators.dedup import latest_by_key
 from tierlake.operators.segments import LINE, at_grain
 from tierlake.schemas import PROFILE
 
+#: Columns of the clean tables that profiles and segments read.
+READS = {
+    "purchases": ("user_id", "order_id", "payment_method", "payment_status", "final_amount",
+                  "is_return", "event_ts", "spend_band"),
+    "product_reviews": ("user_id", "rating", "sentiment_score", "sentiment_label"),
+    "clickstream": ("user_id", "session_id", "event_type", "platform", "event_ts", "is_bot",
+                    "is_search", "is_checkout"),
+    "social_buzz": ("user_id", "platform", "sentiment_score", "engagement_score", "is_viral"),
+}
 SECTIONS = ("purchases", "reviews", "browsing", "social", "segment")
 
 

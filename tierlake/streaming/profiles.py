@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierlake.operators.profiles import user_profiles
+from tierlake.operators.profiles import READS, user_profiles
 from tierlake.schemas import PROFILE
 from tierlake.session import stored_for_now
 from tierlake.sinks.keyed import KeyedTable, by_bucket
@@ -45,7 +45,7 @@ def stream_profiles(logs: dict[str, CleanLog], segments: Callable[[], DataFrame]
             if users.isEmpty():
                 return
             # Each clean table is read more than once by the profile plan.
-            tables = {f: store(log.clean(users=users), f) for f, log in logs.items()}
+            tables = {f: store(log.clean(users=users).select(*READS[f]), f) for f, log in logs.items()}
             rows = user_profiles(
                 tables["purchases"], tables["product_reviews"], tables["clickstream"],
                 tables["social_buzz"], segments().join(users, "user_id", "left_semi"), as_of)
