@@ -109,3 +109,46 @@ def test_passages_that_begin_or_end_within_lines(documents):
     assert made[3] == (texts[3], 0), "49 words are no passage"
     assert made[4] == (f"{_words('h', 60)} {_words('k', 8)}", 1)
     assert made[5] == ("two words\nend", 1)
+
+
+def test_words_are_those_of_split():
+    import pyarrow as pa
+    from tierlake.llm.passages import Words
+    rng = random.Random(3)
+    parts = [c for c in map(chr, range(0x3100)) if c.isspace()] + 3 * [
+        "a", "b", "\0", "é", "漢", "😀", "​", "‧", "Â", "z" * 8, "x" * 9, "y" * 70]
+    texts = [None if rng.random() < .1 else "".join(rng.choices(parts, k=rng.randint(0, 30)))
+             for _ in range(3000)]
+    for column in (pa.array(texts), pa.array(["one", *texts])[1:], pa.array([None], pa.string())):
+        made, all_texts = Words(column), column.to_pylist()
+        words = [(i, w) for i, t in enumerate(all_texts) for w in (t or "").split()]
+        assert made.owner.tolist() == [i for i, _ in words]
+        cut = made.bytes.tobytes()
+        assert [cut[a:b].decode() for a, b in zip(made.begin, made.end)] == [w for _, w in words]
+        pairs = set(zip(made.ids.tolist(), (w for _, w in words)))
+        assert len(pairs) == len({i for i, _ in pairs}) == len({w for _, w in words})
+        first, stop = made.lines()
+        assert (stop - first).tolist() == [
+            len(x.split()) for t in all_texts for x in line_dedup.content_lines(t)]
+
+
+def test_few_windows_are_compared(documents, monkeypatch):
+    """Of stretches that several documents have only the first one's windows, of a text that
+    repeats itself those of one round."""
+    from tierlake.llm.common import Stored
+    stored, tables = Stored.__call__, {}
+
+    def counted(self, df, label):
+        made = stored(self, df, label)
+        tables.setdefault(label, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(Stored, "__call__", counted)
+    words = _words("n", 400).split()
+    near = [" ".join([*words[:200], f"changed{i % 2}", *words[201:]]) for i in range(40)]
+    texts = [*near, " ".join(["la", "li", "lu"] * 1000)]
+    made = {r.doc_id: r.gone
+            for r in line_dedup.delete_copies(documents(texts), count_as="gone").collect()}
+    assert made == {0: 0} | {i: 1 for i in range(1, 41)}
+    # Before: all windows around the change of all copies, and all 2,951 of the last text.
+    assert sum(tables["windows"]) < 1000

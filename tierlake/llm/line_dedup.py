@@ -42,19 +42,22 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.llm.common import (
     Stored, free_name, join_counted, join_to_texts, map_texts, place_of, slices, type_of)
-from tierlake.llm.passages import STRETCHES, covered, later_places, lists_of, stretches_of
+from tierlake.llm.passages import (
+    PASS_CHARS, STRETCHES, Words, covered, later_places, lists_of, stretches_of)
 from tierlake.session import materialise
 
 MIN_WORDS = 50
 #: A line of fewer words is never cut.
 UNIT = 8
 _WORD = re.compile(r"\S+")
+_LOW = (1 << 32) - 1
 
 
 def content_lines(text: str | None) -> list[str]:
@@ -65,21 +68,19 @@ def _shapes(texts: DataFrame, least: int) -> DataFrame:
     """A row a text, from one pass over it: place, its lines that are not blank (128 bits and
     number of words each) and its stretches (see passages)."""
     def run(part):
-        texts = part.column("text").to_pylist()
-        names, words, rows = [], [], []
-        for row, text in enumerate(texts):
-            lines = content_lines(text)
-            rows.append(len(lines))
-            names.extend(xxhash.xxh3_128_digest(line.encode()) for line in lines)
-            words.extend(len(line.split()) for line in lines)
-        halves = np.frombuffer(b"".join(names), dtype="<i8").reshape(-1, 2)
-        of = np.repeat(np.arange(len(texts)), rows)
-        return [part.column("place"), *(lists_of(v, of, len(texts), t) for v, t in (
-            (halves[:, 0], np.int64), (halves[:, 1], np.int64), (np.array(words), np.int32))),
-            *stretches_of(texts, least)]
+        words = Words(part.column("text"))
+        first, stop = words.lines()
+        text = words.bytes.tobytes()
+        names = b"".join(xxhash.xxh3_128_digest(text[a:b]) for a, b in zip(
+            words.begin[first].tolist(), words.end[stop - 1].tolist()))
+        halves = np.frombuffer(names, dtype="<i8").reshape(-1, 2)
+        of = words.owner[first]
+        return [part.column("place"), *(lists_of(v, of, part.num_rows, t) for v, t in (
+            (halves[:, 0], np.int64), (halves[:, 1], np.int64), (stop - first, np.int32))),
+            *stretches_of(words, least)]
 
     return map_texts(texts, f"place {type_of(texts, 'place')}, h1 array<bigint>, "
-                     f"h2 array<bigint>, words array<int>, {STRETCHES}", run)
+                     f"h2 array<bigint>, words array<int>, {STRETCHES}", run, most=PASS_CHARS)
 
 
 def _repeated_in_order(rows: DataFrame, keys: list[str], stored=materialise) -> DataFrame:
@@ -100,20 +101,29 @@ def stretches(pos: np.ndarray) -> np.ndarray:
     return ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1
 
 
-def shortest_runs(words: np.ndarray, left: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """(index, lines) of the shortest runs with so many words from each line on and up to it."""
-    total = np.concatenate([[0], np.cumsum(words)])
+def _runs_of(words: np.ndarray, left: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index and lines of the shortest runs with so many words from each line on and up to it, in
+    order; left: how many lines follow in the same stretch, itself included."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
     n = len(words)
     last = np.arange(n) + left  # end of the stretch
     stop = np.searchsorted(total, total[:-1] + least)  # lines [i, stop) are the shortest from i
-    found = {(i, int(stop[i] - i)) for i in np.flatnonzero(stop <= last)}
+    there = np.flatnonzero(stop <= last)
     start = np.searchsorted(total, total[1:] - least, side="right") - 1  # [start, i] up to i
-    found |= {(int(s), int(i + 1 - s)) for i, s in enumerate(start) if s >= 0 and last[s] > i}
-    return sorted((int(i), m) for i, m in found)
+    till = np.flatnonzero((start >= 0) & (last[start] > np.arange(n)))
+    found = np.unique(np.concatenate([there << 32 | stop[there] - there,
+                                      start[till] << 32 | till + 1 - start[till]]))
+    return found >> 32, found & _LOW
+
+
+def shortest_runs(words: np.ndarray, left: np.ndarray, least: int) -> list[tuple[int, int]]:
+    return list(zip(*(x.tolist() for x in _runs_of(words, left, least))))
 
 
-def _array_of(column, row: int) -> np.ndarray:
-    return column[row].values.to_numpy(zero_copy_only=False)
+def _values(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Of the entries of all lists, one after the other: their row, as bits above 32, and value."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), sizes) << 32, column.flatten()
 
 
 def _sequences(lines: DataFrame, least: int) -> DataFrame:
@@ -123,29 +133,22 @@ def _sequences(lines: DataFrame, least: int) -> DataFrame:
     """
     def run(batches):
         for part in batches:
-            out = []
-            for row in range(part.num_rows):
-                lines = part.column("lines")[row].values
-                pos, rank, words = (lines.field(c).to_numpy(zero_copy_only=False)
-                                    for c in ("pos", "rank", "words"))
-                order = np.argsort(pos)
-                pos, rank, words = pos[order], rank[order], words[order]
-                runs = shortest_runs(words, stretches(pos), least)
-                used = np.zeros(len(pos) + 1, dtype=np.int64)
-                for i, m in runs:
-                    used[i] += 1
-                    used[i + m] -= 1
-                used = np.cumsum(used[:-1]) > 0
-                out.append((pos[used], rank[used], [pos[i] for i, _ in runs],
-                            [m for _, m in runs]))
-            some = pa.array([i for i, o in enumerate(out) if len(o[0])], pa.int64())
-            out = [o for o in out if len(o[0])]
+            row, lines = _values(part.column("lines"))
+            pos, rank, words = (lines.field(c).to_numpy(zero_copy_only=False)
+                                for c in ("pos", "rank", "words"))
+            pos = row + pos
+            order = np.argsort(pos)
+            pos, rank, words = pos[order], rank[order], words[order]
+            first, length = _runs_of(words, stretches(pos), least)
+            used = np.cumsum(np.bincount(first, minlength=len(pos) + 1) - np.bincount(
+                first + length, minlength=len(pos) + 1))[:len(pos)] > 0
+            start, pos, rank = pos[first], pos[used], rank[used]
+            some = np.unique(pos >> 32)
             yield pa.RecordBatch.from_arrays([
-                part.column("place").take(some),
-                pa.array([o[0] for o in out], pa.list_(pa.int32())),
-                pa.array([o[1] for o in out], pa.list_(pa.int64())),
-                pa.array([o[2] for o in out], pa.list_(pa.int32())),
-                pa.array([o[3] for o in out], pa.list_(pa.int32()))],
+                part.column("place").take(pa.array(some)),
+                *(lists_of(v, np.searchsorted(some, of >> 32), len(some), t) for v, of, t in (
+                    (pos & _LOW, pos, np.int32), (rank, pos, np.int64),
+                    (start & _LOW, start, np.int32), (length, start, np.int32)))],
                 names=["place", "pos", "rank", "start", "length"])
 
     grouped = lines.groupBy("place").agg(
@@ -154,25 +157,30 @@ def _sequences(lines: DataFrame, least: int) -> DataFrame:
                               "rank array<bigint>, start array<int>, length array<int>")
 
 
-def _rows_of(part: pa.RecordBatch, pick) -> pa.RecordBatch:
-    """Flatten: pick(pos, rank, start, length) gives equally long columns for a document."""
-    found = [pick(*(_array_of(part.column(c), row) for c in ("pos", "rank", "start", "length")))
-             for row in range(part.num_rows)]
-    at = pa.array(np.repeat(np.arange(part.num_rows), [len(f[0]) for f in found]), pa.int64())
-    columns = [np.concatenate(c).astype(np.int64) for c in zip(*found)]
-    return [part.column("place").take(at), *(pa.array(c) for c in columns)]
-
-
 def _flatten(sequences: DataFrame, columns: str, pick) -> DataFrame:
+    """pick(pos, rank, start, length) gives equally long columns for all documents of a batch; pos
+    and start, and its first column, have the document's row above 32 bits."""
     names = ["place", *columns.split()]
 
     def run(batches):
         for part in batches:
-            if part.num_rows:
-                yield pa.RecordBatch.from_arrays(_rows_of(part, pick), names=names)
+            (of_line, pos), (_, rank), (of_run, start), (_, length) = (
+                (row, v.to_numpy(zero_copy_only=False).astype(np.int64))
+                for row, v in map(_values, part.columns[1:]))
+            at, *rest = pick(of_line + pos, rank, of_run + start, length)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("place").take(pa.array(at >> 32)), pa.array(at & _LOW),
+                 *map(pa.array, rest)], names=names)
+
+    return sequences.select("place", "pos", "rank", "start", "length").mapInArrow(
+        run, f"place {type_of(sequences, 'place')}, "
+        + ", ".join(f"{c} bigint" for c in names[1:]))
+
 
-    return sequences.mapInArrow(run, f"place {type_of(sequences, 'place')}, "
-                                + ", ".join(f"{c} bigint" for c in names[1:]))
+def _found(pos: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each place in the ascending ones, and whether it is there."""
+    i = np.searchsorted(pos, where)
+    return np.minimum(i, max(len(pos) - 1, 0)), np.append(pos, -1)[i] == where
 
 
 def _copies(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
@@ -180,13 +188,9 @@ def _copies(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
     def pick(pos, rank, start, length):
         chosen = (length >= depth) & (length < 2 * depth)
         start, length = start[chosen], length[chosen]
-        found = []
-        for where in (start, start + length - depth):
-            i = np.minimum(np.searchsorted(pos, where), max(len(pos) - 1, 0))
-            found.append((i, pos[i] == where if len(pos) else np.zeros(len(where), bool)))
-        there = found[0][1] & found[1][1]  # else the rank there is nobody else's
-        return (start[there], length[there], *(rank[i[there]] if len(pos) else i[there]
-                                               for i, _ in found))
+        (head, one), (tail, other) = (_found(pos, x) for x in (start, start + length - depth))
+        there = one & other  # else the rank there is nobody else's
+        return start[there], length[there], rank[head[there]], rank[tail[there]]
 
     runs = stored(_flatten(sequences, "start length head tail", pick), "runs")
     place = F.struct("place", "start")
@@ -201,16 +205,15 @@ def _copies(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
 def _doubled(sequences: DataFrame, depth: int, stored: Stored) -> DataFrame:
     """Sequences, stored, with ranks by 2 * depth lines, of the suffixes that longer runs need and that share theirs."""
     def pick(pos, rank, start, length):
-        ends = [pos.max(initial=0), (start + length).max(initial=0)]
-        needed = np.zeros(int(max(ends)) + 2, dtype=np.int64)
-        for s, m in zip(start, length):
-            if m >= 2 * depth:
-                needed[s] += 1
-                needed[s + m - 2 * depth + 1] -= 1
-        wanted = np.cumsum(needed)[pos] > 0 if len(pos) else np.zeros(0, bool)
-        i = np.minimum(np.searchsorted(pos, pos + depth), max(len(pos) - 1, 0))
-        wanted &= pos[i] == pos + depth
-        return pos[wanted], rank[wanted], rank[i[wanted]]
+        longer = length >= 2 * depth
+        start, length = start[longer], length[longer]
+        first = np.searchsorted(pos, start)
+        stop = np.searchsorted(pos, start + length - 2 * depth, side="right")
+        needed = np.cumsum(np.bincount(first, minlength=len(pos) + 1) - np.bincount(
+            stop, minlength=len(pos) + 1))[:len(pos)] > 0
+        second, there = _found(pos, pos + depth)
+        wanted = needed & there
+        return pos[wanted], rank[wanted], rank[second[wanted]]
 
     pairs = stored(_flatten(sequences, "pos rank second", pick), "pairs")
     ranks = _repeated_in_order(pairs, ["rank", "second"], stored)
@@ -262,18 +265,23 @@ def without(text: str | None, runs: list[tuple[int, int]], places: list[int] = (
             least: int = MIN_WORDS) -> tuple[str | None, int]:
     """The text without runs of content lines and without the windows of ``least`` words at the
     places (see ``covered``), and how many lines that took or cut."""
+    lines = (text or "").split("\n")
     deleted = {i for start, length in runs for i in range(start, start + length)}
+    if len(places):
+        sizes = [len(line.split()) for line in lines]
+        mask = covered(places, [n for n in sizes if n], least, UNIT)
+        gone_before = np.append(0, np.cumsum(mask)).tolist()
+    else:
+        sizes = [int(line != "" and not line.isspace()) for line in lines]
     kept, place, word, dropping, taken = [], 0, 0, False, 0
-    sizes = [len(line.split()) for line in content_lines(text)] if places else []
-    mask = covered(places, sizes, least, UNIT)
-    for line in (text or "").split("\n"):
-        if line.strip():
-            gone = mask[word:word + sizes[place]] if places else mask
-            dropping = place in deleted or (len(gone) > 0 and bool(gone.all()))
-            taken += dropping or bool(gone.any())
-            if not dropping and gone.any():
-                line = _cut(line, gone)
-            word += len(gone)
+    for line, size in zip(lines, sizes):
+        if size:
+            gone = gone_before[word + size] - gone_before[word] if len(places) else 0
+            dropping = place in deleted or gone == size
+            taken += dropping or gone > 0
+            if gone and not dropping:
+                line = _cut(line, mask[word:word + size])
+            word += size
             place += 1
         if not dropping:
             kept.append(line)
@@ -289,10 +297,14 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
     def run(batches):
         for part in slices(batches, "text"):
             columns = part.columns
-            runs = [[(r["start"], r["length"]) for r in x or ()]
-                    for x in columns[-2].to_pylist()]
-            made = [without(t, r, p or (), min_words) if r or p else (t, 0) for t, r, p in zip(
-                columns[text_at].to_pylist(), runs, columns[-1].to_pylist())]
+            runs, places = columns[-2:]
+            start, length = (_values(runs)[1].field(c).to_pylist() for c in ("start", "length"))
+            place = _values(places)[1].to_numpy(zero_copy_only=False)
+            ends = [np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(x), 0).to_numpy(
+                zero_copy_only=False))).tolist() for x in (runs, places)]
+            made = [without(t, list(zip(start[a:b], length[a:b])), place[c:d], min_words)
+                    for t, a, b, c, d in zip(columns[text_at].to_pylist(), ends[0], ends[0][1:],
+                                             ends[1], ends[1][1:])]
             columns[text_at] = pa.array([t for t, _ in made], pa.string())
             columns = columns[:len(docs_columns)]
             if count_as:

@@ -4,19 +4,22 @@ Texts are cut anew, at places that their words choose: the sign of a window of `
 the smallest hash of the runs of SHORT words in it, and a stretch is all that neighbouring windows
 of one sign cover. Copies of a passage have the same stretches inside, whatever is around them.
 
-A sign that several documents have, always with the same stretch, needs no more: all but the first
-are copies. Where stretches of a sign differ (at a passage's edges, around a changed word, or if a
-text repeats itself), their windows are compared one by one, by 128 bits. Nothing is left out by
-this: equal windows have equal signs, and a sign is decided as a whole.
+A stretch that several documents have needs no more: all but the first are copies. Where stretches
+of a sign differ (at a passage's edges, around a changed word, or if a text repeats itself), the
+windows of the first document of each are compared one by one, by 128 bits. Nothing is left out by
+this: equal windows have equal signs, and the first document with a window is the first one with
+its stretch as well. What a text repeats of itself is found in that text.
+
+Words are cut and named in whole slices of texts, from their bytes in UTF-8.
 """
 
 from __future__ import annotations
 
 import functools
-import itertools
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,23 +27,88 @@ from tierlake.llm.common import Stored, join_counted, join_to_texts, slices
 
 #: Odd, so that powers have inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
-_WORDS = 500_000
 #: Words of the runs that choose stretches.
 SHORT = 20
+#: Words of more bytes are named one by one.
+_LONG = 64
+#: Characters of str.split, as bytes: single ones, and first bytes of longer ones with the rest.
+_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+_WIDE = {0xC2: (0x85, 0xA0), 0xE1: (0x9A80,), 0xE3: (0x8080,),
+         0xE2: (*range(0x8080, 0x808B), 0x80A8, 0x80A9, 0x80AF, 0x819F)}
+_LEADS = np.isin(np.arange(256), list(_WIDE))
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
 
+class Words:
+    """The words of a slice of texts, one after the other, as str.split cuts them.
 
-class _Ids(dict):
-    """64 bits of a word; remembers so many at most."""
+    owner, ids: text and 64 bits of a word; begin, end: its bytes; begins: each text's first word.
+    """
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _WORDS:
-            self.clear()
-        self[word] = made = xxhash.xxh3_64_intdigest(word.encode())
+    def __init__(self, texts: pa.Array):
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        _, offsets, data = texts.buffers()
+        at = np.frombuffer(offsets, np.int32)[texts.offset:][:len(texts) + 1].astype(np.int64)
+        self.bytes = np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]]
+        at -= at[0]
+        word = ~self._spaces()
+        some = at[:-1][np.diff(at) > 0], at[1:][np.diff(at) > 0] - 1
+        first, last = word.copy(), word.copy()
+        first[1:] &= ~word[:-1]
+        last[:-1] &= ~word[1:]
+        first[some[0]], last[some[1]] = word[some[0]], word[some[1]]
+        self.begin, self.end = np.flatnonzero(first), np.flatnonzero(last) + 1
+        ends = np.searchsorted(self.begin, at)
+        self.begins = ends[:-1]
+        self.owner = np.repeat(np.arange(len(texts)), np.diff(ends))
+        self.ids = self._named()
+
+    def _spaces(self) -> np.ndarray:
+        space = _SPACE[self.bytes]
+        leads = np.flatnonzero(_LEADS[self.bytes])
+        for lead, rests in _WIDE.items() if len(leads) else ():
+            at = leads[self.bytes[leads] == lead]
+            rest = self.bytes[at + 1].astype(np.int64)
+            if lead != 0xC2:
+                rest = rest << 8 | self.bytes[at + 2]
+            at = at[np.isin(rest, rests)]
+            for k in range(2 if lead == 0xC2 else 3):
+                space[at + k] = True
+        return space
+
+    def _named(self) -> np.ndarray:
+        padded = np.append(self.bytes, np.zeros(8, np.uint8))
+        eight = np.ndarray(len(self.bytes) + 1, "<u8", padded, strides=(1,))
+        size = self.end - self.begin
+        made = _finished(eight[self.begin] & _MASKS[np.minimum(size, 8)],
+                         size.astype(np.uint64))
+        more, k = np.flatnonzero((size > 8) & (size <= _LONG)), 8
+        while len(more):
+            block = eight[self.begin[more] + k] & _MASKS[np.minimum(size[more] - k, 8)]
+            made[more] = _finished(block, made[more])
+            k += 8
+            more = more[size[more] > k]
+        for i in np.flatnonzero(size > _LONG):
+            made[i] = xxhash.xxh3_64_intdigest(self.bytes[self.begin[i]:self.end[i]])
         return made
 
+    def lines(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the lines with a word: their first words, and the words after their last ones."""
+        if not len(self.begin):
+            return self.begin, self.begin
+        breaks = np.flatnonzero(self.bytes == 10)
+        line = np.searchsorted(breaks, self.begin) + self.owner
+        first = np.append(0, np.flatnonzero(np.diff(line)) + 1)
+        return first, np.append(first[1:], len(line))
 
-#: Of a worker.
-_KNOWN = _Ids()
+
+def _finished(block: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Bits of both mixed; for one value of either, different ones of the other stay different."""
+    made = block * np.uint64(_BASES[0]) + before * np.uint64(_BASES[1])
+    for shift, by in ((32, 0xFF51AFD7ED558CCD), (29, 0xC4CEB9FE1A85EC53)):
+        made ^= made >> np.uint64(shift)
+        made *= np.uint64(by)
+    return made ^ (made >> np.uint64(32))
 
 
 @functools.lru_cache(16)
@@ -81,15 +149,6 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return (values ^ (values >> np.uint64(29))) * np.uint64(_BASES[1])
 
 
-def _words_of(texts: list[str | None], known: _Ids) -> tuple[np.ndarray, np.ndarray]:
-    """Of the words of all texts, one after the other: text and id."""
-    words = [(t or "").split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    ids = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(words)), np.uint64,
-                      int(sizes.sum()))
-    return np.repeat(np.arange(len(texts)), sizes), ids
-
-
 def _windows_of(owner: np.ndarray, ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the windows that lie in one text, and their signs."""
     signs = signs_of(ids, least)
@@ -103,15 +162,16 @@ def lists_of(values: np.ndarray, of: np.ndarray, size: int, kind: type) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(kind)))
 
 
+#: Characters of the texts that are cut at once: arrays of their words stay in a core's cache.
+PASS_CHARS = 1_000_000
 #: Columns of ``stretches_of``: sign, words of the stretch, its first window, the number of its
 #: windows, and whether the text has the sign in this stretch only, around one place.
 STRETCHES = ("sign array<bigint>, whole array<bigint>, at array<int>, n array<int>, "
              "single array<boolean>")
 
 
-def stretches_of(texts: list[str | None], least: int) -> list[pa.ListArray]:
-    size = len(texts)
-    owner, ids = _words_of(texts, _KNOWN)
+def stretches_of(words: Words, least: int) -> list[pa.ListArray]:
+    size, owner, ids = len(words.begins), words.owner, words.ids
     places, signs = _windows_of(owner, ids, least)
     of = owner[places]
     new = np.ones(len(signs), bool)
@@ -125,26 +185,25 @@ def stretches_of(texts: list[str | None], least: int) -> list[pa.ListArray]:
     single = counts <= least - min(SHORT, least) + 1
     single[order[1:][alike]] = False
     single[order[:-1][alike]] = False
-    begins = np.searchsorted(owner, np.arange(size))
     return [lists_of(v, of_stretch, size, t) for v, t in (
         (sign, np.int64), (whole.view(np.int64), np.int64),
-        (first - begins[of_stretch] if len(first) else first, np.int32), (counts, np.int32),
+        (first - words.begins[of_stretch] if len(first) else first, np.int32), (counts, np.int32),
         (single, bool))]
 
 
 def _windows(batches, least: int):
-    """(place, near, pos, h1, h2) of the windows that have one of the row's signs; near: it has
-    words in common with the text's first window of its kind, or is that."""
-    for part in slices(batches, "text"):
-        owner, ids = _words_of(part.column("text").to_pylist(), _KNOWN)
-        places, found = _windows_of(owner, ids, least)
-        of, begins = owner[places], np.searchsorted(owner, np.arange(part.num_rows))
-        wanted = np.zeros(len(places), bool)
-        for row in range(part.num_rows):
-            lo, hi = np.searchsorted(of, [row, row + 1])
+    """(place, at, windows, h1, h2) of the windows that have one of the row's signs: one by one
+    those that have words in common with the text's first window of their kind, or are that; the
+    others, copies of it, in runs without h1 and h2."""
+    for part in slices(batches, "text", PASS_CHARS):
+        words = Words(part.column("text"))
+        places, found = _windows_of(words.owner, words.ids, least)
+        of, wanted = words.owner[places], np.zeros(len(places), bool)
+        ends = np.searchsorted(of, np.arange(part.num_rows + 1))
+        for row, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
             wanted[lo:hi] = np.isin(found[lo:hi], part.column("signs")[row].values.to_numpy())
         places, of = places[wanted], of[wanted]
-        h1, h2 = (window_hashes(ids, least, b)[places].view(np.int64) for b in _BASES)
+        h1, h2 = (window_hashes(words.ids, least, b)[places].view(np.int64) for b in _BASES)
         order = np.lexsort((places, h2, h1, of))
         new = np.ones(len(order), bool)
         for kind in (of, h1, h2):
@@ -153,10 +212,14 @@ def _windows(batches, least: int):
         group = np.cumsum(new) - 1
         near = np.empty(len(order), bool)
         near[order] = places[order] - places[order][new][group] < least
+        begin = np.flatnonzero(near | np.append(True, near[:-1] | (np.diff(places) != 1)
+                                                | (np.diff(of) != 0))[:len(near)])
+        near, at, of = near[begin], places[begin] - words.begins[of[begin]], of[begin]
         yield pa.RecordBatch.from_arrays(
-            [part.column("place").take(pa.array(of)), pa.array(near),
-             pa.array((places - begins[of]).astype(np.int32)), pa.array(h1), pa.array(h2)],
-            names=["place", "near", "pos", "h1", "h2"])
+            [part.column("place").take(pa.array(of)), pa.array(at.astype(np.int32)),
+             pa.array(np.diff(np.append(begin, len(places))).astype(np.int32)),
+             *(pa.array(h[begin], mask=~near) for h in (h1, h2))],
+            names=["place", "at", "windows", "h1", "h2"])
 
 
 def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored) -> DataFrame:
@@ -172,30 +235,34 @@ def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored
     twice = stored(each.groupBy("sign").agg(
         F.sum(F.when(F.col("single"), 1).otherwise(2)).alias("n")).filter("n > 1"), "signs")
     held = stored(join_counted(each, twice, ["sign"]).drop("n"), "stretches")
-    about = stored(held.groupBy("sign").agg(
-        F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last"),
-        (F.bool_and("single") & (F.min("whole") == F.max("whole"))).alias("alike")).filter(
-        (F.col("first") < F.col("last")) | ~F.col("alike")).drop("last"), "shared")
-    found = stored(join_counted(held, about, ["sign"]).filter(
-        ~F.col("alike") | (F.col("place") != F.col("first"))).select(
-        "place", "sign", "at", "windows", "alike"), "found")
-    stored.drop(twice, held, about)
-    sure = found.filter("alike").select("place", "at", "windows")
-    wanted = stored(found.filter("NOT alike").groupBy("place").agg(
+    alike = stored(held.groupBy("sign", "whole").agg(
+        F.count("*").alias("rows"), F.min("place").alias("first"),
+        F.bool_and("single").alias("single")), "alike")
+    several = stored(alike.groupBy("sign").agg(F.sum("rows").alias("n"), (
+        ~F.bool_and("single") | (F.count("*") > 1)).alias("differ")), "several")
+    about = stored(join_counted(alike, several, ["sign"]).select(
+        "sign", "whole", "first", "differ", F.col("rows").alias("n")), "shared")
+    found = stored(join_counted(held, about, ["sign", "whole"]).select(
+        "place", "sign", "at", "windows", (F.col("place") == F.col("first")).alias("is_first"),
+        "differ"), "found")
+    sure = found.filter("NOT is_first").select("place", "at", "windows")
+    wanted = stored(found.filter("is_first AND differ").groupBy("place").agg(
         F.collect_set("sign").alias("signs")), "wanted")
     kind = texts.schema["place"].dataType.simpleString()
     compared = stored(join_to_texts(texts, wanted, ["place"], "inner", stored).select(
         "place", "text", "signs").mapInArrow(
-        functools.partial(_windows, least=least), f"place {kind}, near boolean, pos int, "
+        functools.partial(_windows, least=least), f"place {kind}, at int, windows int, "
         "h1 bigint, h2 bigint"), "windows")
-    first = stored(compared.groupBy("h1", "h2").agg(
+    inside = compared.filter("h1 IS NULL").select("place", "at", "windows")
+    single = compared.filter("h1 IS NOT NULL")
+    first = stored(single.groupBy("h1", "h2").agg(
         F.count("*").alias("n"), F.min("place").alias("first")).filter("n > 1"), "first")
-    copies = join_counted(compared, first, ["h1", "h2"]).filter(
-        (F.col("place") != F.col("first")) | ~F.col("near")).select(
-        "place", F.col("pos").alias("at"), F.lit(1).alias("windows"))
-    places = stored(sure.unionByName(copies).groupBy("place").agg(F.collect_set(
-        F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("windows")).alias("places")), "places")
-    stored.drop(found, wanted, compared, first)
+    copies = join_counted(single, first, ["h1", "h2"]).filter(
+        F.col("place") != F.col("first")).select("place", "at", "windows")
+    places = stored(sure.unionByName(inside).unionByName(copies).groupBy("place").agg(
+        F.collect_set(F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("windows"))
+        .alias("places")), "places")
+    stored.drop(twice, held, alike, several, about, found, wanted, compared, first)
     return places
 
 
@@ -208,19 +275,18 @@ def _range_hashes(ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return (total[end] - total[start]) * _powers(pow(base, -1, 1 << 64), room)[start]
 
 
-def covered(places: list[int], lines: list[int], least: int, unit: int) -> np.ndarray:
+def covered(places: np.ndarray, lines: list[int], least: int, unit: int) -> np.ndarray:
     """Which words are in repeated windows, start * 2^32 + number. lines: words of each line.
 
     A line of fewer than ``unit`` words is covered as a whole or not at all.
     """
     ends = np.cumsum(lines)
     mask = np.zeros(int(ends[-1]) if len(ends) else 0, bool)
-    runs: list[list[int]] = []
-    for start, n in sorted(divmod(p, 1 << 32) for p in places):
-        if runs and start <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], start + n)
-        else:
-            runs.append([start, start + n])
+    places = np.sort(np.asarray(places, np.int64))
+    starts = places >> 32
+    stops = np.maximum.accumulate(starts + (places & (1 << 32) - 1))
+    new = np.flatnonzero(np.append(True, starts[1:] > stops[:-1])[:len(starts)])
+    runs = zip(starts[new].tolist(), stops[np.append(new[1:], len(starts))[:len(new)] - 1].tolist())
     for start, stop in runs:
         end = stop - 1 + least
         line = int(np.searchsorted(ends, start, side="right"))
