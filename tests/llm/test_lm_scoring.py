@@ -5,11 +5,14 @@ import random
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tierlake.llm import lm_scoring
+from tierlake.llm.common import BATCH_BYTES, Stored, in_batches
 from tierlake.llm.queries import LM_SQL, op3_lm_scoring
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +111,29 @@ def test_odd_rows(spark, documents):
     assert len(got) == len(ODD)
     assert all(r.score == 0 for r in got if r.n_words == 0)
     assert lm_scoring.score(docs.limit(0), labels).count() == 0
+
+
+def test_workers_hold_little_at_once(spark, documents):
+    """The table of pairs, a batch of texts, and no second kind of workers beside these."""
+    texts = documents(["a b a c", "b a"]).select("text", F.lit(True).alias("target"))
+    _, (target, background) = lm_scoring.fit(texts, lm_scoring.frequent_words(texts, 10),
+                                             Stored(spark))
+    assert target.pairs.nbytes + background.pairs.nbytes <= 2 * 4 * target.pairs.size
+    assert background.pairs.sum() == 6
+    before, after = np.array([0, 1]), np.array([1, 2])
+    assert background.ln_pairs(before, after) == pytest.approx(
+        np.log(background.pairs + background.base)[before, after])
+
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int")
+    docs = spark.range(0, 3_000, 1, 1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 2_000).alias("text"))
+    plan = lm_scoring.score(docs, labels)._jdf.queryExecution().toString()
+    assert "LogicalRDD" not in plan and "ExistingRDD" not in plan
+
+    def sizes(batches):
+        for part in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([part.nbytes])], names=["n"])
+
+    found = [r.n for r in docs.mapInArrow(sizes, "n bigint").collect()]  # after score() as within
+    assert sum(found) > 30_000_000 and max(found) < 1.1 * BATCH_BYTES
+    assert in_batches(docs, sizes, "n bigint").count() == len(found)

@@ -42,7 +42,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tierlake.llm.common import HOT_SHARE, Stored, join_to_texts, slices, type_of
+from tierlake.llm.common import (
+    HOT_SHARE, Stored, in_batches, join_to_texts, slices, type_of)
 
 MU = 20.0
 #: So many words have their pairs counted in a dense table; this share of documents names them.
@@ -52,6 +53,8 @@ HOT_ROWS = 1_000_000
 RARER, END = -1, -2
 _FLUSH = 200_000
 _PLACES, _BATCH = 1_000_000, 200_000
+#: Characters of a slice: a task holds some ten numbers of each of its words.
+_CHARS = 1_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -103,49 +106,62 @@ def counts(texts: DataFrame, common: list[int]) -> DataFrame:
         codes = Codes(common)
         pairs = np.zeros((2, size * size), dtype=np.int64)
         rare, held = [], 0
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", _CHARS):
             _, row, before, after = codes.of(part)
             is_target = np.array([bool(t) for t in part.column("target").to_pylist()])
             rare.append(after[after < 0])
             held += len(rare[-1])
             pair = np.where(before < 0, codes.rest, before) * size + np.where(
                 after < 0, codes.rest, after)
-            pairs[0] += np.bincount(pair, minlength=size * size)
-            pairs[1] += np.bincount(pair[is_target[row]], minlength=size * size)
+            np.add.at(pairs[0], pair, 1)
+            np.add.at(pairs[1], pair[is_target[row]], 1)
             if held > _PLACES:
-                yield from rows(*np.unique(np.concatenate(rare), return_counts=True))
-                rare, held = [], 0
-        if rare:
-            yield from rows(*np.unique(np.concatenate(rare), return_counts=True))
+                yield from counted(rare)
+                held = 0
+        yield from counted(rare)
         found = np.flatnonzero(pairs[0])
         yield from rows(found, pairs[0, found], pairs[1, found])
 
+    def counted(rare):
+        """Rows of the words of a list of arrays, which is emptied."""
+        if rare:
+            words = np.concatenate(rare)
+            rare.clear()
+            words.sort()
+            first = np.flatnonzero(np.append(True, words[1:] != words[:-1])[:len(words)])
+            yield from rows(words[first], np.diff(first, append=len(words)))
+
     def rows(keys, n, target=None):
         target = np.zeros_like(n) if target is None else target
         for i in range(0, len(keys), _BATCH):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c[i:i + _BATCH]) for c in (keys, n, target)], names=["key", "n", "target"])
 
-    return texts.select("text", "target").mapInArrow(
-        run, "key bigint, n bigint, target bigint").groupBy("key").agg(
+    return in_batches(
+        texts.select("text", "target"), run, "key bigint, n bigint, target bigint").groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("target").alias("target"))
 
 
 @dataclass
 class Dense:
-    """One model's parts of ln p: of pairs of common words, and of histories; MU p(w)."""
+    """One model's counts of pairs of common words; parts of ln p of histories; MU p(w)."""
 
     pairs: np.ndarray
     histories: np.ndarray
     base: np.ndarray
     total: float
 
+    def ln_pairs(self, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """The parts of ln p of pairs. A table of them would be twice as large as the counts."""
+        return np.log(self.pairs[before, after] + self.base[after])
+
 
 def _dense(counted: np.ndarray, size: int, vocabulary: int) -> Dense:
     table = counted.reshape(size, size)
     total = max(float(table.sum()) + vocabulary, 1.0)
     base = MU * (table.sum(axis=0) + 1) / total
-    return Dense(np.log(table + base), np.log(table.sum(axis=1) + MU), base, total)
+    pairs = table.astype(np.min_scalar_type(int(table.max(initial=0))))
+    return Dense(pairs, np.log(table.sum(axis=1) + MU), base, total)
 
 
 def fit(texts: DataFrame, common: list[int], stored: Stored) -> tuple[list[int], list[Dense]]:
@@ -164,7 +180,7 @@ def fit(texts: DataFrame, common: list[int], stored: Stored) -> tuple[list[int],
     vocabulary = counted.filter("key < 0").count() + len(common)
     models = []
     for column in ("target", "n"):
-        table = np.zeros(size * size)
+        table = np.zeros(size * size, dtype=np.int64)
         table[pairs.column("key").to_numpy()] = pairs.column(column).to_numpy()
         models.append(_dense(table, size, vocabulary))
     stored.drop(counted)
@@ -183,13 +199,13 @@ def _parts(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFram
     def run(batches):
         common, models = shared.value
         codes = Codes(common)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", _CHARS):
             lengths, row, before, after = codes.of(part)
             is_target = np.array([bool(t) for t in part.column("target").to_pylist()], dtype=int)
             refs = part.column("ref").to_numpy() * 2 + is_target
             n, nothing = len(refs), np.zeros(len(refs), dtype=np.int64)
             both, known = (before >= 0) & (after >= 0), before >= 0
-            sums = [(np.bincount(row[both], m.pairs[before[both], after[both]], n)
+            sums = [(np.bincount(row[both], m.ln_pairs(before[both], after[both]), n)
                      - np.bincount(row[known], m.histories[before[known]], n)).astype(float)
                     for m in models]  # sums of nothing are whole numbers to bincount
             documents = pa.StructArray.from_arrays(
@@ -210,9 +226,10 @@ def _parts(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFram
     def as_array(column):
         return column.cast(id_type) if column.type != id_type else column
 
-    return texts.select("ref", "doc_id", "text", "target").mapInArrow(
-        run, "ref bigint, key bigint, before bigint, after bigint, document struct<doc_id: "
-             f"{type_of(texts, 'doc_id')}, n_words: bigint, target: double, background: double>")
+    return in_batches(
+        texts.select("ref", "doc_id", "text", "target"), run,
+        "ref bigint, key bigint, before bigint, after bigint, document struct<doc_id: "
+        f"{type_of(texts, 'doc_id')}, n_words: bigint, target: double, background: double>")
 
 
 def score(docs: DataFrame, labels: DataFrame, common: int = COMMON,
@@ -228,9 +245,10 @@ def score(docs: DataFrame, labels: DataFrame, common: int = COMMON,
     sample = docs.select("text") if share >= 1 else docs.select("text").sample(share, seed=1)
     names, models = fit(texts, frequent_words(sample, common) if common else [], stored)
     target, background = models
-    bases = spark.createDataFrame(
-        [(i, float(target.base[i]), float(background.base[i])) for i in range(len(names))],
-        "after bigint, base_target double, base_background double")
+    # From Arrow: rows of a list would pass through Python workers that stay beside those of texts.
+    bases = spark.createDataFrame(pa.table({
+        "after": np.arange(len(names)), "base_target": target.base[:len(names)],
+        "base_background": background.base[:len(names)]}))
 
     places = _parts(texts.withColumn("ref", F.monotonically_increasing_id()), names, models)
     of_word = Window.partitionBy("key")
