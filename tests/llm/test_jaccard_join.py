@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,21 @@ def test_odd_rows(documents):
     assert kept.count() == len(ODD) - 1
     assert j.join_documents(docs.limit(0)).count() == 0
     assert j.keep_first(docs.filter(F.col("text").isNull())).count() == 2
+
+
+def test_a_block_is_compared_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(0)
+    lists = [np.unique(rng.integers(0, 60_000, 300)) for _ in range(1_024)]
+    every = np.arange(len(lists))
+    for rows, columns in ((every, every), (every[:500], every[500:])):
+        tracemalloc.start()
+        found = j.overlaps(lists, rows, columns)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 60_000_000
+        for a, b in zip(rng.integers(0, 250, 50), rng.integers(250, 500, 50)):
+            assert found[a, b] == len(np.intersect1d(lists[rows[a]], lists[columns[b]]))
+    monkeypatch.setattr(j, "CELLS", 1_024 * 7)
+    found = j.overlaps(lists[:40], every[:40], every[:40])
+    assert all(found[a, b] == len(np.intersect1d(lists[a], lists[b]))
+               for a in range(40) for b in range(a))

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import map_texts, slices, type_of
+from tierlake.llm.common import in_batches, map_texts, slices, type_of
 
 SEGMENT, PASSAGE, STRIDE, SHINGLE = 48, 192, 128, 5
 K1, B = 1.2, 0.75
@@ -277,5 +277,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.5,
                 yield part.filter(pa.array([not leaks_in(t, shared.value, share, overlap)
                                             for t in part.column("text").to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = in_batches(docs, keep, docs.schema)
     return docs

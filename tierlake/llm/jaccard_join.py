@@ -41,13 +41,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import SMALL_BYTES, Stored, free_name, join_to_texts, map_texts, type_of
+from tierlake.llm.common import (
+    SMALL_BYTES, Stored, free_name, in_batches, join_to_texts, map_texts, type_of)
 from tierlake.session import materialise
 
 SHINGLE, THRESHOLD = 5, 0.8
 COORDINATES, BRANCHES, RECALL = 64, 2, 0.99999
 LEAF, DEPTH, AGREEING = 96, 4, 0.6
-BLOCK, TOKENS, CELLS = 1024, 3_000_000, 16_000_000
+BLOCK, TOKENS = 1024, 3_000_000
+#: Of the matrix of sets by tokens that a task multiplies at once.
+CELLS = 2_000_000
 #: More than a bucket has chunks.
 SIDES = 1 << 31
 
@@ -195,11 +198,12 @@ def overlaps(lists: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) ->
     width = max(1, CELLS // max(1, len(lists)))
     order = np.argsort(at, kind="stable")
     owner, at = owner[order], at[order]
+    alone = len(rows) == len(columns) == len(lists)  # all against all: no copies of the matrix
     for start in range(0, int(shared.sum()), width):
         lo, hi = np.searchsorted(at, [start, start + width])
         there = np.zeros((len(lists), min(width, int(shared.sum()) - start)), dtype=np.float32)
         there[owner[lo:hi], at[lo:hi] - start] = 1
-        total += there[rows] @ there[columns].T
+        total += there @ there.T if alone else there[rows] @ there[columns].T
     return total
 
 
@@ -276,8 +280,9 @@ def _candidates(members: DataFrame, least: int) -> DataFrame:
                 chosen = table.drop(["sketch"]).filter(pa.array(stays)).combine_chunks()
                 yield from chosen.select(["node", "part", "side", "sid"]).to_batches()
 
-    return (members.repartition("node", "part").sortWithinPartitions("node", "part")
-            .mapInArrow(run, "node bigint, part bigint, side int, sid binary"))
+    return in_batches(
+        members.repartition("node", "part").sortWithinPartitions("node", "part"), run,
+        "node bigint, part bigint, side int, sid binary")
 
 
 def _blocks(members: DataFrame, threshold: float) -> DataFrame:
@@ -310,8 +315,9 @@ def _blocks(members: DataFrame, threshold: float) -> DataFrame:
             [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())],
             names=["sid", "root", "links"])
 
-    return (members.repartition("node", "part").sortWithinPartitions("node", "part")
-            .mapInArrow(run, "sid binary, root binary, links bigint"))
+    return in_batches(
+        members.repartition("node", "part").sortWithinPartitions("node", "part"), run,
+        "sid binary, root binary, links bigint")
 
 
 def _with_tokens(docs: DataFrame, sets: DataFrame, stored: Stored) -> DataFrame:

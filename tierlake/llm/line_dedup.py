@@ -48,7 +48,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tierlake.llm.common import (
-    Stored, free_name, join_counted, join_to_texts, map_texts, place_of, slices, type_of)
+    Stored, free_name, in_batches, join_counted, join_to_texts, map_texts, place_of, slices,
+    type_of)
 from tierlake.llm.passages import (
     PASS_CHARS, STRETCHES, Words, covered, later_places, lists_of, stretches_of)
 from tierlake.session import materialise
@@ -153,8 +154,8 @@ def _sequences(lines: DataFrame, least: int) -> DataFrame:
 
     grouped = lines.groupBy("place").agg(
         F.collect_set(F.struct("pos", "rank", "words")).alias("lines"))
-    return grouped.mapInArrow(run, f"place {type_of(lines, 'place')}, pos array<int>, "
-                              "rank array<bigint>, start array<int>, length array<int>")
+    return in_batches(grouped, run, f"place {type_of(lines, 'place')}, pos array<int>, "
+                      "rank array<bigint>, start array<int>, length array<int>")
 
 
 def _flatten(sequences: DataFrame, columns: str, pick) -> DataFrame:
@@ -172,9 +173,9 @@ def _flatten(sequences: DataFrame, columns: str, pick) -> DataFrame:
                 [part.column("place").take(pa.array(at >> 32)), pa.array(at & _LOW),
                  *map(pa.array, rest)], names=names)
 
-    return sequences.select("place", "pos", "rank", "start", "length").mapInArrow(
-        run, f"place {type_of(sequences, 'place')}, "
-        + ", ".join(f"{c} bigint" for c in names[1:]))
+    return in_batches(
+        sequences.select("place", "pos", "rank", "start", "length"), run,
+        f"place {type_of(sequences, 'place')}, " + ", ".join(f"{c} bigint" for c in names[1:]))
 
 
 def _found(pos: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -329,4 +330,4 @@ def delete_copies(docs: DataFrame, min_words: int = MIN_WORDS,
     touched = functools.reduce(Column.__or__, (F.col(c).isNotNull() for c in joined.columns[-2:]))
     same = joined.filter(~touched).select(*docs.columns, *(
         [F.lit(0).alias(count_as)] if count_as else []))
-    return joined.filter(touched).mapInArrow(run, schema).union(same)
+    return in_batches(joined.filter(touched), run, schema).union(same)

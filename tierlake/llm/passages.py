@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import Stored, join_counted, join_to_texts, slices
+from tierlake.llm.common import Stored, in_batches, join_counted, join_to_texts, slices
 
 #: Odd, so that powers have inverses.
 _BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
@@ -249,10 +249,10 @@ def later_places(texts: DataFrame, shapes: DataFrame, least: int, stored: Stored
     wanted = stored(found.filter("is_first AND differ").groupBy("place").agg(
         F.collect_set("sign").alias("signs")), "wanted")
     kind = texts.schema["place"].dataType.simpleString()
-    compared = stored(join_to_texts(texts, wanted, ["place"], "inner", stored).select(
-        "place", "text", "signs").mapInArrow(
-        functools.partial(_windows, least=least), f"place {kind}, at int, windows int, "
-        "h1 bigint, h2 bigint"), "windows")
+    compared = stored(in_batches(
+        join_to_texts(texts, wanted, ["place"], "inner", stored).select("place", "text", "signs"),
+        functools.partial(_windows, least=least),
+        f"place {kind}, at int, windows int, h1 bigint, h2 bigint"), "windows")
     inside = compared.filter("h1 IS NULL").select("place", "at", "windows")
     single = compared.filter("h1 IS NOT NULL")
     first = stored(single.groupBy("h1", "h2").agg(

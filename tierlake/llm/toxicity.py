@@ -35,7 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tierlake.llm.common import is_held_out, map_texts, may_learn, type_of
+from tierlake.llm.common import (
+    in_batches, is_held_out, map_texts, may_learn, slices, type_of)
 
 # The built-in lexicon. Insults are only a start; the labels bring their own.
 INSULTS = ("idiot idiots moron morons stupid dumb scum trash loser losers pathetic worthless "
@@ -350,10 +351,10 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
     taggers: list[Tagger] = []
 
     def keep(batches):
-        for batch in batches:
+        for batch in slices(batches, "text"):
             if not taggers:
                 taggers.append(model.tagger())
             x = _features(batch.column("text").to_pylist(), taggers[0])
             yield batch.filter(pa.array(x @ weights < math.log(threshold / (1 - threshold))))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_batches(docs, keep, docs.schema)
