@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD
 from tierlake.llm import jaccard_join as j
+from tierlake.session import materialise
 
 
 def brute_force(rows, threshold=0.8):
@@ -149,3 +150,17 @@ def test_a_block_is_compared_in_little_memory(monkeypatch):
     found = j.overlaps(lists[:40], every[:40], every[:40])
     assert all(found[a, b] == len(np.intersect1d(lists[a], lists[b]))
                for a in range(40) for b in range(a))
+
+
+def test_a_split_joins_the_sets_once(documents, monkeypatch):
+    monkeypatch.setattr(j, "LEAF", 4)
+    plans = []
+
+    def stored(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString().count("Join Inner")))
+        return materialise(df, label)
+
+    sets = materialise(j.text_sets(documents(_rows(2, 12, 30))).dropDuplicates(["sid"]), "sets")
+    j.buckets(sets.select("sid", "size", "least"), 2, stored)
+    assert [n for label, n in plans if label == "paths"] == [1] * j.DEPTH
+    assert sum(n for _, n in plans) == 2 * j.DEPTH - 1

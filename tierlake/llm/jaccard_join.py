@@ -154,7 +154,10 @@ def buckets(sets: DataFrame, runs: int, stored=materialise) -> DataFrame:
         (F.col("run") * BRANCHES + 1).alias("c1"))
     leaves, nodes = None, start
     for depth in range(1, DEPTH + 1):
-        level = stored(_counted(_split(nodes)), "paths")
+        children = _split(nodes)
+        if depth > 1:  # read twice, and so joined twice if not stored
+            children = stored(children, "children")
+        level = stored(_counted(children), "paths")
         done = (F.col("n") <= LEAF) | (F.col("n") > AGREEING * F.coalesce("above", F.lit(math.inf)))
         if depth == DEPTH:
             done = F.lit(True)
