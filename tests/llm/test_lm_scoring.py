@@ -137,3 +137,33 @@ def test_workers_hold_little_at_once(spark, documents):
     found = [r.n for r in docs.mapInArrow(sizes, "n bigint").collect()]  # after score() as within
     assert sum(found) > 30_000_000 and max(found) < 1.1 * BATCH_BYTES
     assert in_batches(docs, sizes, "n bigint").count() == len(found)
+
+
+def test_names_tell_words_apart():
+    words = [b"a" * n for n in range(1, 60)] + [b"a" * n + b"\0" for n in range(1, 60)]
+    words += [b"a" * n + b"b" + b"a" * (30 - n) for n in range(31)] + ["é".encode(), b"e", b"x y"[:1]]
+    part = pa.RecordBatch.from_arrays([pa.array([
+        " ".join(w.decode() for w in words), "\x0b\t a\x85b\x1cc d\r" + "É a" * 2])],
+        names=["text"])
+    lengths, _, _, codes = lm_scoring.Codes([]).of(part)
+    assert lengths.tolist() == [len(words), 4]  # only ASCII's six characters are white space
+    assert len(set(codes[:len(words)].tolist())) == len(set(words))
+    assert codes[-1] == codes[0] and codes[len(words)] < 0
+    assert codes[-3] == codes[words.index("é".encode())] and (codes < 0).all()
+
+
+@pytest.mark.parametrize("common", [0, 3])
+def test_buckets_change_nothing(spark, documents, monkeypatch, common):
+    """Places go to Python in arrays, those of a word in one bucket of bounded size."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abcdefghijklmnop", range(16, 0, -1), k=rng.randint(0, 30)))
+             for _ in range(60)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)],
+                                   "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(lm_scoring, "BUCKET", 50)
+    monkeypatch.setattr(lm_scoring, "_CHARS", 100)
+    made = lm_scoring.score(documents(texts), labels, common, share=1)
+    assert "Window" not in made._jdf.queryExecution().toString()
+    got = {r.doc_id: r for r in made.collect()}
+    for i, expected in enumerate(by_hand(texts, range(20))):
+        assert (got[i].n_words, got[i].ce_target, got[i].ce_background) == pytest.approx(expected)

@@ -12,19 +12,21 @@ than documents at large.
 
 How pairs of words meet their counts depends on how common the words are, the counts are the same.
 The ``common`` most frequent words (a fixed number, so their pairs fit a dense table) are counted
-in tasks first and broadcast. Every other pair has a rarer word and is sent to where that word's
-rows are, one row a place with the word before and, if common, the word after. There, windows
-count both pairs, the word, and the word as a history, all after one shuffle: ln p is a sum of a
-part of the pair and one of the history, and each word's rows hold both of its own. What is left
-is to add up the parts by document.
+in tasks first and broadcast. Every other pair has a rarer word and is sent to that word's bucket,
+one place with the word before and, if common, the word after; the places that a slice of texts has
+for a bucket are arrays of one row. There are as many buckets as give each BUCKET places, and a
+word's places are all in one. There both pairs, the word, and the word as a history are counted
+after one shuffle and two sorts: ln p is a sum of a part of the pair and one of the history, and
+each word's places hold both of its own. What is left is to add up the parts by document: a bucket
+sends back the sums of the documents of each slice as arrays of one row, at most one sum a place.
 
 Which words are taken for common decides where pairs are counted and nothing else, so the list
 comes from a share of the documents. Exact counts of all words follow, and a rarer word with over
 HOT_SHARE of all places (and HOT_ROWS of them) joins the common ones before pairs are sent.
 
-Words are named by 63 bits of a hash: with a hundred million words the chance that any two share a
-name is 0.0005. Documents of the target are joined to texts by broadcast while the list of their
-ids is small, by shuffle beyond.
+Words are named by 63 bits of a hash of their bytes, taken of all words of a slice at once: with a
+hundred million words the chance that any two share a name is 0.0005. Documents of the target are
+joined to texts by broadcast while the list of their ids is small, by shuffle beyond.
 
 Defined results: words are runs without white space of the lower-case text; a null or empty text
 has none and scores 0; conflicting labels of a document make it no target; without target
@@ -38,8 +40,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tierlake.llm.common import (
@@ -51,42 +53,80 @@ COMMON, SHARE = 1_500, 1 / 32
 HOT_ROWS = 1_000_000
 #: What may follow a rarer word besides a common one: a rarer one, or nothing.
 RARER, END = -1, -2
+#: So many words are named at once.
 _FLUSH = 200_000
-_PLACES, _BATCH = 1_000_000, 200_000
+_PLACES, _BATCH = 2_000_000, 200_000
 #: Characters of a slice: a task holds some ten numbers of each of its words.
 _CHARS = 1_000_000
+#: Places of a bucket; one with a word of HOT_ROWS has up to as many more.
+BUCKET = 1_000_000
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Runs without white space; bytes are split at ASCII's six white-space characters."""
-    return (text or "").lower().encode().split()
+def _names(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of words, 8 bytes at a time; words of up to 8 bytes share one only if their lengths
+    differ. ``data`` has 8 bytes more than the last word."""
+    eights = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    named = lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    at, left, words = starts, lengths, np.arange(len(starts))
+    while len(words):
+        eight = eights[at] & _MASKS[np.minimum(left, 8)]
+        mixed = (named[words] ^ eight) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        named[words] = mixed ^ (mixed >> np.uint64(29))
+        more = np.flatnonzero(left > 8)
+        at, left, words = at[more] + 8, left[more] - 8, words[more]
+    return named
 
 
-class Codes(dict):
+#: The first bytes of eight, by how many.
+_MASKS = np.array([2 ** (8 * i) - 1 for i in range(9)], dtype=np.uint64)
+
+
+class Codes:
     """Numbers of words: their place in ``common``, a list of names, or else their name (< 0)."""
 
     def __init__(self, common: list[int]):
-        super().__init__()
-        self.rank = {name: i for i, name in enumerate(common)}
+        names = np.array(common, dtype=np.int64)
+        self.rank = np.argsort(names)
+        self.names = names[self.rank]
         self.rest, self.start = len(common), len(common) + 1
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _FLUSH:
-            self.clear()
-        name = (xxhash.xxh3_64_intdigest(word) >> 1) - 2 ** 63
-        code = self[word] = self.rank.get(name, name)
-        return code
+        #: Whether a common name begins with these 20 bits of its 63: few others do.
+        self.begins = np.zeros(2 ** 20, dtype=bool)
+        self.begins[self._begin(names)] = True
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    @staticmethod
+    def _begin(names: np.ndarray) -> np.ndarray:
+        return (names >> 43) + 2 ** 20
+
+    def _of_words(self, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        codes = (_names(data, starts, lengths) >> np.uint64(1)).view(np.int64) + np.int64(-2 ** 63)
+        if len(self):
+            maybe = np.flatnonzero(self.begins[self._begin(codes)])
+            at = np.minimum(np.searchsorted(self.names, codes[maybe]), len(self) - 1)
+            found = self.names[at] == codes[maybe]
+            codes[maybe[found]] = self.rank[at[found]]
+        return codes
 
     def of(self, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """How many words each text has; of each word, the text's row, the word before (or the
-        start symbol) and the word."""
-        runs = [[self.start, *map(self.__getitem__, words_of(text))]
-                for text in part.column("text").to_pylist()]
-        lengths = np.array([len(r) - 1 for r in runs], dtype=np.int64)
-        codes = np.concatenate([np.array(r, dtype=np.int64) for r in runs])
-        row = np.repeat(np.arange(len(runs)), lengths)
-        at = np.arange(len(row)) + row
-        return lengths, row, codes[at], codes[at + 1]
+        start symbol) and the word. Words are runs without ASCII's six white-space characters."""
+        texts = [(t or "").lower().encode() for t in part.column("text").to_pylist()]
+        data = b"\n" + b"\n".join(texts) + b"\n" + bytes(8)
+        letters = np.frombuffer(data, dtype=np.uint8)[:-8]
+        white = (letters == 32) | (letters - np.uint8(9) < 5)
+        edges = np.flatnonzero(white[1:] != white[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        codes = np.concatenate([np.empty(0, dtype=np.int64), *(
+            self._of_words(data, starts[i:i + _FLUSH], (ends - starts)[i:i + _FLUSH])
+            for i in range(0, len(starts), _FLUSH))])
+        until = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts]))
+        lengths = np.diff(until, prepend=0)
+        before = np.append(self.start, codes[:-1])[:len(codes)]
+        before[(until - lengths)[lengths > 0]] = self.start
+        return lengths, np.repeat(np.arange(len(texts)), lengths), before, codes
 
 
 def frequent_words(docs: DataFrame, size: int) -> list[int]:
@@ -187,14 +227,27 @@ def fit(texts: DataFrame, common: list[int], stored: Stored) -> tuple[list[int],
     return common, models
 
 
-def _parts(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFrame:
-    """A row for each place of a rarer word, and one for each document (key >= 0) with the parts of
-    ln p that its common words have."""
+def _sums(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFrame:
+    """(doc_id, n_words, target, background): each document's sums of ln p by both models."""
     shared = texts.sparkSession.sparkContext.broadcast((common, models))
-    id_type = to_arrow_type(texts.schema["doc_id"].dataType)
-    schema = pa.struct([("doc_id", id_type), ("n_words", pa.int64()), ("target", pa.float64()),
-                        ("background", pa.float64())])
-    names = ["ref", "key", "before", "after", "document"]
+    rarer = int(models[1].pairs[:, len(common)].sum(dtype=np.int64))
+    buckets = max(1, -(-rarer // BUCKET))
+    id_type, id_name = to_arrow_type(texts.schema["doc_id"].dataType), type_of(texts, "doc_id")
+    # A slice's documents are numbered; ``docs`` has twice the number, and 1 more for the target.
+    places = {"docs": "int", "keys": "bigint", "before": "bigint", "after": "int"}
+    documents = {"doc_ids": id_name, "n_words": "bigint"}
+    sums = {"target": "double", "background": "double"}
+    kinds = {c: {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}[k]
+             for c, k in (places | sums | {"n_words": "bigint"}).items()} | {"doc_ids": id_type}
+
+    def rows(first: dict, columns, sizes: np.ndarray, **arrays: pa.Array) -> pa.RecordBatch:
+        """Rows of the first columns and lists of the next so many values of each of the arrays."""
+        ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+        return pa.RecordBatch.from_pydict(first | {
+            c: pa.ListArray.from_arrays(ends, arrays[c]) if c in arrays
+            else pa.nulls(len(sizes), pa.list_(kinds[c])) for c in columns})
+
+    sent, returned = places | documents | sums, {"docs": "int"} | documents | sums
 
     def run(batches):
         common, models = shared.value
@@ -202,34 +255,106 @@ def _parts(texts: DataFrame, common: list[int], models: list[Dense]) -> DataFram
         for part in slices(batches, "text", _CHARS):
             lengths, row, before, after = codes.of(part)
             is_target = np.array([bool(t) for t in part.column("target").to_pylist()], dtype=int)
-            refs = part.column("ref").to_numpy() * 2 + is_target
-            n, nothing = len(refs), np.zeros(len(refs), dtype=np.int64)
+            n, name = len(lengths), part.column("ref")[0].as_py()
             both, known = (before >= 0) & (after >= 0), before >= 0
-            sums = [(np.bincount(row[both], m.ln_pairs(before[both], after[both]), n)
+            ln_p = [(np.bincount(row[both], m.ln_pairs(before[both], after[both]), n)
                      - np.bincount(row[known], m.histories[before[known]], n)).astype(float)
                     for m in models]  # sums of nothing are whole numbers to bincount
-            documents = pa.StructArray.from_arrays(
-                [as_array(part.column("doc_id")), pa.array(lengths), *map(pa.array, sums)],
-                fields=list(schema))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(refs), part.column("ref"), pa.array(nothing), pa.array(nothing),
-                 documents], names=names)
+            yield rows({"bucket": pa.array([name % buckets], pa.int32()),
+                        "slice": pa.array([name])}, sent, np.array([n]),
+                       doc_ids=as_array(part.column("doc_id")), n_words=pa.array(lengths),
+                       target=pa.array(ln_p[0]), background=pa.array(ln_p[1]))
             rare = np.flatnonzero(after < 0)
-            follower = np.full(len(rare), END, dtype=np.int64)
+            bucket = after[rare] % buckets
+            order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+            rare, sizes = rare[order], np.bincount(bucket, minlength=buckets)
+            follower = np.full(len(rare), END, dtype=np.int32)
             inside = np.flatnonzero(rare + 1 < len(row))
             inside = inside[row[rare[inside] + 1] == row[rare[inside]]]
             follower[inside] = np.maximum(after[rare[inside] + 1], RARER)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(refs[row[rare]]), pa.array(after[rare]), pa.array(before[rare]),
-                 pa.array(follower), pa.nulls(len(rare), schema)], names=names)
+            found = np.flatnonzero(sizes)
+            yield rows({"bucket": pa.array(found, pa.int32()),
+                        "slice": pa.array(np.full(len(found), name))}, sent, sizes[found],
+                       docs=pa.array((row * 2 + is_target[row])[rare], pa.int32()),
+                       keys=pa.array(after[rare]), before=pa.array(before[rare]),
+                       after=pa.array(follower))
 
     def as_array(column):
         return column.cast(id_type) if column.type != id_type else column
 
+    def of_bucket(bucket: pa.Table) -> pa.Table:
+        """The rows of documents, and for each row of places one with its documents' sums."""
+        _, models = shared.value
+        is_places = pc.is_valid(bucket.column("keys"))
+        whole = bucket.filter(pc.invert(is_places)).select(["slice", *returned])
+        bucket = bucket.filter(is_places)
+        if not len(bucket):
+            return whole
+        docs, keys, before, after = (
+            pc.list_flatten(bucket.column(c)).to_numpy() for c in places)
+        ln_p = ln_places(models, docs % 2 == 1, keys, before, after)
+        row = np.repeat(np.arange(len(bucket)), pc.list_value_length(bucket.column("docs")))
+        # The places of a row are in the order of its documents.
+        new = np.append(True, (docs[1:] != docs[:-1]) | (row[1:] != row[:-1]))
+        document = np.cumsum(new) - 1
+        made = rows({"slice": bucket.column("slice").combine_chunks()}, returned,
+                    np.bincount(row[new], minlength=len(bucket)), docs=pa.array(docs[new]),
+                    **{c: pa.array(np.bincount(document, p)) for c, p in zip(sums, ln_p)})
+        return pa.concat_tables([whole, pa.Table.from_batches([made])],
+                                promote_options="permissive")
+
+    def of_slice(rows: pa.Table) -> pa.Table:
+        is_whole = pc.is_valid(rows.column("doc_ids"))
+        whole, rows = rows.filter(is_whole), rows.filter(pc.invert(is_whole))
+        made = {c: pc.list_flatten(whole.column(c)).combine_chunks() for c in (*documents, *sums)}
+        docs = pc.list_flatten(rows.column("docs")).to_numpy() // 2
+        for c in sums:
+            made[c] = pa.array(made[c].to_numpy() + np.bincount(
+                docs, pc.list_flatten(rows.column(c)).to_numpy(), len(made[c])))
+        return pa.table(list(made.values()), names=["doc_id", *list(made)[1:]])
+
+    def listed(columns: dict) -> str:
+        return ", ".join(f"{c} array<{kind}>" for c, kind in columns.items())
+
     return in_batches(
         texts.select("ref", "doc_id", "text", "target"), run,
-        "ref bigint, key bigint, before bigint, after bigint, document struct<doc_id: "
-        f"{type_of(texts, 'doc_id')}, n_words: bigint, target: double, background: double>")
+        f"bucket int, slice bigint, {listed(sent)}").groupBy(
+        "bucket").applyInArrow(
+        of_bucket, f"slice bigint, {listed(returned)}").groupBy(
+        "slice").applyInArrow(
+        of_slice, f"doc_id {id_name}, n_words bigint, target double, background double")
+
+
+def ln_places(models: list[Dense], is_target: np.ndarray, keys: np.ndarray, before: np.ndarray,
+              after: np.ndarray) -> list[np.ndarray]:
+    """The parts of ln p, by the target's and the background's model, that each place of some rarer
+    words has; the places are all of these words."""
+    order = np.lexsort((before, keys))
+    keys, before, after = keys[order], before[order], after[order]
+
+    def numbers(new):
+        return np.cumsum(new) - 1
+
+    new_key = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+    word = numbers(new_key)
+    pair = numbers(new_key | np.append(True, before[1:] != before[:-1])[:len(keys)])
+    followed, ends = np.flatnonzero(after >= 0), after == END
+    _, following = np.unique(word[followed] * (after.max(initial=0) + 1) + after[followed],
+                             return_inverse=True)
+    made = []
+    for model, counts_in in zip(models, (is_target[order], np.ones(len(keys), dtype=bool))):
+        def count(what, of=slice(None)):
+            return np.bincount(what[counts_in[of]], minlength=int(what.max(initial=-1)) + 1)
+
+        n = count(word)
+        histories = np.log(n - np.bincount(word[counts_in & ends], minlength=len(n)) + MU)
+        ln_p = np.log(count(pair)[pair] + (MU * (n + 1) / model.total)[word])
+        ln_p -= np.where(ends, 0.0, histories[word])
+        ln_p[followed] += np.log(count(following, followed)[following]
+                                 + model.base[after[followed]])
+        made.append(np.empty_like(ln_p))
+        made[-1][order] = ln_p
+    return made
 
 
 def score(docs: DataFrame, labels: DataFrame, common: int = COMMON,
@@ -244,44 +369,7 @@ def score(docs: DataFrame, labels: DataFrame, common: int = COMMON,
     texts = join_to_texts(docs.select("doc_id", "text"), targets, ["doc_id"], "left", stored)
     sample = docs.select("text") if share >= 1 else docs.select("text").sample(share, seed=1)
     names, models = fit(texts, frequent_words(sample, common) if common else [], stored)
-    target, background = models
-    # From Arrow: rows of a list would pass through Python workers that stay beside those of texts.
-    bases = spark.createDataFrame(pa.table({
-        "after": np.arange(len(names)), "base_target": target.base[:len(names)],
-        "base_background": background.base[:len(names)]}))
-
-    places = _parts(texts.withColumn("ref", F.monotonically_increasing_id()), names, models)
-    of_word = Window.partitionBy("key")
-
-    def both_counts(what, window, name):
-        """Of all documents and of target documents, by the last bit of ``ref``."""
-        return [F.sum(F.when(what, 1).otherwise(0)).over(window).alias(name),
-                F.sum(F.when(what & (F.col("ref") % 2 == 1), 1).otherwise(0)).over(window)
-                .alias(f"{name}_target")]
-
-    rows = places.repartition("key")
-    # In this order one sort serves the first two windows.
-    for window, wanted in ((Window.partitionBy("key", "before"), {"pair": F.lit(True)}),
-                           (of_word, {"n": F.lit(True), "ends": F.col("after") == END}),
-                           (Window.partitionBy("key", "after"), {"next": F.lit(True)})):
-        rows = rows.select("*", *(c for name, what in wanted.items()
-                                  for c in both_counts(what, window, name)))
-
-    def ln_p(suffix: str, model: Dense, name: str):
-        """A row's part of ln p."""
-        pair, n, ends, following = (F.col(c + suffix) for c in ("pair", "n", "ends", "next"))
-        own = F.log(pair + MU * (n + 1) / model.total)
-        history = F.when(F.col("after") != END, F.log(n - ends + MU)).otherwise(0.0)
-        then = F.when(F.col("after") >= 0,
-                      F.log(following + F.col(f"base_{name}"))).otherwise(0.0)
-        return F.when(F.col("key") >= 0, F.col(f"document.{name}")).otherwise(
-            own - history + then).alias(name)
-
-    sums = rows.join(F.broadcast(bases), "after", "left").select(
-        "ref", F.col("document.doc_id").alias("doc_id"), F.col("document.n_words").alias("n_words"),
-        ln_p("_target", target, "target"), ln_p("", background, "background")).groupBy("ref").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
-        *(F.sum(m).alias(m) for m in ("target", "background")))
+    sums = _sums(texts.withColumn("ref", F.monotonically_increasing_id()), names, models)
     # A text without words has sums of 0.
     mean = {m: (F.lit(0.0) - F.col(m)) / F.greatest("n_words", F.lit(1))
             for m in ("target", "background")}
