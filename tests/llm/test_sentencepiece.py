@@ -55,6 +55,32 @@ def test_forgetting_changes_nothing(library, codec, monkeypatch):
         assert small.encode(text).tolist() == library.encode(text)
 
 
+def test_slices_are_decoded_at_once(library, codec):
+    texts = ["", "né à Übersee 漢字😀", " ", "", "a  b\n\u0000c", "\ufffd ▁x", ""]
+    made = [codec.encode(t) for t in texts] + [  # and ids that no text has: parts of characters
+        np.array(ids, dtype=np.int32) for ids in ([3 + 0xe6, 3 + 0xbc], [300, 3 + 0xff, 301])]
+    for rows in (made[:len(texts)], made, made[:1], []):
+        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+        got = codec.decode_all(np.concatenate([np.empty(0, np.int32), *rows]), ends)
+        assert got.to_pylist() == [library.decode(ids.tolist()) for ids in rows]
+
+
+def test_shared_beginnings_change_nothing(library, codec, monkeypatch):
+    """Tables of cuts go on from those of their beginnings, and steps that are not remembered."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinsh.,é", k=rng.randint(1, 39))) for _ in range(300)]
+    words += [w[:rng.randint(1, 12)] + v for w, v in zip(words, words[1:])]
+    tables = [codec.last_tokens(w) for w in words]
+    assert codec.tables and all(len(b) <= s.SHORT for b in codec.tables)
+    monkeypatch.setattr(s, "REMEMBERED_TABLES", 2)
+    monkeypatch.setattr(s, "REMEMBERED_STEPS", 5)
+    small = s.Codec(codec.vocabulary)
+    assert [small.last_tokens(w) for w in words] == tables
+    assert len(small.tables) <= 2 and small.automaton.n_steps == 5
+    for word in words:
+        assert small.encode(word).tolist() == library.encode(word)
+
+
 def test_odd_rows(documents, library):
     docs = documents(ODD)
     got = s.encode_and_decode(docs, pieces_path()).collect()
