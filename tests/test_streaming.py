@@ -321,3 +321,35 @@ def test_sources_of_several_batches_have_several_files_a_batch(spark, folder):
     stored = spark.read.parquet(folder)
     assert len(stored.inputFiles()) == 12
     assert stored.distinct().count() == stored.count() == 3000
+
+
+def test_a_batch_stores_each_text_once(spark, tmp_path):
+    """Whatever the hours and copies of its messages; readers get it in every row."""
+    root = str(tmp_path / "log")
+    log = CleanLog(spark, root, "product_reviews", "month")
+    texts = ["same", "same", "other", None, "", "same"]
+    rows = [review(f"r{i}", review_text=t, event_ts=at(50_000 * i)) for i, t in enumerate(texts)]
+    log.land(raw(spark, "product_reviews", *rows), 0)
+    newer = review("r2", review_text="same", ingested_at=at(1), event_ts=at(90), offset=9)
+    log.land(raw(spark, "product_reviews", newer), 1)
+    stored = spark.read.parquet(root)
+    assert tuples(stored.filter("batch_id = 0 AND review_text IS NOT NULL"), "review_text") == [
+        "", "other", "same"]
+    assert tuples(stored.filter("batch_id = 1"), "is_marker", "review_text") == [
+        (False, "same"), (True, None)]
+    texts[2] = "same"
+    assert tuples(log.clean(), "review_id", "review_text") == [
+        (f"r{i}", t) for i, t in enumerate(texts)]
+    hours = _hours(spark, *(at(50_000 * i).replace(minute=0) for i in (1, 5)))
+    assert tuples(log.clean(hours=hours), "review_id", "review_text") == [
+        ("r1", "same"), ("r5", "same")]
+
+
+def test_logs_with_a_text_in_every_row_are_still_read(spark, tmp_path):
+    rows = raw(spark, "product_reviews", review("r1", review_text="a"), review("r2"))
+    (rows.selectExpr("*", "date_trunc('hour', event_ts) AS event_hour", "false AS is_marker",
+                     "'w' AS writer", "0L AS batch_id", "date '2024-03-01' AS period")
+     .write.partitionBy("writer", "batch_id", "period").parquet(str(tmp_path / "log")))
+    log = CleanLog(spark, str(tmp_path / "log"), "product_reviews", "month")
+    log.land(raw(spark, "product_reviews", review("r2", review_text="b", ingested_at=at(1))), 1)
+    assert tuples(log.clean(), "review_id", "review_text") == [("r1", "a"), ("r2", "b")]
