@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tests.rows import tuples
+from tierlake.session import apply_runtime_options
 from tierlake.sinks.keyed import KeyedTable, by_bucket
-from tierlake.sinks.parquet import newest_version, write_layer, write_version
+from tierlake.sinks.parquet import (
+    FEW_DATES, gathered, newest_version, write_dates, write_layer, write_version)
 from tierlake.sinks.relational import write_options
 from tierlake.sources.tables import Jdbc, scan_table
 
@@ -132,3 +134,30 @@ def test_versions_stand_side_by_side(spark, folder):
             before = spark.read.parquet(newest_version(spark, folder))
     assert tuples(before, "v") == [3], "who reads the version before is not disturbed"
     assert tuples(spark.read.parquet(newest_version(spark, folder)), "v") == [4]
+
+
+def test_rows_of_few_dates_are_not_moved_to_be_written(spark):
+    rows = spark.range(9).withColumn("d", F.current_date())
+    for dates, moved in ((1, False), (FEW_DATES, False), (FEW_DATES + 1, True)):
+        plan = gathered(rows, "d", dates)._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == moved
+
+
+def test_written_dates_are_seen_while_writing(spark, folder):
+    rows = spark.createDataFrame([(1, date(2024, 3, 1)), (2, date(2024, 3, 1)), (3, date(2024, 3, 9)),
+                                  (4, None)], "v int, d date")
+    assert write_dates(rows, folder, "d") == (4, {date(2024, 3, 1), date(2024, 3, 9)})
+    assert write_dates(rows.filter("v = 3"), folder, "d") == (1, {date(2024, 3, 9)})
+    assert write_dates(rows.filter("v > 9"), folder, "d") == (0, set())
+    assert tuples(spark.read.parquet(folder), "v") == [1, 2, 3, 4]
+
+
+def test_rows_of_few_dates_are_not_sorted_to_be_written(spark, folder):
+    apply_runtime_options(spark)
+    spark.sql(f"CREATE TABLE few_dates (v INT, d DATE) USING parquet PARTITIONED BY (d) LOCATION '{folder}'")
+    try:
+        plan = spark.sql("EXPLAIN INSERT INTO few_dates SELECT id, date(s) FROM VALUES (1, '2024-03-01') "
+                         "AS t(id, s)").collect()[0][0]
+    finally:
+        spark.sql("DROP TABLE few_dates")
+    assert "Sort" not in plan
