@@ -136,3 +136,10 @@ def test_dedup_moves_each_text_once(spark, tmp_path):
     assert re.search(r"HashAggregate\(keys=\[_text_digest#\d+, review_text#\d+\]", plan)
     assert "Join" not in _plan(latest.drop("review_text"))
     assert "review_text" not in _plan(latest.drop("review_text"))
+
+
+def test_line_items_move_once_before_they_are_collected(spark):
+    plan = _plan(adapters.order_items(spark, SF))
+    below = plan[plan.index("Exchange hashpartitioning(l_orderkey"):]
+    assert "ObjectHashAggregate" in plan and "ObjectHashAggregate" not in below
+    assert "SKU-" not in below
