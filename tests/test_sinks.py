@@ -156,8 +156,8 @@ def test_rows_of_few_dates_are_not_sorted_to_be_written(spark, folder):
     apply_runtime_options(spark)
     spark.sql(f"CREATE TABLE few_dates (v INT, d DATE) USING parquet PARTITIONED BY (d) LOCATION '{folder}'")
     try:
-        plan = spark.sql("EXPLAIN INSERT INTO few_dates SELECT id, date(s) FROM VALUES (1, '2024-03-01') "
-                         "AS t(id, s)").collect()[0][0]
+        plan = spark.sql("EXPLAIN INSERT INTO few_dates SELECT int(id), "
+                         "date_add(DATE'2024-03-01', int(id % 2)) FROM range(9)").collect()[0][0]
     finally:
         spark.sql("DROP TABLE few_dates")
     assert "Sort" not in plan
